@@ -1,0 +1 @@
+"""Structured Streaming forms of batch operators (see README: the reference has no streaming operator)."""
