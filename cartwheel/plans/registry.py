@@ -191,3 +191,189 @@ _SUMMARY_TABLES = ("customer", "part", "orders", "lineitem")
 def q_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.reports import dataset_summary
     return dataset_summary({t: load_table(spark, sf_dir, t) for t in _SUMMARY_TABLES})
+
+
+# ---------------------------------------------------------------- storage formats
+
+
+def _roundtrip_query(fmt: str, table: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from cartwheel.session import shared_path
+        from cartwheel.sources.io import roundtrip
+        source = load_table(spark, sf_dir, table)
+        return roundtrip(source, shared_path(spark, f"roundtrip-{table}-{fmt}"), fmt)
+    run.__name__ = f"q_roundtrip_{fmt}_{table}"
+    return run
+
+
+for _fmt in ("parquet", "csv", "orc"):
+    register(f"roundtrip_{_fmt}", "SELECT * FROM events")(_roundtrip_query(_fmt, "events"))
+    register(f"roundtrip_{_fmt}_customer", "SELECT * FROM customer")(
+        _roundtrip_query(_fmt, "customer"))
+
+
+# ---------------------------------------------------------------- end-to-end run
+
+
+@register("analytics_run", _with(_ORDERS_SQL, _PRODUCTS_SQL) + """
+, priced AS (
+  SELECT o.*, p.category FROM ord o JOIN products p ON o.product_id = p.product_id
+)
+SELECT 'top_customers' AS dataset,
+       LEAST(CAST(10 AS BIGINT), COUNT(DISTINCT customer_id)) AS record_count FROM priced
+UNION ALL
+SELECT 'category_sales', COUNT(DISTINCT category) FROM priced
+UNION ALL
+SELECT 'monthly_trends', COUNT(DISTINCT date_trunc('month', order_date)) FROM priced
+""")
+def q_analytics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the three analyses, then count what was written."""
+    from cartwheel.operators.reports import dataset_summary
+    from cartwheel.plans.batch_run import run_analytics
+    from cartwheel.session import shared_path
+    from cartwheel.sources.io import read_table
+    orders, products = sales_inputs(spark, sf_dir)
+    paths = run_analytics(orders, products, shared_path(spark, "analytics-run"))
+    return dataset_summary({name: read_table(spark, path) for name, path in paths.items()})
+
+
+# ---------------------------------------------------------------- metric reports
+# Metric tables derived from lineitem, one row per line number (the "format"
+# label).  Means are exact-decimal sums divided by counts so that both engines
+# produce the same doubles.
+
+
+def _mean(c: str):
+    return F.try_divide(F.sum(F.col(c).cast("decimal(18,2)")).cast("double"), F.count(c))
+
+
+def _mean_sql(c: str) -> str:
+    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
+
+
+def phase_metrics(lineitem: DataFrame) -> DataFrame:
+    return (lineitem.groupBy("l_linenumber")
+            .agg(_mean("l_discount").alias("write_cpu_s"),
+                 _mean("l_tax").alias("read_cpu_s"),
+                 _mean("l_quantity").alias("write_peak_mb"),
+                 (_mean("l_extendedprice") / F.lit(1000.0)).alias("read_peak_mb"),
+                 (F.count(F.lit(1)).cast("double") / F.lit(1000.0)).alias("file_size_mb"))
+            .select(F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("format"),
+                    F.col("l_linenumber").cast("bigint").alias("ordinal"),
+                    "write_cpu_s", "read_cpu_s", "write_peak_mb", "read_peak_mb",
+                    "file_size_mb"))
+
+
+def format_metrics(lineitem: DataFrame) -> DataFrame:
+    from cartwheel.operators.reports import energy_and_peak
+    return (energy_and_peak(phase_metrics(lineitem))
+            .withColumn("write_time_s", F.col("write_cpu_s"))
+            .withColumn("read_time_s", F.col("read_cpu_s")))
+
+
+_PHASES_SQL = f"""
+phases AS (
+  SELECT 'L' || CAST(l_linenumber AS VARCHAR) AS format,
+         CAST(l_linenumber AS BIGINT) AS ordinal,
+         {_mean_sql('l_discount')} AS write_cpu_s,
+         {_mean_sql('l_tax')} AS read_cpu_s,
+         {_mean_sql('l_quantity')} AS write_peak_mb,
+         {_mean_sql('l_extendedprice')} / 1000.0 AS read_peak_mb,
+         CAST(COUNT(*) AS DOUBLE) / 1000.0 AS file_size_mb
+  FROM lineitem GROUP BY l_linenumber
+)"""
+
+_METRICS_SQL = _PHASES_SQL + """,
+metrics AS (
+  SELECT *, write_cpu_s + read_cpu_s AS cpu_time_s,
+         GREATEST(write_peak_mb, read_peak_mb) AS peak_memory_mb,
+         (write_cpu_s + read_cpu_s) * CAST(65 AS DOUBLE) / CAST(3600 AS DOUBLE) AS energy_wh,
+         write_cpu_s AS write_time_s, read_cpu_s AS read_time_s
+  FROM phases
+)"""
+
+
+@register("energy_and_peak", "WITH" + _METRICS_SQL + """
+SELECT format, ordinal, write_cpu_s, read_cpu_s, write_peak_mb, read_peak_mb, file_size_mb,
+       cpu_time_s, peak_memory_mb, energy_wh
+FROM metrics
+""")
+def q_energy_and_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.reports import energy_and_peak
+    return energy_and_peak(phase_metrics(load_table(spark, sf_dir, "lineitem")))
+
+
+def _savings_sql(metric: str, name: str) -> str:
+    return (f"ROUND_EVEN((b.{metric} - m.{metric}) / NULLIF(b.{metric}, 0) * 100, 2)"
+            f' AS "{name}"')
+
+
+@register("savings_vs_baseline", "WITH" + _METRICS_SQL + """,
+base AS (SELECT * FROM metrics WHERE format = 'L1' ORDER BY ordinal LIMIT 1)
+SELECT m.*, """ + ",\n       ".join(_savings_sql(metric, name) for name, metric in (
+    ("size_savings_%", "file_size_mb"), ("write_time_savings_%", "write_time_s"),
+    ("read_time_savings_%", "read_time_s"), ("energy_savings_%", "energy_wh"))) + """
+FROM metrics m LEFT JOIN base b ON TRUE
+WHERE m.format <> 'L1'
+""")
+def q_savings_vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.reports import savings_vs_baseline
+    return savings_vs_baseline(format_metrics(load_table(spark, sf_dir, "lineitem")),
+                               baseline="L1")
+
+
+@register("best_per_metric", "WITH" + _METRICS_SQL + """,
+stacked AS (
+  SELECT 'Fastest Write' AS title, 'write_time_s' AS metric, format, ordinal,
+         write_time_s AS value FROM metrics
+  UNION ALL SELECT 'Fastest Read', 'read_time_s', format, ordinal, read_time_s FROM metrics
+  UNION ALL SELECT 'Smallest File', 'file_size_mb', format, ordinal, file_size_mb FROM metrics
+  UNION ALL SELECT 'Lowest Energy', 'energy_wh', format, ordinal, energy_wh FROM metrics
+), ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY title, metric ORDER BY value, ordinal, format) AS rn
+  FROM stacked WHERE value IS NOT NULL AND NOT isnan(value)
+)
+SELECT title, metric, format, value FROM ranked WHERE rn = 1
+""")
+def q_best_per_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.reports import best_per_metric
+    return best_per_metric(format_metrics(load_table(spark, sf_dir, "lineitem")))
+
+
+# Engine timings derived from lineitem: step = return flag, engine = line
+# status, seconds = number of lines (integral, so sums are exact in any order).
+def engine_timings(lineitem: DataFrame) -> DataFrame:
+    return (lineitem.groupBy(F.col("l_returnflag").alias("step"),
+                             F.col("l_linestatus").alias("engine"))
+            .agg(F.count(F.lit(1)).cast("double").alias("seconds")))
+
+
+_TIMINGS_SQL = """
+timings AS (
+  SELECT l_returnflag AS step, l_linestatus AS engine, CAST(COUNT(*) AS DOUBLE) AS seconds
+  FROM lineitem GROUP BY 1, 2
+)"""
+
+
+@register("timing_compare", "WITH" + _TIMINGS_SQL + """,
+wide AS (
+  SELECT step, SUM(CASE WHEN engine = 'F' THEN seconds END) AS "F_s",
+         SUM(CASE WHEN engine = 'O' THEN seconds END) AS "O_s"
+  FROM timings GROUP BY step
+)
+SELECT step, "F_s", "O_s",
+       CASE WHEN "F_s" IS NULL OR "O_s" IS NULL THEN NULL
+            WHEN "F_s" < "O_s" THEN 'F' ELSE 'O' END AS faster
+FROM wide
+""")
+def q_timing_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.reports import timing_compare
+    return timing_compare(engine_timings(load_table(spark, sf_dir, "lineitem")), "F", "O")
+
+
+@register("timing_totals", "WITH" + _TIMINGS_SQL + """
+SELECT engine, SUM(seconds) AS total_seconds FROM timings GROUP BY engine
+""")
+def q_timing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.reports import step_totals
+    return step_totals(engine_timings(load_table(spark, sf_dir, "lineitem")))
