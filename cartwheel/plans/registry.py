@@ -377,3 +377,133 @@ SELECT engine, SUM(seconds) AS total_seconds FROM timings GROUP BY engine
 def q_timing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.reports import step_totals
     return step_totals(engine_timings(load_table(spark, sf_dir, "lineitem")))
+
+
+# ---------------------------------------------------------------- generators
+# Generated columns come from xxhash64, which DuckDB does not have, so the
+# generated tables themselves get a rows-only check.  Each ``*_check`` query
+# reduces a generated table to invariants that must hold whatever the hash
+# values are (row counts, exactly-once draws, no orphan keys, value ranges),
+# and its oracle derives them from the source tables.
+
+
+def _customer_ids(spark, sf_dir):
+    return load_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+
+
+def _product_ids(spark, sf_dir):
+    return load_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"))
+
+
+def _order_ids(spark, sf_dir):
+    return load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"))
+
+
+@register("generate_customers")
+def q_generate_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import customers_from_ids
+    return customers_from_ids(_customer_ids(spark, sf_dir))
+
+
+@register("generate_products")
+def q_generate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import products_from_ids
+    return products_from_ids(_product_ids(spark, sf_dir))
+
+
+@register("generate_orders")
+def q_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import orders_from_ids
+    return orders_from_ids(_order_ids(spark, sf_dir), _customer_ids(spark, sf_dir),
+                           _product_ids(spark, sf_dir))
+
+
+@register("generate_format_table")
+def q_generate_format_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import format_table_from_ids
+    ids = load_table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("id"))
+    return format_table_from_ids(ids)
+
+
+@register("weighted_sample")
+def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.sampling import pareto_weights, weighted_sample
+    return weighted_sample(_order_ids(spark, sf_dir), "order_id",
+                           pareto_weights(_customer_ids(spark, sf_dir), "customer_id"),
+                           "customer_id")
+
+
+@register("weighted_sample_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS draws,
+       CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS distinct_draws,
+       CAST(0 AS BIGINT) AS orphan_draws
+FROM orders
+""")
+def q_weighted_sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = q_weighted_sample(spark, sf_dir)
+    known = sample.join(_customer_ids(spark, sf_dir), "customer_id", "left_semi")
+    return sample.agg(F.count(F.lit(1)).alias("draws"),
+                      F.count_distinct("order_id").alias("distinct_draws")).select(
+        "draws", "distinct_draws",
+        (F.col("draws") - known.agg(F.count(F.lit(1))).scalar()).alias("orphan_draws"))
+
+
+@register("generate_orders_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS order_rows,
+       CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS distinct_orders,
+       CAST(COUNT(*) AS BIGINT) AS known_customers,
+       CAST(COUNT(*) AS BIGINT) AS known_products,
+       CAST(COUNT(*) AS BIGINT) AS in_range
+FROM orders
+""")
+def q_generate_orders_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import DEFAULT_AS_OF
+    gen = q_generate_orders(spark, sf_dir)
+    known_c = gen.join(_customer_ids(spark, sf_dir), "customer_id", "left_semi")
+    known_p = gen.join(_product_ids(spark, sf_dir), "product_id", "left_semi")
+    window_start = F.date_sub(F.lit(DEFAULT_AS_OF), 730)
+    in_range = (F.col("quantity").between(1, 10)
+                & F.col("order_date").between(window_start, F.lit(DEFAULT_AS_OF)))
+    return gen.agg(
+        F.count(F.lit(1)).alias("order_rows"),
+        F.count_distinct("order_id").alias("distinct_orders"),
+        F.count_if(in_range).alias("in_range"),
+    ).select("order_rows", "distinct_orders",
+             known_c.agg(F.count(F.lit(1))).scalar().alias("known_customers"),
+             known_p.agg(F.count(F.lit(1))).scalar().alias("known_products"),
+             "in_range")
+
+
+@register("generate_customers_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS customer_rows,
+       CAST(COUNT(DISTINCT c_custkey) AS BIGINT) AS distinct_customers,
+       CAST(COUNT(*) AS BIGINT) AS in_range
+FROM customer
+""")
+def q_generate_customers_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.operators.generate import DEFAULT_AS_OF
+    gen = q_generate_customers(spark, sf_dir)
+    in_range = (F.col("age").between(18, 95)
+                & F.col("registration_date").between(F.date_sub(F.lit(DEFAULT_AS_OF), 1825),
+                                                     F.lit(DEFAULT_AS_OF)))
+    return gen.agg(F.count(F.lit(1)).alias("customer_rows"),
+                   F.count_distinct("customer_id").alias("distinct_customers"),
+                   F.count_if(in_range).alias("in_range"))
+
+
+@register("generate_products_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS product_rows,
+       CAST(COUNT(DISTINCT p_partkey) AS BIGINT) AS distinct_products,
+       CAST(5 AS BIGINT) AS categories,
+       CAST(COUNT(*) AS BIGINT) AS in_range
+FROM part
+""")
+def q_generate_products_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gen = q_generate_products(spark, sf_dir)
+    in_range = (F.col("price").between(10, 500) & F.col("stock").between(0, 1000)
+                & F.col("rating").between(1, 5)
+                & (F.bround("price", 2) == F.col("price")))
+    return gen.agg(F.count(F.lit(1)).alias("product_rows"),
+                   F.count_distinct("product_id").alias("distinct_products"),
+                   F.count_distinct("category").alias("categories"),
+                   F.count_if(in_range).alias("in_range"))
