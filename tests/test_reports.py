@@ -1,0 +1,103 @@
+"""Report operators over metric tables."""
+
+import pytest
+
+from cartwheel import schemas
+from cartwheel.operators import reports
+
+
+def metrics(spark, rows):
+    return spark.createDataFrame(rows, schemas.FORMAT_METRICS)
+
+
+def test_savings_half_even_rounding(spark):
+    # (800 - 799) / 800 * 100 = 0.125 exactly: half-even gives 0.12, not 0.13
+    m = metrics(spark, [("CSV", 0, 800.0, 1.0, 1.0, 0.0, 0.0, 1.0),
+                        ("Parquet", 1, 799.0, 0.5, 0.25, 0.0, 0.0, 0.5)])
+    r = reports.savings_vs_baseline(m).collect()
+    assert len(r) == 1
+    row = r[0].asDict()
+    assert row["format"] == "Parquet"
+    assert row["size_savings_%"] == 0.12
+    assert row["write_time_savings_%"] == 50.0
+    assert row["read_time_savings_%"] == 75.0
+    assert row["energy_savings_%"] == 50.0
+
+
+def test_savings_include_baseline(spark):
+    m = metrics(spark, [("CSV", 0, 10.0, 1.0, 1.0, 0.0, 0.0, 1.0),
+                        ("ORC", 1, 5.0, 1.0, 1.0, 0.0, 0.0, 1.0)])
+    rows = {r.format: r["size_savings_%"]
+            for r in reports.savings_vs_baseline(m, include_baseline=True).collect()}
+    assert rows == {"CSV": 0.0, "ORC": 50.0}
+
+
+def test_savings_missing_or_zero_baseline_is_null(spark):
+    m = metrics(spark, [("Parquet", 1, 5.0, 1.0, 1.0, 0.0, 0.0, 1.0)])
+    r = reports.savings_vs_baseline(m).collect()[0]
+    assert r["size_savings_%"] is None
+    z = metrics(spark, [("CSV", 0, 0.0, 1.0, 1.0, 0.0, 0.0, 1.0),
+                        ("ORC", 1, 5.0, 1.0, 1.0, 0.0, 0.0, 1.0)])
+    r = reports.savings_vs_baseline(z).collect()[0]
+    assert r["size_savings_%"] is None and r["write_time_savings_%"] == 0.0
+
+
+def test_savings_first_baseline_row_wins(spark):
+    m = metrics(spark, [("CSV", 5, 100.0, 1.0, 1.0, 0.0, 0.0, 1.0),
+                        ("CSV", 2, 50.0, 1.0, 1.0, 0.0, 0.0, 1.0),
+                        ("ORC", 9, 25.0, 1.0, 1.0, 0.0, 0.0, 1.0)])
+    r = reports.savings_vs_baseline(m).collect()
+    assert [x["size_savings_%"] for x in r] == [50.0]
+
+
+def test_best_per_metric_ties_and_nan(spark):
+    nan = float("nan")
+    m = metrics(spark, [
+        ("CSV", 0, 10.0, nan, 2.0, 0.0, 0.0, 3.0),
+        ("Parquet", 1, 4.0, 1.0, 2.0, 0.0, 0.0, None),
+        ("ORC", 2, 4.0, 1.0, 3.0, 0.0, 0.0, 3.0),
+    ])
+    got = {r.title: (r.metric, r.format, r.value) for r in reports.best_per_metric(m).collect()}
+    assert got == {
+        "Fastest Write": ("write_time_s", "Parquet", 1.0),
+        "Fastest Read": ("read_time_s", "CSV", 2.0),
+        "Smallest File": ("file_size_mb", "Parquet", 4.0),
+        "Lowest Energy": ("energy_wh", "CSV", 3.0),
+    }
+
+
+def test_energy_and_peak(spark):
+    phases = spark.createDataFrame([("CSV", 0, 3.0, 0.6, 100.0, 250.0)], schemas.PHASE_METRICS)
+    r = reports.energy_and_peak(phases).collect()[0]
+    assert r.cpu_time_s == pytest.approx(3.6)
+    assert r.peak_memory_mb == 250.0
+    assert r.energy_wh == pytest.approx(3.6 * 65 / 3600)
+    r2 = reports.energy_and_peak(phases, tdp_watts=100).collect()[0]
+    assert r2.energy_wh == pytest.approx(0.1)
+
+
+def test_timing_compare_strict_less_and_ties(spark):
+    t = spark.createDataFrame([
+        ("Load", "pandas", 1.0), ("Load", "spark", 2.0),
+        ("Join+Agg", "pandas", 3.0), ("Join+Agg", "spark", 3.0),
+        ("Total", "pandas", 4.0),
+    ], schemas.ENGINE_TIMINGS)
+    got = {r.step: tuple(r)[1:] for r in
+           reports.timing_compare(t, "pandas", "spark", "Pandas", "PySpark").collect()}
+    assert got == {"Load": (1.0, 2.0, "Pandas"),
+                   "Join+Agg": (3.0, 3.0, "PySpark"),
+                   "Total": (4.0, None, None)}
+
+
+def test_step_totals(spark):
+    t = spark.createDataFrame([("Load", "a", 1.0), ("Agg", "a", 2.0), ("Load", "b", 5.0)],
+                              schemas.ENGINE_TIMINGS)
+    got = {r.engine: r.total_seconds for r in reports.step_totals(t).collect()}
+    assert got == {"a": 3.0, "b": 5.0}
+
+
+def test_dataset_summary(spark):
+    a = spark.range(5)
+    b = spark.range(0)
+    got = {r.dataset: r.record_count for r in reports.dataset_summary({"a": a, "b": b}).collect()}
+    assert got == {"a": 5, "b": 0}
