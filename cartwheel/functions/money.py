@@ -1,9 +1,10 @@
 """Money and ratio expressions (built-in Column expressions only).
 
-Revenue is summed in DECIMAL and converted to double once, after the sum:
-prices carry two decimals and quantities are integers, so the decimal sum is
-exact and does not depend on row order or partition layout.  A plain double
-sum would change in its last bits whenever the data is laid out differently.
+Revenue is exact: prices are taken to the cent, each line is an integer
+number of cents (quantity * price_cents, a 64-bit multiply), sums are exact
+decimals, and the conversion to double happens once, after the sum.  The
+result does not depend on row order or partition layout; a plain double sum
+would change in its last bits whenever the data is laid out differently.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-QUANTITY_DECIMAL = "decimal(18,0)"
 PRICE_DECIMAL = "decimal(18,2)"
 
 
@@ -20,18 +20,65 @@ def _col(c: str | Column) -> Column:
 
 
 def exact_price(price: str | Column) -> Column:
-    """A two-decimal price as an exact decimal."""
+    """A price as an exact two-decimal value (half-up to the cent)."""
     return _col(price).cast(PRICE_DECIMAL)
 
 
-def line_revenue_exact(quantity: str | Column, price: str | Column) -> Column:
-    """quantity * price as an exact decimal (decimal(37,2))."""
-    return _col(quantity).cast(QUANTITY_DECIMAL) * exact_price(price)
+def price_cents(price: str | Column) -> Column:
+    """A price in whole cents (bigint): the exact two-decimal price times 100.
 
+    Computed on the product side of a join (one row per product), so the
+    decimal work is paid per product, not per order line.
+    """
+    return (exact_price(price) * F.lit(100)).cast("bigint")
+
+
+def line_cents(quantity: str | Column, cents: str | Column) -> Column:
+    """quantity * price in cents: a 64-bit integer multiply per line.
+
+    Overflow (beyond 9.2e18 cents on one line) raises under ANSI mode.
+    """
+    return _col(quantity).cast("bigint") * _col(cents)
+
+
+# Sums of cents run as two 64-bit sums, of c // SPLIT and of the remainder,
+# instead of one decimal sum: long buffers stay on Spark's fast aggregation
+# path, and the pair is exact with no overflow below ~9e12 lines per group.
+SPLIT = 1_000_000
+
+
+def sum_cents(cents: str | Column, name: str) -> list[Column]:
+    """Aggregate columns ``{name}_hi`` and ``{name}_lo`` for an exact cent sum.
 
-def to_money(total: str | Column) -> Column:
-    """Exact decimal total -> double, rounded once."""
-    return _col(total).cast("double")
+    ``hi`` may be rounded either way (it comes from a double division); the
+    remainder is computed from it exactly in 64-bit integers, so
+    ``hi * SPLIT + lo`` is always exactly the line value.
+    """
+    c = _col(cents)
+    hi = F.floor(c / F.lit(float(SPLIT))).cast("bigint")
+    lo = c - hi * F.lit(SPLIT).cast("bigint")
+    return [F.sum(hi).alias(f"{name}_hi"), F.sum(lo).alias(f"{name}_lo")]
+
+
+def summed_cents(name: str) -> Column:
+    """The exact total of a :func:`sum_cents` pair, as decimal(38,0)."""
+    hi = F.col(f"{name}_hi").cast("decimal(38,0)")
+    lo = F.col(f"{name}_lo").cast("decimal(38,0)")
+    return (hi * F.lit(SPLIT) + lo).cast("decimal(38,0)")
+
+
+def cents_to_money(total_cents: str | Column) -> Column:
+    """An exact cent total -> double, rounded once (decimal division by 100)."""
+    return (_col(total_cents).cast("decimal(38,0)") / F.lit(100)).cast("double")
+
+
+def line_cents_to_money(cents: str | Column) -> Column:
+    """One line's cents -> double.
+
+    Exact below 2^53 cents (9e13 currency units per line), so it equals the
+    decimal conversion without a per-row decimal division.
+    """
+    return _col(cents).cast("double") / F.lit(100.0)
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

@@ -25,30 +25,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import (exact_price, growth_percentage, line_revenue_exact,
-                                       ratio, to_money)
+from cartwheel.functions.money import (cents_to_money, growth_percentage, line_cents,
+                                       line_cents_to_money, price_cents, ratio, sum_cents,
+                                       summed_cents)
 
-_REV = "_revenue_exact"
+_CENTS = "_price_cents"
+_REV = "_line_cents"
 
 
 def priced_lines(orders: DataFrame, products: DataFrame, how: str = "inner",
                  extra_product_cols: tuple[str, ...] = ()) -> DataFrame:
     """Orders joined to product prices, with the exact line revenue attached.
 
-    ``how="inner"`` drops lines whose product is unknown (or NULL);
-    ``how="left"`` keeps them with a NULL price and NULL revenue.
+    The price is turned into cents on the product side, before the join, so
+    each order line costs one integer multiply.  ``how="inner"`` drops lines
+    whose product is unknown (or NULL); ``how="left"`` keeps them with a
+    NULL price and NULL revenue.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    cols = ["product_id", "price", *extra_product_cols]
-    joined = orders.join(products.select(*cols), on="product_id", how=how)
-    return joined.withColumn(_REV, line_revenue_exact("quantity", "price"))
+    prices = products.select("product_id", "price", price_cents("price").alias(_CENTS),
+                             *extra_product_cols)
+    joined = orders.join(prices, on="product_id", how=how)
+    return joined.withColumn(_REV, line_cents("quantity", _CENTS))
 
 
 def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
     """Each order line with ``line_revenue = quantity * price`` (double)."""
     lines = priced_lines(orders, products, how)
-    return lines.withColumn("line_revenue", to_money(_REV)).drop(_REV)
+    return lines.withColumn("line_revenue", line_cents_to_money(_REV)).drop(_REV, _CENTS)
 
 
 def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
@@ -60,8 +65,8 @@ def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10
     """
     per_customer = (priced_lines(orders, products)
                     .groupBy("customer_id")
-                    .agg(F.sum(_REV).alias(_REV), F.count("order_id").alias("order_count")))
-    total = to_money(_REV)
+                    .agg(*sum_cents(_REV, _REV), F.count("order_id").alias("order_count")))
+    total = cents_to_money(summed_cents(_REV))
     return (per_customer
             .select("customer_id",
                     total.alias("total_revenue"),
@@ -79,16 +84,17 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     per_category = (priced_lines(orders, products, extra_product_cols=("category",))
                     .groupBy("category")
-                    .agg(F.sum(_REV).alias(_REV),
+                    .agg(*sum_cents(_REV, _REV),
                          F.sum("quantity").alias("total_units_sold"),
-                         F.sum(exact_price("price")).alias("_price_sum"),
+                         *sum_cents(_CENTS, "_price_sum"),
                          F.count("price").alias("_price_count"),
                          F.count("order_id").alias("order_count")))
     return (per_category
             .select("category",
-                    to_money(_REV).alias("total_revenue"),
+                    cents_to_money(summed_cents(_REV)).alias("total_revenue"),
                     "total_units_sold",
-                    ratio(to_money("_price_sum"), "_price_count").alias("avg_price"),
+                    ratio(cents_to_money(summed_cents("_price_sum")), "_price_count")
+                    .alias("avg_price"),
                     "order_count")
             .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("category")))
 
@@ -97,7 +103,8 @@ def monthly_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue per calendar month: (year_month DATE, total_revenue double)."""
     return (priced_lines(orders, products)
             .groupBy(F.trunc("order_date", "month").alias("year_month"))
-            .agg(to_money(F.sum(_REV)).alias("total_revenue")))
+            .agg(*sum_cents(_REV, _REV))
+            .select("year_month", cents_to_money(summed_cents(_REV)).alias("total_revenue")))
 
 
 def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -130,7 +137,9 @@ def customer_revenue_left(orders: DataFrame, products: DataFrame, n: int = 10) -
     """
     per_customer = (priced_lines(orders, products, how="left")
                     .groupBy("customer_id")
-                    .agg(to_money(F.sum(_REV)).alias("total_revenue")))
+                    .agg(*sum_cents(_REV, _REV))
+                    .select("customer_id",
+                            cents_to_money(summed_cents(_REV)).alias("total_revenue")))
     return (per_customer
             .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
             .limit(n))
@@ -146,7 +155,10 @@ def customer_revenue_left_zero(orders: DataFrame, products: DataFrame, n: int =
     per_customer = (priced_lines(orders, products, how="left")
                     .where(F.col("customer_id").isNotNull())
                     .groupBy("customer_id")
-                    .agg(F.coalesce(to_money(F.sum(_REV)), F.lit(0.0)).alias("revenue")))
+                    .agg(*sum_cents(_REV, _REV))
+                    .select("customer_id",
+                            F.coalesce(cents_to_money(summed_cents(_REV)), F.lit(0.0))
+                            .alias("revenue")))
     return (per_customer
             .orderBy(F.desc("revenue"), F.asc("customer_id"))
             .limit(n))

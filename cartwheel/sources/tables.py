@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.schemas import WAREHOUSE
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -26,9 +28,13 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a warehouse table with its declared schema (no inference job)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return load_parquet(spark, table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    if name in WAREHOUSE:
+        return spark.read.schema(WAREHOUSE[name]).parquet(path)
+    return load_parquet(spark, path)
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
