@@ -66,15 +66,16 @@ def savings_vs_baseline(metrics: DataFrame, baseline: str = "CSV",
     """Percentage savings of every format against the baseline format.
 
     Adds the four ``*_savings_%`` columns, rounded half-to-even to 2 places.
-    The baseline is the first row (lowest ``order_col``) with that label; it
-    is read as a scalar subquery, so no join is planned.  When the baseline
-    is missing or its metric is 0 the savings are NULL.
+    The baseline is the first row (lowest ``order_col``) with that label,
+    read as one struct-valued scalar subquery (no join is planned).  When
+    the baseline is missing or its metric is 0 the savings are NULL.
     """
-    base = metrics.where(F.col(label_col) == F.lit(baseline))
+    base = (metrics.where(F.col(label_col) == F.lit(baseline))
+            .agg(F.min_by(F.struct(*[m for _, m in SAVINGS_COLUMNS]), order_col))
+            .scalar())
     out = metrics
     for name, metric in SAVINGS_COLUMNS:
-        base_value = base.agg(F.min_by(metric, order_col)).scalar()
-        out = out.withColumn(name, savings_percentage(base_value, metric))
+        out = out.withColumn(name, savings_percentage(base.getField(metric), metric))
     if not include_baseline:
         out = out.where(~F.col(label_col).eqNullSafe(F.lit(baseline)))
     return out
@@ -86,17 +87,20 @@ def best_per_metric(metrics: DataFrame, label_col: str = "format",
     """For each metric, the row holding its smallest value.
 
     Columns: title, metric, format, value.  NULL and NaN values are skipped;
-    equal minima go to the row that comes first in ``order_col``.
+    equal minima go to the row that comes first in ``order_col``.  One pass:
+    the metric columns are unpivoted, then a single grouped ``min`` of
+    (value, order, label) per metric.
     """
-    stacked = reduce(DataFrame.unionAll, [
-        metrics.select(F.lit(title).alias("title"), F.lit(metric).alias("metric"),
-                       F.col(label_col).alias("_label"), F.col(order_col).alias("_ord"),
-                       F.col(metric).cast("double").alias("_value"))
-        for title, metric in metrics_spec])
+    names = [m for _, m in metrics_spec]
+    titles = F.create_map(*[F.lit(x) for pair in metrics_spec for x in (pair[1], pair[0])])
+    stacked = (metrics
+               .select(F.col(label_col).alias("_label"), F.col(order_col).alias("_ord"),
+                       *[F.col(m).cast("double").alias(m) for m in names])
+               .unpivot(["_label", "_ord"], names, "metric", "_value"))
     valid = stacked.where(F.col("_value").isNotNull() & ~F.isnan("_value"))
-    best = (valid.groupBy("title", "metric")
+    best = (valid.groupBy("metric")
             .agg(F.min(F.struct("_value", "_ord", "_label")).alias("_best")))
-    return best.select("title", "metric",
+    return best.select(titles[F.col("metric")].alias("title"), "metric",
                        F.col("_best._label").alias(label_col),
                        F.col("_best._value").alias("value"))
 

@@ -56,6 +56,57 @@ def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") ->
     return lines.withColumn("line_revenue", line_cents_to_money(_REV)).drop(_REV, _CENTS)
 
 
+# Aggregate columns shared by the standalone queries and the single-pass run.
+def line_aggregates() -> list:
+    """Per-group aggregates of priced lines: exact revenue, line count,
+    units, exact price sum and priced-line count."""
+    return [*sum_cents(_REV, _REV),
+            F.count("order_id").alias("order_count"),
+            F.sum("quantity").alias("total_units_sold"),
+            *sum_cents(_CENTS, "_price_sum"),
+            F.count("price").alias("_price_count")]
+
+
+def finish_top_customers(per_customer: DataFrame, n: int = 10) -> DataFrame:
+    """Top-n from per-customer aggregates (see :func:`line_aggregates`)."""
+    total = cents_to_money(summed_cents(_REV))
+    return (per_customer
+            .select("customer_id",
+                    total.alias("total_revenue"),
+                    "order_count",
+                    ratio(total, "order_count").alias("avg_order_value"))
+            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
+            .limit(n))
+
+
+def finish_sales_by_category(per_category: DataFrame) -> DataFrame:
+    """Category report from per-category aggregates."""
+    return (per_category
+            .select("category",
+                    cents_to_money(summed_cents(_REV)).alias("total_revenue"),
+                    "total_units_sold",
+                    ratio(cents_to_money(summed_cents("_price_sum")), "_price_count")
+                    .alias("avg_price"),
+                    "order_count")
+            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("category")))
+
+
+def finish_monthly_trends(per_month: DataFrame) -> DataFrame:
+    """Month-over-month growth from per-month aggregates.
+
+    The window has no partition key and runs in one task; its input is one
+    row per calendar month present, so its size is bounded by the calendar
+    span of the data, not by the data volume.
+    """
+    by_month = Window.orderBy(F.asc_nulls_first("year_month"))
+    monthly = per_month.select("year_month",
+                               cents_to_money(summed_cents(_REV)).alias("total_revenue"))
+    return (monthly
+            .withColumn("prev_month_revenue", F.lag("total_revenue").over(by_month))
+            .withColumn("growth_percentage",
+                        growth_percentage("total_revenue", "prev_month_revenue")))
+
+
 def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` customers by revenue.
 
@@ -66,14 +117,7 @@ def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10
     per_customer = (priced_lines(orders, products)
                     .groupBy("customer_id")
                     .agg(*sum_cents(_REV, _REV), F.count("order_id").alias("order_count")))
-    total = cents_to_money(summed_cents(_REV))
-    return (per_customer
-            .select("customer_id",
-                    total.alias("total_revenue"),
-                    "order_count",
-                    ratio(total, "order_count").alias("avg_order_value"))
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
-            .limit(n))
+    return finish_top_customers(per_customer, n)
 
 
 def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -84,19 +128,8 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     per_category = (priced_lines(orders, products, extra_product_cols=("category",))
                     .groupBy("category")
-                    .agg(*sum_cents(_REV, _REV),
-                         F.sum("quantity").alias("total_units_sold"),
-                         *sum_cents(_CENTS, "_price_sum"),
-                         F.count("price").alias("_price_count"),
-                         F.count("order_id").alias("order_count")))
-    return (per_category
-            .select("category",
-                    cents_to_money(summed_cents(_REV)).alias("total_revenue"),
-                    "total_units_sold",
-                    ratio(cents_to_money(summed_cents("_price_sum")), "_price_count")
-                    .alias("avg_price"),
-                    "order_count")
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("category")))
+                    .agg(*line_aggregates()))
+    return finish_sales_by_category(per_category)
 
 
 def monthly_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -114,18 +147,42 @@ def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
     The predecessor is the previous month *present in the data* (a missing
     month is skipped, not treated as zero).  Growth is NULL for the first
     month and when the predecessor's revenue is 0.
+    """
+    per_month = (priced_lines(orders, products)
+                 .groupBy(F.trunc("order_date", "month").alias("year_month"))
+                 .agg(*sum_cents(_REV, _REV)))
+    return finish_monthly_trends(per_month)
 
-    The window has no partition key and runs in one task; its input is the
-    monthly aggregate, one row per month, so its size is bounded by the
-    calendar span of the data, not by the data volume.
+
+def combined_aggregates(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Per-customer, per-category and per-month aggregates in one pass.
+
+    One scan and one join pipeline feed a GROUPING SETS aggregate (an
+    Expand before the partial aggregate, one shuffle).  ``_set`` names the
+    grouping set of each row: ``customer``, ``category`` or ``month``.
     """
-    monthly = monthly_revenue(orders, products)
-    by_month = Window.orderBy(F.asc_nulls_first("year_month"))
-    prev = F.lag("total_revenue").over(by_month)
-    return (monthly
-            .withColumn("prev_month_revenue", prev)
-            .withColumn("growth_percentage",
-                        growth_percentage("total_revenue", "prev_month_revenue")))
+    lines = (priced_lines(orders, products, extra_product_cols=("category",))
+             .withColumn("year_month", F.trunc("order_date", "month")))
+    keys = ["customer_id", "category", "year_month"]
+    agg = (lines.groupingSets([["customer_id"], ["category"], ["year_month"]], *keys)
+           .agg(*line_aggregates(), F.grouping_id().alias("_gid")))
+    # grouping_id bits are (customer_id, category, year_month), 1 = rolled up
+    label = (F.when(F.col("_gid") == 3, "customer")
+             .when(F.col("_gid") == 5, "category")
+             .when(F.col("_gid") == 6, "month"))
+    return agg.withColumn("_set", label).drop("_gid")
+
+
+def split_combined(combined: DataFrame, n: int = 10) -> dict[str, DataFrame]:
+    """The three analyses from :func:`combined_aggregates` output."""
+    return {
+        "top_customers": finish_top_customers(
+            combined.where(F.col("_set") == "customer"), n),
+        "category_sales": finish_sales_by_category(
+            combined.where(F.col("_set") == "category")),
+        "monthly_trends": finish_monthly_trends(
+            combined.where(F.col("_set") == "month")),
+    }
 
 
 def customer_revenue_left(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
