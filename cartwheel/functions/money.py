@@ -95,9 +95,20 @@ def growth_percentage(current: str | Column, previous: str | Column) -> Column:
     return ratio(_col(current) - _col(previous), _col(previous)) * F.lit(100)
 
 
+def round_half_even(x: str | Column, digits: int = 2) -> Column:
+    """Round half-to-even like NumPy: a negative value rounding to zero stays -0.0.
+
+    ``bround`` works on decimals, which have no negative zero.
+    """
+    x = _col(x)
+    r = F.bround(x, digits)
+    return F.when((r == F.lit(0.0)) & (x < F.lit(0.0)), F.lit(-0.0)).otherwise(r)
+
+
 def savings_percentage(baseline: str | Column, value: str | Column, digits: int = 2) -> Column:
     """(baseline - value) / baseline * 100, rounded half-to-even."""
-    return F.bround(ratio(_col(baseline) - _col(value), _col(baseline)) * F.lit(100), digits)
+    return round_half_even(ratio(_col(baseline) - _col(value), _col(baseline)) * F.lit(100),
+                           digits)
 
 
 def energy_wh(cpu_seconds: str | Column, tdp_watts: float = 65.0) -> Column:

@@ -239,16 +239,20 @@ def q_analytics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- metric reports
 # Metric tables derived from lineitem, one row per line number (the "format"
-# label).  Means are exact-decimal sums divided by counts so that both engines
-# produce the same doubles.
+# label).  The source columns have two decimals; means are exact integer
+# sums of hundredths (floor(x * 100 + 0.5), plain double arithmetic, no
+# per-row decimal) divided by 100 and by the count, the same IEEE steps in
+# both engines, so both produce the same doubles whatever the summing order.
 
 
 def _mean(c: str):
-    return F.try_divide(F.sum(F.col(c).cast("decimal(18,2)")).cast("double"), F.count(c))
+    hundredths = F.floor(F.col(c) * F.lit(100.0) + F.lit(0.5))
+    return F.try_divide(F.sum(hundredths).cast("double") / F.lit(100.0), F.count(c))
 
 
 def _mean_sql(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT({c}), 0)"
+    return (f"CAST(SUM(CAST(FLOOR({c} * CAST(100 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT))"
+            f" AS DOUBLE) / CAST(100 AS DOUBLE) / NULLIF(COUNT({c}), 0)")
 
 
 def phase_metrics(lineitem: DataFrame) -> DataFrame:

@@ -39,3 +39,12 @@ def test_ratio_and_growth_null_on_zero(spark):
                   money.savings_percentage("b", "a").alias("s")).collect()
     assert [(x.q, x.g) for x in r] == [(None, None), (2.0, 100.0), (None, None)]
     assert r[1].s == -100.0
+
+
+def test_round_half_even_keeps_negative_zero(spark):
+    import math
+    df = spark.createDataFrame([(-0.001,), (0.125,), (0.135,), (-2.675,), (0.004,)], "x double")
+    got = [r.r for r in df.select(money.round_half_even("x", 2).alias("r")).collect()]
+    assert got[1:] == [0.12, 0.14, -2.68, 0.0]  # as numpy.round
+    assert got[0] == 0.0 and math.copysign(1.0, got[0]) == -1.0
+    assert math.copysign(1.0, got[4]) == 1.0
