@@ -511,3 +511,15 @@ def q_generate_products_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.count_distinct("product_id").alias("distinct_products"),
                    F.count_distinct("category").alias("categories"),
                    F.count_if(in_range).alias("in_range"))
+
+
+# ---------------------------------------------------------------- format benchmark
+# Timings are wall clock, so only the row count is checked (no oracle).
+
+
+@register("format_benchmark")
+def q_format_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.plans.format_benchmark import benchmark_formats
+    from cartwheel.session import shared_path
+    return benchmark_formats(load_table(spark, sf_dir, "events"),
+                             shared_path(spark, "format-benchmark"))
