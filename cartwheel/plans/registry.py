@@ -445,11 +445,12 @@ FROM orders
 """)
 def q_weighted_sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = q_weighted_sample(spark, sf_dir)
-    known = sample.join(_customer_ids(spark, sf_dir), "customer_id", "left_semi")
-    return sample.agg(F.count(F.lit(1)).alias("draws"),
-                      F.count_distinct("order_id").alias("distinct_draws")).select(
-        "draws", "distinct_draws",
-        (F.col("draws") - known.agg(F.count(F.lit(1))).scalar()).alias("orphan_draws"))
+    known = _customer_ids(spark, sf_dir).withColumn("_known", F.lit(1))
+    # customer keys are unique, so the left join keeps one row per draw
+    return (sample.join(known, "customer_id", "left")
+            .agg(F.count(F.lit(1)).alias("draws"),
+                 F.count_distinct("order_id").alias("distinct_draws"),
+                 F.count_if(F.col("_known").isNull()).alias("orphan_draws")))
 
 
 @register("generate_orders_check", """
@@ -463,19 +464,18 @@ FROM orders
 def q_generate_orders_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import DEFAULT_AS_OF
     gen = q_generate_orders(spark, sf_dir)
-    known_c = gen.join(_customer_ids(spark, sf_dir), "customer_id", "left_semi")
-    known_p = gen.join(_product_ids(spark, sf_dir), "product_id", "left_semi")
+    known_c = _customer_ids(spark, sf_dir).withColumn("_known_c", F.lit(1))
+    known_p = _product_ids(spark, sf_dir).withColumn("_known_p", F.lit(1))
     window_start = F.date_sub(F.lit(DEFAULT_AS_OF), 730)
     in_range = (F.col("quantity").between(1, 10)
                 & F.col("order_date").between(window_start, F.lit(DEFAULT_AS_OF)))
-    return gen.agg(
-        F.count(F.lit(1)).alias("order_rows"),
-        F.count_distinct("order_id").alias("distinct_orders"),
-        F.count_if(in_range).alias("in_range"),
-    ).select("order_rows", "distinct_orders",
-             known_c.agg(F.count(F.lit(1))).scalar().alias("known_customers"),
-             known_p.agg(F.count(F.lit(1))).scalar().alias("known_products"),
-             "in_range")
+    # keys are unique in customer and part: the left joins keep one row per order
+    return (gen.join(known_c, "customer_id", "left").join(known_p, "product_id", "left")
+            .agg(F.count(F.lit(1)).alias("order_rows"),
+                 F.count_distinct("order_id").alias("distinct_orders"),
+                 F.count("_known_c").alias("known_customers"),
+                 F.count("_known_p").alias("known_products"),
+                 F.count_if(in_range).alias("in_range")))
 
 
 @register("generate_customers_check", """
