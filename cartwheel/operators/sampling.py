@@ -121,7 +121,19 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
 
 
 def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
-                   seed: int = 0) -> DataFrame:
-    """Uniform draw with replacement from ``items`` (all weights equal)."""
-    ones = items.select(item_key, F.lit(1).cast("bigint").alias("weight"))
-    return weighted_sample(draws, draw_key, ones, item_key, seed=seed)
+                   seed: int = 0, chunks: int = 4096) -> DataFrame:
+    """Uniform draw with replacement from ``items`` (all weights equal).
+
+    With unit weights the prefix sums give every item a dense position
+    0..N-1, so each draw is a hashed position and the owner is found by a
+    plain equi-join on it: no bucket expansion is needed.
+    """
+    if draw_key == item_key:
+        raise ValueError("draw_key and item_key must have different names")
+    ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
+    n_items = ones.agg(F.count(F.lit(1))).scalar()
+    u = hashed_uniform(draw_key, seed, "weighted-draw")
+    pts = draws.select(draw_key).withColumn(
+        "_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
+    positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
+    return pts.join(positions, "_pos").select(draw_key, item_key)

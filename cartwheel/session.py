@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared, "
+                           "fault-tolerant folder for intermediates, not a machine-local one")
     local = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

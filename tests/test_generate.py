@@ -112,3 +112,12 @@ def test_pareto_weights_minimum(spark):
     w = pareto_weights(spark.range(5000).withColumnRenamed("id", "c"), "c", seed=2)
     r = w.agg(F.min("weight"), F.max("weight")).collect()[0]
     assert r[0] >= 10000 and r[1] > 100000
+
+
+def test_uniform_sample_sparse_ids_exactly_once(spark):
+    items = spark.createDataFrame([(k * 1000 + 7,) for k in range(40)], "product_id long")
+    draws = spark.range(5000).withColumnRenamed("id", "order_id")
+    s = uniform_sample(draws, "order_id", items, "product_id", seed=3)
+    r = s.agg(F.count("*"), F.countDistinct("order_id"), F.countDistinct("product_id")).collect()[0]
+    assert (r[0], r[1], r[2]) == (5000, 5000, 40)
+    assert s.join(items, "product_id", "left_anti").count() == 0
