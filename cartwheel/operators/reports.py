@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import energy_wh, savings_percentage
+from cartwheel.sources.io import format_file_size
 
 # The savings columns the file-format report derives, and the
 # metric each one is computed from.
@@ -33,17 +34,25 @@ BEST_OF_METRICS = (
 )
 
 
-def dataset_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per dataset: (dataset, record_count).
+def dataset_summary(tables: dict[str, DataFrame],
+                    paths: dict[str, str] | None = None) -> DataFrame:
+    """One row per dataset: (dataset, record_count[, size_mb]).
 
     Each count is a global aggregate (parquet answers it from footers when no
-    column is read); the union runs them as one job.
+    column is read); the union runs them as one job.  With ``paths``, the
+    stored size of each dataset's files is added as ``'x.xx MB'`` (or
+    ``'Unknown'``), read from file metadata only.
     """
     if not tables:
         raise ValueError("no datasets")
-    rows = [df.agg(F.count(F.lit(1)).alias("record_count"))
-              .select(F.lit(name).alias("dataset"), "record_count")
-            for name, df in tables.items()]
+    rows = []
+    for name, df in tables.items():
+        row = (df.agg(F.count(F.lit(1)).alias("record_count"))
+               .select(F.lit(name).alias("dataset"), "record_count"))
+        if paths is not None:
+            size = format_file_size(df.sparkSession, paths[name]) if name in paths else "Unknown"
+            row = row.withColumn("size_mb", F.lit(size))
+        rows.append(row)
     return reduce(DataFrame.unionAll, rows)
 
 

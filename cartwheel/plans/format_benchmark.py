@@ -18,12 +18,11 @@ import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.operators import generate
 from cartwheel.operators.reports import dataset_summary
-from cartwheel.sources.io import read_table, stored_size, write_table
+from cartwheel.sources.io import format_file_size, read_table, stored_size, write_table
 
 # Formats measured by default, in measuring order.
 DEFAULT_FORMATS = ("csv", "parquet", "orc")
@@ -31,14 +30,6 @@ DEFAULT_FORMATS = ("csv", "parquet", "orc")
 FORMAT_LABELS = {"csv": "CSV", "parquet": "Parquet", "orc": "ORC"}
 
 
-def format_file_size(spark: SparkSession, path: str) -> str:
-    """Stored size of ``path`` as ``'x.xx MB'``, or ``'Unknown'`` if unreadable."""
-    try:
-        return stored_size(spark, path, glob="part-*").first()["size_mb"]
-    except Exception:  # noqa: BLE001 - any failure to list the files
-        return "Unknown"
-
-
 def benchmark_formats(df: DataFrame, out_dir: str,
                       formats: tuple[str, ...] = DEFAULT_FORMATS) -> DataFrame:
     """Write/read round trip per format; returns a FORMAT_METRICS table.
@@ -85,9 +76,5 @@ def generate_dataset(spark: SparkSession, out_dir: str, num_customers: int,
                                          as_of=as_of), paths["orders"], fmt)
     schema_of = {"customers": schemas.CUSTOMERS, "products": schemas.PRODUCTS,
                  "orders": schemas.ORDERS}
-    counts = dataset_summary({name: read_table(spark, path, fmt, schema_of[name])
-                              for name, path in paths.items()})
-    sizes = spark.createDataFrame(
-        [(name, format_file_size(spark, path)) for name, path in paths.items()],
-        "dataset string, size_mb string")
-    return counts.join(F.broadcast(sizes), "dataset")
+    return dataset_summary({name: read_table(spark, path, fmt, schema_of[name])
+                            for name, path in paths.items()}, paths=paths)

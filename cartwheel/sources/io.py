@@ -89,3 +89,11 @@ def stored_size(spark: SparkSession, path: str, glob: str | None = None) -> Data
     return (files.agg(F.count(F.lit(1)).alias("files"),
                       F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
             .withColumn("size_mb", megabytes_label("size_bytes")))
+
+
+def format_file_size(spark: SparkSession, path: str, glob: str | None = "part-*") -> str:
+    """Stored size of ``path`` as ``'x.xx MB'``, or ``'Unknown'`` if unreadable."""
+    try:
+        return stored_size(spark, path, glob=glob).first()["size_mb"]
+    except Exception:  # noqa: BLE001 - any failure to list the files
+        return "Unknown"

@@ -8,11 +8,15 @@ column pruning and null-filter pushdown reach the parquet scans.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.schemas import WAREHOUSE
 
+log = logging.getLogger(__name__)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -22,9 +26,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def load_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan of a file or directory.  Lazy: no count, no action."""
-    return spark.read.parquet(path)
+def load_parquet(spark: SparkSession, path: str, log_count: bool = False) -> DataFrame:
+    """Parquet scan of a file or directory.
+
+    Lazy by default.  ``log_count=True`` runs one count job and logs the row
+    count.  A failure is logged with the path and re-raised.
+    """
+    try:
+        df = spark.read.parquet(path)
+        if log_count:
+            log.info("loaded %d records from %s", df.count(), path)
+        return df
+    except Exception:
+        log.exception("failed to load parquet from %s", path)
+        raise
 
 
 # Table handles are resolved once per Spark application, as a catalog would:
