@@ -124,8 +124,9 @@ def orders_from_ids(ids: DataFrame, customers: DataFrame, products: DataFrame,
     who = weighted_sample(order_ids, "order_id",
                           pareto_weights(cust_ids, "customer_id", alpha, seed),
                           "customer_id", seed=seed)
-    what = uniform_sample(order_ids, "order_id", prod_ids, "product_id", seed=seed + 1)
-    return (who.join(what, "order_id")
+    # the product draw runs on the customer draw's output: no join of two samples
+    what = uniform_sample(who, "order_id", prod_ids, "product_id", seed=seed + 1)
+    return (what
             .select("order_id", "customer_id", "product_id",
                     hashed_int("order_id", seed, "quantity", 1, 10).alias("quantity"),
                     _days_before(as_of, "order_id", seed, "ordered", 2 * _DAYS_PER_YEAR)

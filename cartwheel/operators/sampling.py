@@ -102,22 +102,27 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
                     chunks: int = 4096) -> DataFrame:
     """For every row of ``draws``, pick one item with probability ∝ its weight.
 
-    Returns (``draw_key``, ``item_key``), one row per draw.  ``draw_key``
-    must be unique (it seeds the draw) and differ in name from ``item_key``.
+    Returns every column of ``draws`` plus ``item_key``, one row per draw.
+    ``draw_key`` must be unique (it seeds the draw) and ``item_key`` must not
+    already be a column of ``draws``.
     """
-    if draw_key == item_key:
-        raise ValueError("draw_key and item_key must have different names")
+    _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight)
     total, width = _line_scalars(weights, buckets_per_item)
     u = hashed_uniform(draw_key, seed, "weighted-draw")
     point = F.least(F.floor(u * total).cast("bigint"), total - 1)
-    pts = (draws.select(draw_key)
+    pts = (draws
            .withColumn("_point", point)
            .withColumn("_bucket", F.floor(F.col("_point") / width).cast("bigint")))
     owners = _explode_buckets(weight_intervals(weights, item_key, chunks), item_key, width)
     matched = pts.join(owners, "_bucket").where(
         (F.col("lo") <= F.col("_point")) & (F.col("_point") < F.col("hi")))
-    return matched.select(draw_key, item_key)
+    return matched.select(*draws.columns, item_key)
+
+
+def _check_names(draws: DataFrame, draw_key: str, item_key: str) -> None:
+    if draw_key == item_key or item_key in draws.columns:
+        raise ValueError(f"{item_key!r} clashes with the columns of the draws")
 
 
 def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
@@ -128,12 +133,10 @@ def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     0..N-1, so each draw is a hashed position and the owner is found by a
     plain equi-join on it: no bucket expansion is needed.
     """
-    if draw_key == item_key:
-        raise ValueError("draw_key and item_key must have different names")
+    _check_names(draws, draw_key, item_key)
     ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
     n_items = ones.agg(F.count(F.lit(1))).scalar()
     u = hashed_uniform(draw_key, seed, "weighted-draw")
-    pts = draws.select(draw_key).withColumn(
-        "_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
+    pts = draws.withColumn("_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
     positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
-    return pts.join(positions, "_pos").select(draw_key, item_key)
+    return pts.join(positions, "_pos").select(*draws.columns, item_key)
