@@ -13,6 +13,10 @@ from cartwheel.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 
+# Spark type name -> DuckDB type name, for the schema comparison.
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
 
 def _norm(v):
     if isinstance(v, float):
@@ -57,6 +61,9 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) > 0
         return
+    rel = duck.sql(sql)
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes} == otypes
     res = duck.execute(sql)
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
