@@ -322,8 +322,12 @@ WHERE m.format <> 'L1'
 """)
 def q_savings_vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.reports import savings_vs_baseline
-    return savings_vs_baseline(format_metrics(load_table(spark, sf_dir, "lineitem")),
-                               baseline="L1")
+    from cartwheel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # the metric table is read twice (rows and baseline subquery): materialise
+    # it once in the shared checkpoint folder instead of aggregating lineitem twice
+    metrics = format_metrics(load_table(spark, sf_dir, "lineitem")).checkpoint()
+    return savings_vs_baseline(metrics, baseline="L1")
 
 
 @register("best_per_metric", "WITH" + _METRICS_SQL + """,

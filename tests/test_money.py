@@ -48,3 +48,16 @@ def test_round_half_even_keeps_negative_zero(spark):
     assert got[1:] == [0.12, 0.14, -2.68, 0.0]  # as numpy.round
     assert got[0] == 0.0 and math.copysign(1.0, got[0]) == -1.0
     assert math.copysign(1.0, got[4]) == 1.0
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(min_value=-(2**62), max_value=2**62)),
+                min_size=1, max_size=40))
+def test_split_sum_matches_python_sum(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "c long")
+    got = df.agg(*money.sum_cents("c", "s")).select(money.summed_cents("s").alias("t")).first().t
+    present = [v for v in values if v is not None]
+    assert got == (Decimal(sum(present)) if present else None)
