@@ -215,26 +215,41 @@ for _fmt in ("parquet", "csv", "orc"):
 # ---------------------------------------------------------------- end-to-end run
 
 
-@register("analytics_run", _with(_ORDERS_SQL, _PRODUCTS_SQL) + """
+@register("analytics_run", _with(_ORDERS_SQL, _PRODUCTS_SQL) + f"""
 , priced AS (
-  SELECT o.*, p.category FROM ord o JOIN products p ON o.product_id = p.product_id
+  SELECT o.*, p.category, {_REV_SQL} AS rev
+  FROM ord o JOIN products p ON o.product_id = p.product_id
+), top AS (
+  SELECT CAST(customer_id AS VARCHAR) AS key, CAST(SUM(rev) AS DOUBLE) AS total_revenue
+  FROM priced GROUP BY customer_id
+  ORDER BY total_revenue DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10
 )
-SELECT 'top_customers' AS dataset,
-       LEAST(CAST(10 AS BIGINT), COUNT(DISTINCT customer_id)) AS record_count FROM priced
+SELECT 'top_customers' AS dataset, key, total_revenue FROM top
 UNION ALL
-SELECT 'category_sales', COUNT(DISTINCT category) FROM priced
+SELECT 'category_sales', category, CAST(SUM(rev) AS DOUBLE) FROM priced GROUP BY category
 UNION ALL
-SELECT 'monthly_trends', COUNT(DISTINCT date_trunc('month', order_date)) FROM priced
+SELECT 'monthly_trends', CAST(CAST(date_trunc('month', order_date) AS DATE) AS VARCHAR),
+       CAST(SUM(rev) AS DOUBLE)
+FROM priced GROUP BY 2
 """)
 def q_analytics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save the three analyses, then count what was written."""
-    from cartwheel.operators.reports import dataset_summary
+    """Save the three analyses, then read back every written row.
+
+    Columns: dataset, key (customer id, category or month as text),
+    total_revenue -- the common columns of the three written datasets.
+    """
     from cartwheel.plans.batch_run import run_analytics
     from cartwheel.session import shared_path
     from cartwheel.sources.io import read_table
     orders, products = sales_inputs(spark, sf_dir)
     paths = run_analytics(orders, products, shared_path(spark, "analytics-run"))
-    return dataset_summary({name: read_table(spark, path) for name, path in paths.items()})
+    keys = {"top_customers": "customer_id", "category_sales": "category",
+            "monthly_trends": "year_month"}
+    parts = [read_table(spark, paths[name]).select(
+                 F.lit(name).alias("dataset"), F.col(key).cast("string").alias("key"),
+                 "total_revenue")
+             for name, key in keys.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # ---------------------------------------------------------------- metric reports
