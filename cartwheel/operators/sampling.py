@@ -45,9 +45,17 @@ def pareto_weights(items: DataFrame, key: str, alpha: float = 1.16, seed: int =
 
 
 def positive_weights(items: DataFrame, key: str, weight: str = "weight") -> DataFrame:
-    """(key, _w): integer weights; NULL or non-positive weights can never be drawn."""
+    """(key, _w): one row per item key with its total integer weight.
+
+    NULL or non-positive weights can never be drawn and are dropped.  A key
+    listed several times is merged into one item with the summed weight --
+    the same draw probability -- so keys are unique afterwards and the hash
+    chunks stay balanced even if one key fills a third of the input.  The
+    merge is a partial aggregate before its shuffle.
+    """
     return (items.select(F.col(key), F.col(weight).cast("bigint").alias("_w"))
-            .where(F.col("_w") > 0))
+            .where(F.col("_w") > 0)
+            .groupBy(key).agg(F.sum("_w").alias("_w")))
 
 
 def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096) -> DataFrame:
@@ -127,16 +135,11 @@ def _check_names(draws: DataFrame, draw_key: str, item_key: str) -> None:
 
 def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
                    seed: int = 0, chunks: int = 4096) -> DataFrame:
-    """Uniform draw with replacement from ``items`` (all weights equal).
+    """Uniform draw with replacement from the rows of ``items``.
 
-    With unit weights the prefix sums give every item a dense position
-    0..N-1, so each draw is a hashed position and the owner is found by a
-    plain equi-join on it: no bucket expansion is needed.
+    Every row is equally likely, so a key listed k times is k times as
+    likely: the weight of a key is its number of rows.
     """
-    _check_names(draws, draw_key, item_key)
-    ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
-    n_items = ones.agg(F.count(F.lit(1))).scalar()
-    u = hashed_uniform(draw_key, seed, "weighted-draw")
-    pts = draws.withColumn("_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
-    positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
-    return pts.join(positions, "_pos").select(*draws.columns, item_key)
+    ones = items.select(item_key, F.lit(1).cast("bigint").alias("_ones"))
+    return weighted_sample(draws, draw_key, ones, item_key, weight="_ones", seed=seed,
+                           chunks=chunks)

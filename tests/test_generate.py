@@ -121,3 +121,18 @@ def test_uniform_sample_sparse_ids_exactly_once(spark):
     r = s.agg(F.count("*"), F.countDistinct("order_id"), F.countDistinct("product_id")).collect()[0]
     assert (r[0], r[1], r[2]) == (5000, 5000, 40)
     assert s.join(items, "product_id", "left_anti").count() == 0
+
+
+def test_duplicate_hot_key_keeps_probability(spark):
+    # key 0 fills a third of the input rows; it must be merged, not land in one chunk
+    rows = [(0, 1)] * 3000 + [(i, 1) for i in range(1, 6001)]
+    items = spark.createDataFrame(rows, "item long, weight long")
+    draws = spark.range(30000).withColumnRenamed("id", "draw")
+    s = weighted_sample(draws, "draw", items, "item", seed=9)
+    r = s.agg(F.count("*"), F.countDistinct("draw"),
+              F.sum((F.col("item") == 0).cast("int"))).collect()[0]
+    assert r[0] == 30000 and r[1] == 30000
+    assert abs(r[2] / 30000 - 1 / 3) < 0.02
+    u = uniform_sample(draws, "draw", items.select("item"), "item", seed=9)
+    share = u.where("item = 0").count() / 30000
+    assert abs(share - 1 / 3) < 0.02
