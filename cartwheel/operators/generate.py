@@ -110,22 +110,24 @@ def generate_products(spark: SparkSession, num_records: int, seed: int = 0) -> D
 def orders_from_ids(ids: DataFrame, customers: DataFrame, products: DataFrame,
                     key: str = "order_id", seed: int = 0, alpha: float = 1.16,
                     as_of: dt.date = DEFAULT_AS_OF, customer_key: str = "customer_id",
-                    product_key: str = "product_id") -> DataFrame:
+                    product_key: str = "product_id", unique_keys: bool = False) -> DataFrame:
     """Orders for the given order ids.
 
     The customer of each order is drawn with probability proportional to a
     Pareto(``alpha``) weight per customer (a few customers place most
     orders); the product is drawn uniformly; quantity is 1..10; order_date is
-    uniform over the 2 years up to ``as_of``.
+    uniform over the 2 years up to ``as_of``.  ``unique_keys=True`` declares
+    the customer and product keys primary keys (see ``weighted_sample``).
     """
     order_ids = ids.select(F.col(key).cast("bigint").alias("order_id"))
     cust_ids = customers.select(F.col(customer_key).cast("bigint").alias("customer_id"))
     prod_ids = products.select(F.col(product_key).cast("bigint").alias("product_id"))
     who = weighted_sample(order_ids, "order_id",
                           pareto_weights(cust_ids, "customer_id", alpha, seed),
-                          "customer_id", seed=seed)
+                          "customer_id", seed=seed, unique_keys=unique_keys)
     # the product draw runs on the customer draw's output: no join of two samples
-    what = uniform_sample(who, "order_id", prod_ids, "product_id", seed=seed + 1)
+    what = uniform_sample(who, "order_id", prod_ids, "product_id", seed=seed + 1,
+                          unique_keys=unique_keys)
     return (what
             .select("order_id", "customer_id", "product_id",
                     hashed_int("order_id", seed, "quantity", 1, 10).alias("quantity"),
@@ -135,10 +137,10 @@ def orders_from_ids(ids: DataFrame, customers: DataFrame, products: DataFrame,
 
 def generate_orders(spark: SparkSession, num_records: int, customers: DataFrame,
                     products: DataFrame, seed: int = 0, alpha: float = 1.16,
-                    as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+                    as_of: dt.date = DEFAULT_AS_OF, unique_keys: bool = False) -> DataFrame:
     """``num_records`` orders (ids 1..n) over the given customers and products."""
     return orders_from_ids(_ids(spark, num_records, "order_id"), customers, products,
-                           seed=seed, alpha=alpha, as_of=as_of)
+                           seed=seed, alpha=alpha, as_of=as_of, unique_keys=unique_keys)
 
 
 def format_table_from_ids(ids: DataFrame, key: str = "id", seed: int = 42,

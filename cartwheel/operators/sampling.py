@@ -44,18 +44,20 @@ def pareto_weights(items: DataFrame, key: str, alpha: float = 1.16, seed: int =
     return items.select(key, w.alias("weight"))
 
 
-def positive_weights(items: DataFrame, key: str, weight: str = "weight") -> DataFrame:
+def positive_weights(items: DataFrame, key: str, weight: str = "weight",
+                     unique_keys: bool = False) -> DataFrame:
     """(key, _w): one row per item key with its total integer weight.
 
     NULL or non-positive weights can never be drawn and are dropped.  A key
     listed several times is merged into one item with the summed weight --
     the same draw probability -- so keys are unique afterwards and the hash
     chunks stay balanced even if one key fills a third of the input.  The
-    merge is a partial aggregate before its shuffle.
+    merge is a partial aggregate before its shuffle.  ``unique_keys=True``
+    (a primary-key column) skips the merge and its shuffle.
     """
-    return (items.select(F.col(key), F.col(weight).cast("bigint").alias("_w"))
-            .where(F.col("_w") > 0)
-            .groupBy(key).agg(F.sum("_w").alias("_w")))
+    w = (items.select(F.col(key), F.col(weight).cast("bigint").alias("_w"))
+         .where(F.col("_w") > 0))
+    return w if unique_keys else w.groupBy(key).agg(F.sum("_w").alias("_w"))
 
 
 def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096) -> DataFrame:
@@ -107,15 +109,16 @@ def _explode_buckets(intervals: DataFrame, key: str, width: Column) -> DataFrame
 
 def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
                     weight: str = "weight", seed: int = 0, buckets_per_item: int = 2,
-                    chunks: int = 4096) -> DataFrame:
+                    chunks: int = 4096, unique_keys: bool = False) -> DataFrame:
     """For every row of ``draws``, pick one item with probability ∝ its weight.
 
     Returns every column of ``draws`` plus ``item_key``, one row per draw.
     ``draw_key`` must be unique (it seeds the draw) and ``item_key`` must not
-    already be a column of ``draws``.
+    already be a column of ``draws``.  Pass ``unique_keys=True`` only when
+    ``item_key`` is a primary key of ``items``.
     """
     _check_names(draws, draw_key, item_key)
-    weights = positive_weights(items, item_key, weight)
+    weights = positive_weights(items, item_key, weight, unique_keys)
     total, width = _line_scalars(weights, buckets_per_item)
     u = hashed_uniform(draw_key, seed, "weighted-draw")
     point = F.least(F.floor(u * total).cast("bigint"), total - 1)
@@ -134,12 +137,23 @@ def _check_names(draws: DataFrame, draw_key: str, item_key: str) -> None:
 
 
 def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
-                   seed: int = 0, chunks: int = 4096) -> DataFrame:
+                   seed: int = 0, chunks: int = 4096, unique_keys: bool = False) -> DataFrame:
     """Uniform draw with replacement from the rows of ``items``.
 
     Every row is equally likely, so a key listed k times is k times as
-    likely: the weight of a key is its number of rows.
+    likely (its weight is its number of rows).  With ``unique_keys=True`` (a
+    primary-key column) every item has weight 1: the prefix sums give each
+    item a dense position 0..N-1, and a draw is a hashed position matched by
+    a plain equi-join, with no bucket expansion.
     """
-    ones = items.select(item_key, F.lit(1).cast("bigint").alias("_ones"))
-    return weighted_sample(draws, draw_key, ones, item_key, weight="_ones", seed=seed,
-                           chunks=chunks)
+    if not unique_keys:
+        ones = items.select(item_key, F.lit(1).cast("bigint").alias("_ones"))
+        return weighted_sample(draws, draw_key, ones, item_key, weight="_ones", seed=seed,
+                               chunks=chunks)
+    _check_names(draws, draw_key, item_key)
+    ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
+    n_items = ones.agg(F.count(F.lit(1))).scalar()
+    u = hashed_uniform(draw_key, seed, "weighted-draw")
+    pts = draws.withColumn("_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
+    positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
+    return pts.join(positions, "_pos").select(*draws.columns, item_key)

@@ -72,8 +72,9 @@ def generate_dataset(spark: SparkSession, out_dir: str, num_customers: int,
     write_table(generate.generate_products(spark, num_products, seed), paths["products"], fmt)
     customers = read_table(spark, paths["customers"], fmt, schemas.CUSTOMERS)
     products = read_table(spark, paths["products"], fmt, schemas.PRODUCTS)
+    # ids 1..n of the generated tables are primary keys
     write_table(generate.generate_orders(spark, num_orders, customers, products, seed,
-                                         as_of=as_of), paths["orders"], fmt)
+                                         as_of=as_of, unique_keys=True), paths["orders"], fmt)
     schema_of = {"customers": schemas.CUSTOMERS, "products": schemas.PRODUCTS,
                  "orders": schemas.ORDERS}
     return dataset_summary({name: read_table(spark, path, fmt, schema_of[name])

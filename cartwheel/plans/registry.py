@@ -437,8 +437,9 @@ def q_generate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("generate_orders")
 def q_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import orders_from_ids
+    # c_custkey and p_partkey are the tables' primary keys
     return orders_from_ids(_order_ids(spark, sf_dir), _customer_ids(spark, sf_dir),
-                           _product_ids(spark, sf_dir))
+                           _product_ids(spark, sf_dir), unique_keys=True)
 
 
 @register("generate_format_table")
@@ -453,7 +454,7 @@ def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.sampling import pareto_weights, weighted_sample
     return weighted_sample(_order_ids(spark, sf_dir), "order_id",
                            pareto_weights(_customer_ids(spark, sf_dir), "customer_id"),
-                           "customer_id")
+                           "customer_id", unique_keys=True)  # c_custkey is the primary key
 
 
 @register("weighted_sample_check", """

@@ -136,3 +136,14 @@ def test_duplicate_hot_key_keeps_probability(spark):
     u = uniform_sample(draws, "draw", items.select("item"), "item", seed=9)
     share = u.where("item = 0").count() / 30000
     assert abs(share - 1 / 3) < 0.02
+
+
+def test_unique_key_paths_match_merged_paths(spark):
+    items = spark.createDataFrame([(i, 1 + i % 5) for i in range(400)], "item long, weight long")
+    draws = spark.range(3000).withColumnRenamed("id", "draw")
+    a = sorted(weighted_sample(draws, "draw", items, "item").collect())
+    b = sorted(weighted_sample(draws, "draw", items, "item", unique_keys=True).collect())
+    assert a == b
+    u1 = uniform_sample(draws, "draw", items.select("item"), "item", unique_keys=True)
+    r = u1.agg(F.count("*"), F.countDistinct("draw"), F.countDistinct("item")).collect()[0]
+    assert (r[0], r[1]) == (3000, 3000) and r[2] > 390
