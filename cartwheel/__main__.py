@@ -5,6 +5,7 @@ Commands:
              or --sf-dir DIR (warehouse tables) instead of --orders/--products
   generate   --out DIR --customers N --products N --orders N [--seed S] [--format F]
   formats    --table P --out DIR        (format benchmark + savings and best-of reports)
+  timed      --sf-dir DIR [--n 10]      (timed load + analyses, with step totals)
 
 The session comes from the environment (spark-submit, or an existing
 session); ``--local N`` starts a local[N] session instead.
@@ -50,12 +51,24 @@ def _formats(spark, args) -> None:
     from cartwheel.operators.reports import best_per_metric, savings_vs_baseline
     from cartwheel.plans.format_benchmark import benchmark_formats
     from cartwheel.sources.tables import load_parquet
-    metrics = benchmark_formats(load_parquet(spark, args.table), args.out).checkpoint()
+    metrics = benchmark_formats(load_parquet(spark, args.table), args.out)
     metrics.orderBy("ordinal").show(truncate=False)
     savings_vs_baseline(metrics).orderBy("ordinal").show(truncate=False)
     best_per_metric(metrics).show(truncate=False)
 
 
+def _timed(spark, args) -> None:
+    from cartwheel.operators.reports import step_totals
+    from cartwheel.plans.batch_run import timed_analytics
+    from cartwheel.sources.tables import load_table, sales_inputs
+    tables = {t: load_table(spark, args.sf_dir, t) for t in ("customer", "part", "orders",
+                                                            "lineitem")}
+    orders, products = sales_inputs(spark, args.sf_dir)
+    timings = timed_analytics(tables, orders, products, n=args.n)
+    timings.show(truncate=False)
+    step_totals(timings).show(truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cartwheel")
     parser.add_argument("--local", type=int, default=0, help="start a local[N] session")
@@ -77,11 +90,15 @@ def main(argv: list[str] | None = None) -> int:
     f = sub.add_parser("formats")
     f.add_argument("--table", required=True)
     f.add_argument("--out", required=True)
+    t = sub.add_parser("timed")
+    t.add_argument("--sf-dir", required=True)
+    t.add_argument("--n", type=int, default=10)
     args = parser.parse_args(argv)
     if args.command == "analytics" and not args.sf_dir and not (args.orders and args.products):
         parser.error("analytics needs --sf-dir or both --orders and --products")
     spark = _session(args)
-    {"analytics": _analytics, "generate": _generate, "formats": _formats}[args.command](
+    {"analytics": _analytics, "generate": _generate, "formats": _formats,
+     "timed": _timed}[args.command](
         spark, args)
     return 0
 

@@ -51,3 +51,31 @@ def run_analytics(orders: DataFrame, products: DataFrame, out_dir: str, n: int =
         write_table(df, path, fmt)
         paths[name] = path
     return paths
+
+
+def timed_analytics(tables: dict[str, DataFrame], orders: DataFrame, products: DataFrame,
+                    n: int = 10, engine: str = "spark") -> DataFrame:
+    """Time loading and each analysis; return an ENGINE_TIMINGS table.
+
+    Steps: ``Load <name>`` per table (a full count), then ``Top Customers``,
+    ``Category Sales`` and ``Monthly Trends`` (each run to completion through
+    the ``noop`` sink, nothing collected).  Only the clock is on the driver.
+    Feed the result to ``reports.step_totals`` or, with another engine's
+    timings, to ``reports.timing_compare``.
+    """
+    import time
+
+    from cartwheel import schemas
+
+    rows = []
+    for name, df in tables.items():
+        t0 = time.perf_counter()
+        df.count()
+        rows.append((f"Load {name}", engine, time.perf_counter() - t0))
+    labels = {"top_customers": "Top Customers", "category_sales": "Category Sales",
+              "monthly_trends": "Monthly Trends"}
+    for name, df in analyses(orders, products, n).items():
+        t0 = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        rows.append((labels[name], engine, time.perf_counter() - t0))
+    return orders.sparkSession.createDataFrame(rows, schemas.ENGINE_TIMINGS)

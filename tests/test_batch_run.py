@@ -34,3 +34,20 @@ def test_single_pass_keeps_null_keys_apart(spark, tmp_path):
     for name, df in analyses(o, p).items():
         assert sorted(map(tuple, combined[name].collect()), key=repr) == \
             sorted(map(tuple, df.collect()), key=repr), name
+
+
+def test_timed_analytics_feeds_timing_reports(spark):
+    from cartwheel.operators.reports import step_totals, timing_compare
+    from cartwheel.plans.batch_run import timed_analytics
+    from cartwheel.sources.tables import load_table
+    sf = "/root/testdata/sf0.001"
+    orders, products = sales_inputs(spark, sf)
+    t = timed_analytics({"orders": load_table(spark, sf, "orders")}, orders, products)
+    steps = [r.step for r in t.collect()]
+    assert steps == ["Load orders", "Top Customers", "Category Sales", "Monthly Trends"]
+    assert all(r.seconds > 0 for r in t.collect())
+    total = step_totals(t).collect()[0]
+    assert total.engine == "spark" and total.total_seconds > 0
+    other = t.selectExpr("step", "'other' AS engine", "seconds * 2 AS seconds")
+    cmp = timing_compare(t.unionByName(other), "spark", "other").collect()
+    assert {r.faster for r in cmp} == {"spark"}
