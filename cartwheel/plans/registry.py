@@ -543,3 +543,26 @@ def q_format_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.session import shared_path
     return benchmark_formats(load_table(spark, sf_dir, "events"),
                              shared_path(spark, "format-benchmark"))
+
+
+@register("generate_format_table_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS format_rows,
+       CAST(COUNT(DISTINCT event_id) AS BIGINT) AS distinct_ids,
+       CAST(8 AS BIGINT) AS names,
+       CAST(5 AS BIGINT) AS categories,
+       CAST(COUNT(*) AS BIGINT) AS in_range
+FROM events
+""")
+def q_generate_format_table_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import datetime as dt
+    gen = q_generate_format_table(spark, sf_dir)
+    as_of = dt.datetime(2025, 1, 1, 12, 0, 0)
+    in_range = (F.col("amount").between(10.0, 10000.0) & (F.col("amount") < 10000.0)
+                & F.col("date").between(F.lit(as_of - dt.timedelta(days=364)), F.lit(as_of))
+                & (F.col("email") == F.concat(F.lit("user"), (F.col("id") - 1).cast("string"),
+                                              F.lit("@example.com"))))
+    return gen.agg(F.count(F.lit(1)).alias("format_rows"),
+                   F.count_distinct("id").alias("distinct_ids"),
+                   F.count_distinct("name").alias("names"),
+                   F.count_distinct("category").alias("categories"),
+                   F.count_if(in_range).alias("in_range"))
