@@ -1,7 +1,7 @@
 """Session helpers.
 
 Operators never build or configure a session: the caller owns it.  These
-helpers exist for tests, the bench and the command-line pipeline, and for
+helpers exist for tests, the bench and the command line, and for
 the one thing operators do need from the session: a shared directory for
 materialised intermediates (checkpoints, round-trip copies).
 """
