@@ -147,3 +147,15 @@ def test_unique_key_paths_match_merged_paths(spark):
     u1 = uniform_sample(draws, "draw", items.select("item"), "item", unique_keys=True)
     r = u1.agg(F.count("*"), F.countDistinct("draw"), F.countDistinct("item")).collect()[0]
     assert (r[0], r[1]) == (3000, 3000) and r[2] > 390
+
+
+def test_extreme_weights_light_items_share_a_bucket(spark):
+    # one item holds ~all the weight; 20,000 light items pack into the same buckets
+    rows = [(0, 10**12)] + [(i, 1) for i in range(1, 20001)]
+    items = spark.createDataFrame(rows, "item long, weight long")
+    draws = spark.range(20000).withColumnRenamed("id", "draw")
+    s = weighted_sample(draws, "draw", items, "item", seed=2, unique_keys=True)
+    r = s.agg(F.count("*"), F.countDistinct("draw"),
+              F.sum((F.col("item") != 0).cast("int"))).collect()[0]
+    assert r[0] == 20000 and r[1] == 20000
+    assert r[2] <= 3            # light items hold 2e-8 of the weight
