@@ -24,6 +24,8 @@ from cartwheel.operators import generate
 from cartwheel.operators.reports import dataset_summary
 from cartwheel.sources.io import format_file_size, read_table, stored_size, write_table
 
+__all__ = ["benchmark_formats", "format_file_size", "generate_dataset"]
+
 # Formats measured by default, in measuring order.
 DEFAULT_FORMATS = ("csv", "parquet", "orc")
 # Labels of the formats in the metrics table.
