@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.operators import sales
@@ -183,3 +184,15 @@ def test_no_integer_division_errors_under_ansi(spark):
     p = products(spark, [(1, "Books", 0.0)])
     rows = sales.monthly_trends(o, p).collect()
     assert all(r.growth_percentage is None for r in rows)
+
+
+def test_top_customers_from_lines_matches(spark):
+    from cartwheel.sources.tables import load_table, order_lines, sales_inputs
+    sf = "/root/testdata/sf0.01"
+    orders, products = sales_inputs(spark, sf)
+    want = [tuple(r) for r in sales.top_customers_by_revenue(orders, products, 25).collect()]
+    headers = load_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
+    got = [tuple(r) for r in sales.top_customers_from_lines(
+        order_lines(load_table(spark, sf, "lineitem")), headers, products, 25).collect()]
+    assert got == want
