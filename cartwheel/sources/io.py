@@ -23,6 +23,10 @@ CSV_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
+# Quoted fields may hold line breaks: read records that span lines.  Such a
+# file is read by one task, and Spark writes one file per task, so read
+# parallelism follows the writer's.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
 
 _CSV_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
               T.TimestampNTZType)
@@ -59,7 +63,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "csv":
         if schema is None:
             raise ValueError("CSV reads need a declared schema")
-        reader = reader.options(**CSV_OPTIONS)
+        reader = reader.options(**CSV_READ_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

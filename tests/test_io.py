@@ -59,3 +59,11 @@ def test_stored_size(spark, table, tmp_path):
     r = io.stored_size(spark, path, glob="part-*").collect()[0]
     assert r.files == len(parts) and r.size_bytes == expected
     assert r.size_mb == f"{expected / 1024 / 1024:.2f} MB"
+
+
+def test_csv_roundtrip_tricky_strings(spark, tmp_path):
+    rows = [(1, "line one\nline two"), (2, 'quote " and, comma'), (3, "back\\slash"),
+            (4, "tab\there"), (5, "crlf\r\nend"), (6, '"fully quoted"')]
+    df = spark.createDataFrame(rows, "id long, s string")
+    back = io.roundtrip(df, str(tmp_path / "csv"), "csv")
+    assert sorted(back.collect()) == sorted(df.collect())
