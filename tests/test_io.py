@@ -67,3 +67,19 @@ def test_csv_roundtrip_tricky_strings(spark, tmp_path):
     df = spark.createDataFrame(rows, "id long, s string")
     back = io.roundtrip(df, str(tmp_path / "csv"), "csv")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "orc"])
+def test_roundtrip_special_numbers(spark, tmp_path, fmt):
+    import math
+    rows = [(1, float("nan"), True, 2**63 - 1), (2, float("inf"), False, -2**63),
+            (3, float("-inf"), None, 0), (4, -0.0, True, 1), (5, 1.7976931348623157e308, False, 2),
+            (6, 5e-324, True, 3)]
+    df = spark.createDataFrame(rows, "id long, x double, b boolean, big long")
+    got = sorted(io.roundtrip(df, str(tmp_path / fmt), fmt).collect())
+    for g, w in zip(got, sorted(df.collect())):
+        assert (g.id, g.b, g.big) == (w.id, w.b, w.big)
+        if math.isnan(w.x):
+            assert math.isnan(g.x)
+        else:
+            assert g.x == w.x and math.copysign(1, g.x) == math.copysign(1, w.x)
