@@ -115,7 +115,8 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     Returns every column of ``draws`` plus ``item_key``, one row per draw.
     ``draw_key`` must be unique (it seeds the draw) and ``item_key`` must not
     already be a column of ``draws``.  Pass ``unique_keys=True`` only when
-    ``item_key`` is a primary key of ``items``.
+    ``item_key`` is a primary key of ``items``.  With no positive-weight item
+    there is nothing to draw and the result is empty.
     """
     _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight, unique_keys)

@@ -159,3 +159,9 @@ def test_extreme_weights_light_items_share_a_bucket(spark):
               F.sum((F.col("item") != 0).cast("int"))).collect()[0]
     assert r[0] == 20000 and r[1] == 20000
     assert r[2] <= 3            # light items hold 2e-8 of the weight
+
+
+def test_no_positive_weights_gives_empty_sample(spark):
+    items = spark.createDataFrame([(1, 0), (2, -5), (3, None)], "item long, weight long")
+    draws = spark.range(10).withColumnRenamed("id", "draw")
+    assert weighted_sample(draws, "draw", items, "item").count() == 0
