@@ -138,6 +138,12 @@ def timing_compare(timings: DataFrame, engine_a: str, engine_b: str,
     return wide.withColumn("faster", faster)
 
 
-def step_totals(timings: DataFrame) -> DataFrame:
-    """Sum of step times per engine: (engine, total_seconds)."""
+def step_totals(timings: DataFrame, steps: list[str] | None = None) -> DataFrame:
+    """Sum of step times per engine: (engine, total_seconds).
+
+    ``steps`` restricts the sum to the named steps, e.g. the load steps for a
+    load total and the analysis steps for an analysis total.
+    """
+    if steps is not None:
+        timings = timings.where(F.col("step").isin(list(steps)))
     return timings.groupBy("engine").agg(F.sum("seconds").alias("total_seconds"))

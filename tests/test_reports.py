@@ -101,3 +101,10 @@ def test_dataset_summary(spark):
     b = spark.range(0)
     got = {r.dataset: r.record_count for r in reports.dataset_summary({"a": a, "b": b}).collect()}
     assert got == {"a": 5, "b": 0}
+
+
+def test_step_totals_for_selected_steps(spark):
+    t = spark.createDataFrame([("Load a", "e", 1.0), ("Load b", "e", 2.0), ("Top", "e", 4.0)],
+                              schemas.ENGINE_TIMINGS)
+    got = reports.step_totals(t, steps=["Load a", "Load b"]).collect()[0]
+    assert (got.engine, got.total_seconds) == ("e", 3.0)
