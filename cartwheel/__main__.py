@@ -66,7 +66,12 @@ def _timed(spark, args) -> None:
     orders, products = sales_inputs(spark, args.sf_dir)
     timings = timed_analytics(tables, orders, products, n=args.n)
     timings.show(truncate=False)
-    step_totals(timings).show(truncate=False)
+    loads = [f"Load {t}" for t in tables]
+    analyses = ["Top Customers", "Category Sales", "Monthly Trends"]
+    for label, steps in (("load total", loads), ("analysis total", analyses),
+                         ("overall total", None)):
+        print(label)
+        step_totals(timings, steps).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:
