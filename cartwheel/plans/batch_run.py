@@ -41,7 +41,10 @@ def run_analytics(orders: DataFrame, products: DataFrame, out_dir: str, n: int =
     if single_pass:
         spark = orders.sparkSession
         staged = shared_path(spark, "combined-aggregates")
-        write_table(sales.combined_aggregates(orders, products), staged, "parquet")
+        # partitioned by grouping set: the category and month results read
+        # only their own small directories, not the per-customer rows
+        write_table(sales.combined_aggregates(orders, products), staged, "parquet",
+                    partition_by=["_set"])
         results = sales.split_combined(read_table(spark, staged, "parquet"), n)
     else:
         results = analyses(orders, products, n)

@@ -51,3 +51,14 @@ def test_timed_analytics_feeds_timing_reports(spark):
     other = t.selectExpr("step", "'other' AS engine", "seconds * 2 AS seconds")
     cmp = timing_compare(t.unionByName(other), "spark", "other").collect()
     assert {r.faster for r in cmp} == {"spark"}
+
+
+def test_staged_aggregate_is_pruned_per_result(spark, tmp_path):
+    from cartwheel.sources.io import write_table
+    orders, products = sales_inputs(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "staged")
+    write_table(sales.combined_aggregates(orders, products), path, "parquet",
+                partition_by=["_set"])
+    df = sales.split_combined(read_table(spark, path))["category_sales"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_set" in plan and "= category)]" in plan
