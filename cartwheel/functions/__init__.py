@@ -1 +1 @@
-"""functions"""
+"""Column expressions: exact money and ratios, layout-independent hashed randomness."""

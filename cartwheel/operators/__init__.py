@@ -1 +1 @@
-"""operators"""
+"""DataFrame -> DataFrame operators: sales analytics, reports, generators, weighted sampling."""
