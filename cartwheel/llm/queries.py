@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import simhash
+from cartwheel.llm import curriculum, decontaminate, host_rules, pii, simhash
 from cartwheel.llm._common import read_table
 
 
@@ -17,8 +17,45 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdicts of all documents; a document's host is its source."""
+    judged = host_rules.judge(read_table(spark, sf_dir, "documents"), host_col="source",
+                              max_rate=0.8)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+             "base_failed", "kept")
+    return judged.select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
+
+
+def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and where in training its first copy lies."""
+    mixed = curriculum.plan_mix(read_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0),
+                                share=1.5, max_repeat=2.0, schedules=CURRICULUM)
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken",
+                        F.get("mix.positions", F.lit(0)).alias("position"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in any of the documents, with their alignment scores."""
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"),
+                                            read_table(spark, sf_dir, "benchmark"),
+                                            n=3, window=2, min_similarity=0.5)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base patterns and the field's spans."""
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", pii.find_pii(docs)[0].alias("pii")).select("doc_id", "pii.*")
+
+
+# Sources in turn: falling, steady and rising over the training run.
+CURRICULUM = (((0.0, 2.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 2.0)))
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_host_rules": op2_host_rules,
+    "op5_curriculum": op5_curriculum,
+    "op8_decontaminate": op8_decontaminate,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
