@@ -22,14 +22,13 @@ MAX_ROUNDS = 200
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(src, dst) bigint edges -> (node, root): equal roots, same component.
+    """(src, dst) edges of one hashable type -> (node, root): equal roots, same component.
 
     Direction, repeats, self-loops and rows with a null end don't matter; a
     vertex that has only such rows is absent.  ``root`` is an arbitrary vertex
     of the component.  An empty table gives an empty table.
     """
-    ends = edges.select(F.col("src").cast("bigint").alias("src"),
-                        F.col("dst").cast("bigint").alias("dst")).filter("src <> dst")
+    ends = edges.select("src", "dst").filter("src <> dst")
     both = staged(ends.union(ends.select("dst", "src")).distinct())
     picks = []
     while not both.isEmpty():

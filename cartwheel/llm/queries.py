@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import curriculum, decontaminate, host_rules, pii, simhash
+from cartwheel.llm import (curriculum, decontaminate, host_rules, perspectives, pii, secrets, simhash,
+                           url_filter)
 from cartwheel.llm._common import read_table
 
 
@@ -26,6 +27,26 @@ def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
 
 
+# (verdict, host and path)
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url: its own rule, else its redirect and canonical aliases'."""
+    pages = read_table(spark, sf_dir, "pages")
+    judged = url_filter.judge_urls(pages.select("page_id", "url"), URL_RULES, url_filter.page_edges(pages))
+    return judged.select("page_id", "filter.*")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: base patterns and linked credential parts."""
+    found = secrets.scan(read_table(spark, sf_dir, "documents"), scope=300)
+    return found.select("doc_id", *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE],
+                        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                        secrets.joined(F.concat("base", "added")).alias("spans"))
+
+
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, and where in training its first copy lies."""
     mixed = curriculum.plan_mix(read_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0),
@@ -47,14 +68,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pii.find_pii(docs)[0].alias("pii")).select("doc_id", "pii.*")
 
 
+def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as seen by each of its participants, with the mask as text."""
+    seen = perspectives.rotate(read_table(spark, sf_dir, "conversations"), part_turns=64)
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(
+        ":", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return seen.withColumn("mask", mask)
+
+
 # Sources in turn: falling, steady and rising over the training run.
 CURRICULUM = (((0.0, 2.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 2.0)))
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_host_rules": op2_host_rules,
+    "op3_url_filter": op3_url_filter,
+    "op4_secrets": op4_secrets,
     "op5_curriculum": op5_curriculum,
     "op8_decontaminate": op8_decontaminate,
+    "op9_perspectives": op9_perspectives,
     "op10_pii": op10_pii,
 }
 
