@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (curriculum, decontaminate, host_rules, perspectives, pii, secrets, simhash,
+from cartwheel.llm import (curriculum, decontaminate, host_rules, html_text, ngram_lm, perspectives, pii, secrets, simhash,
                            url_filter)
 from cartwheel.llm._common import read_table
 
@@ -68,6 +68,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pii.find_pii(docs)[0].alias("pii")).select("doc_id", "pii.*")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under the trigram trie and the unigram base."""
+    return ngram_lm.score(read_table(spark, sf_dir, "documents"), order=3)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's winning container paths."""
+    found = html_text.extract(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as seen by each of its participants, with the mask as text."""
     seen = perspectives.rotate(read_table(spark, sf_dir, "conversations"), part_turns=64)
@@ -86,6 +97,8 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_curriculum": op5_curriculum,
     "op8_decontaminate": op8_decontaminate,
+    "op6_lm_score": op6_lm_score,
+    "op7_html_text": op7_html_text,
     "op9_perspectives": op9_perspectives,
     "op10_pii": op10_pii,
 }
