@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (curriculum, decontaminate, host_rules, html_text, ngram_lm, perspectives, pii, secrets, simhash,
+from cartwheel.llm import (curriculum, decontaminate, host_rules, html_text, ngram_lm, oracles, perspectives, pii, secrets, simhash,
                            url_filter)
 from cartwheel.llm._common import read_table
 
@@ -103,4 +103,11 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The others need a 64-bit hash, an alignment, a fitted model, an HTML parser or
+# look-around patterns; tests/llm holds them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_host_rules": oracles.OP2,
+    "op3_url_filter": oracles.OP3,
+    "op5_curriculum": oracles.OP5,
+    "op9_perspectives": oracles.OP9,
+}
