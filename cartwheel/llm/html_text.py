@@ -27,6 +27,7 @@ from cartwheel.llm.url_filter import url_host
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                     r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _ATTR = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_CUT_OFF = re.compile(r"</?[A-Za-z][^<>]*\Z")  # a tag that the page's end cuts off
 _DIGITS, _PARTS = re.compile(r"[0-9]+"), re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 # Element groups of HTML.
@@ -110,7 +111,7 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
     while at < size:
         m = _TOKEN.search(page, at)
         if not m:
-            add(page[at:])
+            add(_CUT_OFF.sub("", page[at:]))
             break
         add(page[at:m.start()])
         at = m.end()

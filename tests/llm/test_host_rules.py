@@ -44,15 +44,23 @@ def test_edge_rows(spark):
     assert got[0].m == "a" and got[0].host_ok == "c"
 
 
-def test_bad_host_falls_and_small_host_is_shrunk(spark):
+def test_bad_host_falls_and_takes_its_good_document(spark):
     good = [" ".join(f"w{i}x{j}" for i in range(60)) for j in range(4)]
     rows = [(i, "junk", "bad") for i in range(200)] + [(900, good[0], "bad")]
     rows += [(1000 + 100 * h + i, good[i % 4] if i else "junk", f"h{h}") for h in range(20) for i in range(30)]
-    rows += [(5000, "junk", "tiny")]
     got = H.judge(frame(spark, rows)).collect()
     ok = {r.source: r.quality.host_ok for r in got}
-    assert not ok["bad"] and ok["h3"] and ok["tiny"]
+    assert not ok.pop("bad") and all(ok.values())
     assert not next(r for r in got if r.doc_id == 900).quality.kept
     assert H.judge(frame(spark, [])).count() == 0
-    only_null = H.judge(frame(spark, [(1, good[0], None)])).first()
-    assert only_null.quality.kept
+    assert H.judge(frame(spark, [(1, good[0], None)])).first().quality.kept
+
+
+def test_small_host_is_shrunk_towards_the_others(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(100 * h + i, "junk" if i < 3 + h % 3 else good, f"h{h}") for h in range(20) for i in range(30)]
+    rows += [(5000, "junk", "tiny")]  # all of its documents fail, but there is one
+    rates = {r.host: r for r in H.host_verdicts(frame(spark, rows), "source", "text").collect()}
+    pooled = (sum(3 + h % 3 for h in range(20)) + 1) / 601
+    assert pooled < rates["tiny"].short_rate < 0.8 and rates["tiny"].host_ok
+    assert abs(rates["h0"].short_rate - 0.1) < 0.06
