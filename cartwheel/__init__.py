@@ -5,7 +5,6 @@ Sub-packages:
   functions  -- column expressions (exact money, ratios, hashed randomness)
   operators  -- sales queries, reports, synthetic data generators, weighted sampling
   plans      -- registered queries with SQL oracles, the end-to-end batch run
-  streaming  -- incremental (file-stream) execution of the category aggregation
 """
 
 __version__ = "0.1.0"

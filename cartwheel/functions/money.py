@@ -1,16 +1,21 @@
 """Money and ratio expressions (built-in Column expressions only).
 
-Revenue is exact: prices are taken to the cent, each line is an integer
-number of cents (quantity * price_cents, a 64-bit multiply), sums are exact
-decimals, and the conversion to double happens once, after the sum.  The
-result does not depend on row order or partition layout; a plain double sum
-would change in its last bits whenever the data is laid out differently.
+Revenue is exact and nothing is rounded away.  A line's value is held in one
+of three parts: whole cents (64-bit, where quantity is whole and the price is
+whole cents), a decimal with 14 places (where both are decimals of 6 and 8
+places at most), or the double product (anything else, non-finite values
+included, which then behave as doubles do).  Parts are summed apart and
+converted to double once, after the sum, so the first two do not depend on row
+order or partition layout.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PRICE_DECIMAL = "decimal(18,2)"
 
@@ -81,6 +86,71 @@ def line_cents_to_money(cents: str | Column) -> Column:
     return _col(cents).cast("double") / F.lit(100.0)
 
 
+# Largest whole quantity and price in cents whose product surely fits 64 bits;
+# larger ones take the decimal part.
+MAX_QUANTITY, MAX_CENTS = 1_000_000, 1_000_000_000_000
+QUANTITY_DECIMAL, EXACT_DECIMAL = "decimal(17,6)", "decimal(20,8)"
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def is_integral(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _INTEGRAL)
+
+
+def _exact_decimal(c: Column, kind: str) -> Column:
+    """``c`` as a decimal, NULL unless the decimal is equal to it."""
+    d = c.try_cast(kind)
+    return F.when(d.cast("double") == c.cast("double"), d)
+
+
+def whole_quantity(quantity: str | Column, dtype: T.DataType) -> Column:
+    """The quantity as bigint where it is whole and at most MAX_QUANTITY, else NULL."""
+    q = _col(quantity)
+    fits = F.abs(q.cast("double")) <= MAX_QUANTITY
+    whole = fits if is_integral(dtype) else fits & (q == F.floor(q.cast("double")))
+    return F.when(whole, q.cast("bigint"))
+
+
+def exact_cents(price: str | Column) -> Column:
+    """The price in cents (bigint) where it is whole cents and at most MAX_CENTS, else NULL."""
+    d = _col(price).try_cast(PRICE_DECIMAL)
+    cents = (d * F.lit(100)).try_cast("bigint")
+    same = d.cast("double") == _col(price).cast("double")
+    return F.when(same & (F.abs(cents) <= MAX_CENTS), cents)
+
+
+def exact_price_decimal(price: str | Column) -> Column:
+    """The price with up to 8 decimals, NULL unless that is exact."""
+    return _exact_decimal(_col(price), EXACT_DECIMAL)
+
+
+def line_parts(quantity: str, dtype: T.DataType, price: str, cents: str, decimal: str) -> dict[str, Column]:
+    """Parts c, d, f of quantity * price; exactly one is set unless a factor is NULL."""
+    c = whole_quantity(quantity, dtype) * F.col(cents)
+    d = F.when(c.isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL) * F.col(decimal))
+    f = F.when(c.isNull() & d.isNull(), F.col(quantity).cast("double") * F.col(price).cast("double"))
+    return {"c": c, "d": d, "f": f}
+
+
+def sum_parts(parts: dict[str, str | Column], name: str) -> list[Column]:
+    """Aggregate columns of a value in parts: exact sums of c and d, a double sum of f."""
+    return [*sum_cents(parts["c"], name), F.sum(_col(parts["d"])).alias(f"{name}_d"),
+            F.sum(_col(parts["f"])).alias(f"{name}_f")]
+
+
+def summed_parts(name: str) -> Column:
+    """The total of :func:`sum_parts` as double, rounded once; NULL without values."""
+    c, d, f = summed_cents(name), F.col(f"{name}_d"), F.col(f"{name}_f")
+    zero = F.lit(Decimal(0))
+    exact = (F.coalesce(c.try_cast("decimal(20,0)"), zero) * F.lit(Decimal("0.01"))
+             + F.coalesce(d.try_cast("decimal(34,14)"), zero)).cast("double")
+    fits = (c.isNull() | c.try_cast("decimal(20,0)").isNotNull()) \
+        & (d.isNull() | d.try_cast("decimal(34,14)").isNotNull())
+    wide = F.coalesce(cents_to_money(c), F.lit(0.0)) + F.coalesce(d.cast("double"), F.lit(0.0))
+    return F.when(d.isNull() & f.isNull(), cents_to_money(c)).otherwise(
+        F.when(fits, exact).otherwise(wide) + F.coalesce(f, F.lit(0.0)))
+
+
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     """numerator / denominator, NULL when the denominator is NULL or zero.
 

@@ -95,7 +95,8 @@ def best_per_metric(metrics: DataFrame, label_col: str = "format",
                     metrics_spec: tuple[tuple[str, str], ...] = BEST_OF_METRICS) -> DataFrame:
     """For each metric, the row holding its smallest value.
 
-    Columns: title, metric, format, value.  NULL and NaN values are skipped;
+    Columns: title, metric, format, value.  NULL and NaN values are skipped (a
+    metric without others keeps its row, with NULL format and value);
     equal minima go to the row that comes first in ``order_col``.  One pass:
     the metric columns are unpivoted, then a single grouped ``min`` of
     (value, order, label) per metric.
@@ -106,9 +107,9 @@ def best_per_metric(metrics: DataFrame, label_col: str = "format",
                .select(F.col(label_col).alias("_label"), F.col(order_col).alias("_ord"),
                        *[F.col(m).cast("double").alias(m) for m in names])
                .unpivot(["_label", "_ord"], names, "metric", "_value"))
-    valid = stacked.where(F.col("_value").isNotNull() & ~F.isnan("_value"))
-    best = (valid.groupBy("metric")
-            .agg(F.min(F.struct("_value", "_ord", "_label")).alias("_best")))
+    valid = F.when(F.col("_value").isNotNull() & ~F.isnan("_value"),
+                   F.struct("_value", "_ord", "_label"))
+    best = stacked.groupBy("metric").agg(F.min(valid).alias("_best"))
     return best.select(titles[F.col("metric")].alias("title"), "metric",
                        F.col("_best._label").alias(label_col),
                        F.col("_best._value").alias("value"))

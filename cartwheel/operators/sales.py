@@ -25,78 +25,91 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import (cents_to_money, growth_percentage, line_cents,
-                                       line_cents_to_money, price_cents, ratio, sum_cents,
-                                       summed_cents)
+from cartwheel.functions.money import (exact_cents, exact_price_decimal, growth_percentage,
+                                       is_integral, line_cents_to_money, line_parts, ratio,
+                                       sum_parts, summed_parts, whole_quantity)
 
-_CENTS = "_price_cents"
-_REV = "_line_cents"
+_CENTS, _EXACT = "_price_cents", "_price_exact"
+_REV = "_line"
+_REV_PARTS = {k: f"{_REV}_{k}" for k in "cdf"}
+
+
+def revenue_sums() -> list:
+    """Exact revenue of priced lines, as aggregate columns."""
+    return sum_parts(_REV_PARTS, _REV)
 
 
 def priced_lines(orders: DataFrame, products: DataFrame, how: str = "inner",
                  extra_product_cols: tuple[str, ...] = ()) -> DataFrame:
     """Orders joined to product prices, with the exact line revenue attached.
 
-    The price is turned into cents on the product side, before the join, so
-    each order line costs one integer multiply.  ``how="inner"`` drops lines
-    whose product is unknown (or NULL); ``how="left"`` keeps them with a
+    The price's exact forms are taken on the product side, before the join, so
+    a line of whole units and cents costs one integer multiply; others are
+    multiplied as decimals or doubles, never rounded.  ``how="inner"`` drops
+    lines whose product is unknown (or NULL); ``how="left"`` keeps them with a
     NULL price and NULL revenue.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    prices = products.select("product_id", "price", price_cents("price").alias(_CENTS),
-                             *extra_product_cols)
+    prices = products.select("product_id", "price", exact_cents("price").alias(_CENTS),
+                             exact_price_decimal("price").alias(_EXACT), *extra_product_cols)
     joined = orders.join(prices, on="product_id", how=how)
-    return joined.withColumn(_REV, line_cents("quantity", _CENTS))
+    parts = line_parts("quantity", orders.schema["quantity"].dataType, "price", _CENTS, _EXACT)
+    return joined.withColumns({_REV_PARTS[k]: c for k, c in parts.items()})
 
 
 def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
     """Each order line with ``line_revenue = quantity * price`` (double)."""
     lines = priced_lines(orders, products, how)
-    return lines.withColumn("line_revenue", line_cents_to_money(_REV)).drop(_REV, _CENTS)
+    c, d, f = (F.col(_REV_PARTS[k]) for k in "cdf")
+    revenue = F.coalesce(line_cents_to_money(c), d.cast("double"), f)
+    return lines.withColumn("line_revenue", revenue).drop(*_REV_PARTS.values(), _CENTS, _EXACT)
 
 
 # Aggregate columns shared by the standalone queries and the single-pass run.
-def line_aggregates() -> list:
+def line_aggregates(lines: DataFrame) -> list:
     """Per-group aggregates of priced lines: exact revenue, line count,
-    units, exact price sum and priced-line count."""
-    return [*sum_cents(_REV, _REV),
-            F.count("order_id").alias("order_count"),
-            F.sum("quantity").alias("total_units_sold"),
-            *sum_cents(_CENTS, "_price_sum"),
-            F.count("price").alias("_price_count")]
-
-
-def finish_top_customers(per_customer: DataFrame, n: int = 10) -> DataFrame:
+    exact units and price sums, and priced-line count."""
+    dtype = lines.schema["quantity"].dataType
+    price = {"c": _CENTS, "d": F.when(F.col(_CENTS).isNull(), F.col(_EXACT)),
+             "f": F.when(F.col(_CENTS).isNull() & F.col(_EXACT).isNull(), F.col("price").cast("double"))}
+    if is_integral(dtype):
+        units = [F.sum("quantity").alias("total_units_sold")]
+    else:
+        whole = whole_quantity("quantity", dtype)
+        exact = F.when(whole.isNull(), F.col("quantity").try_cast("decimal(17,6)"))
+        exact = F.when(exact.cast("double") == F.col("quantity").cast("double"), exact)
+        units = sum_parts({"c": whole * 100, "d": exact, "f": F.when(
+            whole.isNull() & exact.isNull(), F.col("quantity").cast("double"))}, "_units")
+    return [*revenue_sums(), F.count("order_id").alias("order_count"), *units,
+            *sum_parts(price, "_price_sum"), F.count("price").alias("_price_count")]
+
+
+def finish_top_customers(per_customer: DataFrame, n: int | None = 10) -> DataFrame:
     """Top-n from per-customer aggregates (see :func:`line_aggregates`)."""
-    total = cents_to_money(summed_cents(_REV))
+    total = summed_parts(_REV)
     return (per_customer
             .select("customer_id",
                     total.alias("total_revenue"),
                     "order_count",
                     ratio(total, "order_count").alias("avg_order_value"))
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
-            .limit(n))
+            .transform(_first, n, F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id")))
 
 
-def finish_sales_by_category(per_category: DataFrame) -> DataFrame:
-    """Category report from per-category aggregates, sorted by revenue.
+def _first(df: DataFrame, n: int | None, *order) -> DataFrame:
+    """The first ``n`` rows in order, or all rows, sorted, if ``n`` is None."""
+    return df.orderBy(*order) if n is None else df.orderBy(*order).limit(n)
 
-    The report has one row per category (a dimension attribute, not data
-    volume), so it is sorted in one partition after the parallel final
-    aggregate: a global ``orderBy`` would add a range-sampling job for a
-    handful of rows.
-    """
+
+def finish_sales_by_category(per_category: DataFrame) -> DataFrame:
+    """Category report from per-category aggregates, sorted by revenue."""
+    units = ("total_units_sold" if "total_units_sold" in per_category.columns
+             else summed_parts("_units").alias("total_units_sold"))
     return (per_category
-            .select("category",
-                    cents_to_money(summed_cents(_REV)).alias("total_revenue"),
-                    "total_units_sold",
-                    ratio(cents_to_money(summed_cents("_price_sum")), "_price_count")
-                    .alias("avg_price"),
+            .select("category", summed_parts(_REV).alias("total_revenue"), units,
+                    ratio(summed_parts("_price_sum"), "_price_count").alias("avg_price"),
                     "order_count")
-            .repartition(1)
-            .sortWithinPartitions(F.desc_nulls_last("total_revenue"),
-                                  F.asc_nulls_first("category")))
+            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("category")))
 
 
 def finish_monthly_trends(per_month: DataFrame) -> DataFrame:
@@ -108,15 +121,15 @@ def finish_monthly_trends(per_month: DataFrame) -> DataFrame:
     """
     by_month = Window.orderBy(F.asc_nulls_first("year_month"))
     monthly = per_month.select("year_month",
-                               cents_to_money(summed_cents(_REV)).alias("total_revenue"))
+                               summed_parts(_REV).alias("total_revenue"))
     return (monthly
             .withColumn("prev_month_revenue", F.lag("total_revenue").over(by_month))
             .withColumn("growth_percentage",
                         growth_percentage("total_revenue", "prev_month_revenue")))
 
 
-def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    """Top ``n`` customers by revenue.
+def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int | None = 10) -> DataFrame:
+    """Top ``n`` customers by revenue (all if ``n`` is None).
 
     Columns: customer_id, total_revenue, order_count, avg_order_value.
     ``order_count`` counts non-NULL order ids (lines, not distinct orders).
@@ -124,7 +137,7 @@ def top_customers_by_revenue(orders: DataFrame, products: DataFrame, n: int = 10
     """
     per_customer = (priced_lines(orders, products)
                     .groupBy("customer_id")
-                    .agg(*sum_cents(_REV, _REV), F.count("order_id").alias("order_count")))
+                    .agg(*revenue_sums(), F.count("order_id").alias("order_count")))
     return finish_top_customers(per_customer, n)
 
 
@@ -134,18 +147,16 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     ``avg_price`` averages the price over joined order lines, not over
     distinct products: a product ordered three times counts three times.
     """
-    per_category = (priced_lines(orders, products, extra_product_cols=("category",))
-                    .groupBy("category")
-                    .agg(*line_aggregates()))
-    return finish_sales_by_category(per_category)
+    lines = priced_lines(orders, products, extra_product_cols=("category",))
+    return finish_sales_by_category(lines.groupBy("category").agg(*line_aggregates(lines)))
 
 
 def monthly_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue per calendar month: (year_month DATE, total_revenue double)."""
     return (priced_lines(orders, products)
             .groupBy(F.trunc("order_date", "month").alias("year_month"))
-            .agg(*sum_cents(_REV, _REV))
-            .select("year_month", cents_to_money(summed_cents(_REV)).alias("total_revenue")))
+            .agg(*revenue_sums())
+            .select("year_month", summed_parts(_REV).alias("total_revenue")))
 
 
 def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -158,12 +169,12 @@ def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     per_month = (priced_lines(orders, products)
                  .groupBy(F.trunc("order_date", "month").alias("year_month"))
-                 .agg(*sum_cents(_REV, _REV)))
+                 .agg(*revenue_sums()))
     return finish_monthly_trends(per_month)
 
 
 def top_customers_from_lines(lines: DataFrame, headers: DataFrame, products: DataFrame,
-                             n: int = 10) -> DataFrame:
+                             n: int | None = 10) -> DataFrame:
     """:func:`top_customers_by_revenue` for unjoined line and order-header tables.
 
     ``lines`` is (order_id, product_id, quantity), ``headers`` is (order_id,
@@ -176,11 +187,10 @@ def top_customers_from_lines(lines: DataFrame, headers: DataFrame, products: Dat
     """
     per_order = (priced_lines(lines, products)
                  .groupBy("order_id")
-                 .agg(*sum_cents(_REV, _REV), F.count("order_id").alias("_n")))
+                 .agg(*revenue_sums(), F.count("order_id").alias("_n")))
     per_customer = (per_order.join(headers.select("order_id", "customer_id"), "order_id")
                     .groupBy("customer_id")
-                    .agg(F.sum(f"{_REV}_hi").alias(f"{_REV}_hi"),
-                         F.sum(f"{_REV}_lo").alias(f"{_REV}_lo"),
+                    .agg(*[F.sum(f"{_REV}_{k}").alias(f"{_REV}_{k}") for k in ("hi", "lo", "d", "f")],
                          F.sum("_n").alias("order_count")))
     return finish_top_customers(per_customer, n)
 
@@ -196,7 +206,7 @@ def combined_aggregates(orders: DataFrame, products: DataFrame) -> DataFrame:
              .withColumn("year_month", F.trunc("order_date", "month")))
     keys = ["customer_id", "category", "year_month"]
     agg = (lines.groupingSets([["customer_id"], ["category"], ["year_month"]], *keys)
-           .agg(*line_aggregates(), F.grouping_id().alias("_gid")))
+           .agg(*line_aggregates(lines), F.grouping_id().alias("_gid")))
     # grouping_id bits are (customer_id, category, year_month), 1 = rolled up
     label = (F.when(F.col("_gid") == 3, "customer")
              .when(F.col("_gid") == 5, "category")
@@ -216,7 +226,7 @@ def split_combined(combined: DataFrame, n: int = 10) -> dict[str, DataFrame]:
     }
 
 
-def customer_revenue_left(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
+def customer_revenue_left(orders: DataFrame, products: DataFrame, n: int | None = 10) -> DataFrame:
     """Top ``n`` customers by revenue with a left join to products.
 
     Lines whose product is unknown keep a NULL revenue; a customer with only
@@ -225,15 +235,13 @@ def customer_revenue_left(orders: DataFrame, products: DataFrame, n: int = 10) -
     """
     per_customer = (priced_lines(orders, products, how="left")
                     .groupBy("customer_id")
-                    .agg(*sum_cents(_REV, _REV))
+                    .agg(*revenue_sums())
                     .select("customer_id",
-                            cents_to_money(summed_cents(_REV)).alias("total_revenue")))
-    return (per_customer
-            .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
-            .limit(n))
+                            summed_parts(_REV).alias("total_revenue")))
+    return _first(per_customer, n, F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id"))
 
 
-def customer_revenue_left_zero(orders: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
+def customer_revenue_left_zero(orders: DataFrame, products: DataFrame, n: int | None = 10) -> DataFrame:
     """The dataframe-library variant of :func:`customer_revenue_left`.
 
     A customer whose lines all miss the product table gets 0.0, and lines
@@ -243,13 +251,11 @@ def customer_revenue_left_zero(orders: DataFrame, products: DataFrame, n: int =
     per_customer = (priced_lines(orders, products, how="left")
                     .where(F.col("customer_id").isNotNull())
                     .groupBy("customer_id")
-                    .agg(*sum_cents(_REV, _REV))
+                    .agg(*revenue_sums())
                     .select("customer_id",
-                            F.coalesce(cents_to_money(summed_cents(_REV)), F.lit(0.0))
+                            F.coalesce(summed_parts(_REV), F.lit(0.0))
                             .alias("revenue")))
-    return (per_customer
-            .orderBy(F.desc("revenue"), F.asc("customer_id"))
-            .limit(n))
+    return _first(per_customer, n, F.desc("revenue"), F.asc("customer_id"))
 
 
 def sum_by_key(df: DataFrame, key: str = "category", value: str = "amount",

@@ -6,7 +6,7 @@ partition layout and a recomputed partition reproduces its first run.
 
 Plan (no driver collect, no global sort, no nested-loop join):
 
-1. Integer weights.  Items are spread over ``chunks`` hash chunks; per-chunk
+1. Integer weights (real ones are scaled by one power of two).  Items are spread over ``chunks`` hash chunks; per-chunk
    totals (at most ``chunks`` rows, a proven size bound, so broadcast) are
    prefix-summed into offsets, and a window partitioned by chunk gives every
    item its interval ``[lo, hi)`` of the weight line ``[0, T)``.
@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.money import is_integral
 from cartwheel.functions.random import hashed_long, hashed_pareto, hashed_uniform
 
 _PIECE = 1024  # buckets expanded per piece in the second explode level
@@ -48,24 +49,41 @@ def positive_weights(items: DataFrame, key: str, weight: str = "weight",
                      unique_keys: bool = False) -> DataFrame:
     """(key, _w): one row per item key with its total integer weight.
 
-    NULL or non-positive weights can never be drawn and are dropped.  A key
+    Real weights are scaled by one power of two, the largest that keeps their
+    sum within 62 bits, and take at least 1: proportions keep 60 bits, and no
+    positive weight is lost.  NULL, NaN, infinite or non-positive weights can
+    never be drawn and are dropped.  A key
     listed several times is merged into one item with the summed weight --
     the same draw probability -- so keys are unique afterwards and the hash
     chunks stay balanced even if one key fills a third of the input.  The
     merge is a partial aggregate before its shuffle.  ``unique_keys=True``
     (a primary-key column) skips the merge and its shuffle.
     """
-    w = (items.select(F.col(key), F.col(weight).cast("bigint").alias("_w"))
-         .where(F.col("_w") > 0))
+    if is_integral(items.schema[weight].dataType):
+        w = items.select(F.col(key), F.col(weight).cast("bigint").alias("_w")).where("_w > 0")
+    else:
+        real = items.select(F.col(key), F.col(weight).cast("double").alias("_x")) \
+                    .where((F.col("_x") > 0) & (F.col("_x") < float("inf")))
+        bits = real.agg(F.lit(61) - F.ceil(F.log2(F.count(F.lit(1)) * F.max("_x")))).scalar()
+        scaled = F.floor(F.col("_x") * F.pow(F.lit(2.0), bits)).cast("bigint")
+        w = real.select(key, F.greatest(scaled, F.lit(1).cast("bigint")).alias("_w"))
     return w if unique_keys else w.groupBy(key).agg(F.sum("_w").alias("_w"))
 
 
-def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096) -> DataFrame:
+MAX_CHUNKS = 1 << 16  # bounds the broadcast table of chunk offsets
+
+
+def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096,
+                     spread: Column | None = None) -> DataFrame:
     """Give every item of :func:`positive_weights` its interval [lo, hi) of [0, T).
 
-    Columns: ``key``, lo, hi.  The order along the line is (hash chunk, key).
+    Columns: ``key``, lo, hi.  The order along the line is (chunk, key); a
+    chunk is ``spread`` (a hash of the key unless given) modulo ``chunks``.
     """
-    w = weights.withColumn("_chunk", F.pmod(hashed_long(key, 0, "chunk"), F.lit(int(chunks))))
+    if not 0 < chunks <= MAX_CHUNKS:
+        raise ValueError(f"chunks must be 1 to {MAX_CHUNKS}")
+    spread = hashed_long(key, 0, "chunk") if spread is None else spread
+    w = weights.withColumn("_chunk", F.pmod(spread, F.lit(int(chunks))))
     totals = w.groupBy("_chunk").agg(F.sum("_w").alias("_chunk_total"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -109,9 +127,12 @@ def _explode_buckets(intervals: DataFrame, key: str, width: Column) -> DataFrame
 
 def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
                     weight: str = "weight", seed: int = 0, buckets_per_item: int = 2,
-                    chunks: int = 4096, unique_keys: bool = False) -> DataFrame:
+                    chunks: int = 4096, unique_keys: bool = False,
+                    draw: Column | None = None, spread: Column | None = None) -> DataFrame:
     """For every row of ``draws``, pick one item with probability ∝ its weight.
 
+    The draw is a hash of ``draw_key``, uniform on (0, 1), unless ``draw`` gives
+    another column of [0, 1); ``spread`` is that of :func:`weight_intervals`.
     Returns every column of ``draws`` plus ``item_key``, one row per draw.
     ``draw_key`` must be unique (it seeds the draw) and ``item_key`` must not
     already be a column of ``draws``.  Pass ``unique_keys=True`` only when
@@ -121,12 +142,12 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight, unique_keys)
     total, width = _line_scalars(weights, buckets_per_item)
-    u = hashed_uniform(draw_key, seed, "weighted-draw")
+    u = hashed_uniform(draw_key, seed, "weighted-draw") if draw is None else draw
     point = F.least(F.floor(u * total).cast("bigint"), total - 1)
     pts = (draws
            .withColumn("_point", point)
            .withColumn("_bucket", F.floor(F.col("_point") / width).cast("bigint")))
-    owners = _explode_buckets(weight_intervals(weights, item_key, chunks), item_key, width)
+    owners = _explode_buckets(weight_intervals(weights, item_key, chunks, spread), item_key, width)
     matched = pts.join(owners, "_bucket").where(
         (F.col("lo") <= F.col("_point")) & (F.col("_point") < F.col("hi")))
     return matched.select(*draws.columns, item_key)

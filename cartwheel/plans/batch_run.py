@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cartwheel.operators import sales
-from cartwheel.session import shared_path
+from cartwheel.session import remove_path, scratch_path
 from cartwheel.sources.io import read_table, write_table
 
 # Names of the saved result datasets.
@@ -38,9 +38,9 @@ def run_analytics(orders: DataFrame, products: DataFrame, out_dir: str, n: int =
 
     ``single_pass=False`` runs the three standalone queries instead.
     """
+    spark, staged = orders.sparkSession, None
     if single_pass:
-        spark = orders.sparkSession
-        staged = shared_path(spark, "combined-aggregates")
+        staged = scratch_path(spark, "combined-aggregates")
         # partitioned by grouping set: the category and month results read
         # only their own small directories, not the per-customer rows
         write_table(sales.combined_aggregates(orders, products), staged, "parquet",
@@ -53,6 +53,8 @@ def run_analytics(orders: DataFrame, products: DataFrame, out_dir: str, n: int =
         path = f"{out_dir.rstrip('/')}/{name}"
         write_table(df, path, fmt)
         paths[name] = path
+    if staged:
+        remove_path(spark, staged)
     return paths
 
 

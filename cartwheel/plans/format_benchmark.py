@@ -15,6 +15,7 @@ summary of record counts and stored sizes.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from cartwheel.sources.io import format_file_size, read_table, stored_size, writ
 __all__ = ["benchmark_formats", "format_file_size", "generate_dataset"]
 
 # Formats measured by default, in measuring order.
+log = logging.getLogger(__name__)
+
 DEFAULT_FORMATS = ("csv", "parquet", "orc")
 # Labels of the formats in the metrics table.
 FORMAT_LABELS = {"csv": "CSV", "parquet": "Parquet", "orc": "ORC"}
@@ -36,8 +39,8 @@ def benchmark_formats(df: DataFrame, out_dir: str,
                       formats: tuple[str, ...] = DEFAULT_FORMATS) -> DataFrame:
     """Write/read round trip per format; returns a FORMAT_METRICS table.
 
-    A format whose write or read fails gets no row (it is skipped, as a
-    failed run is), so reports see only measured formats.
+    A format whose write or read fails is logged with its error and gets no row
+    (as a failed run does not), so reports see only measured formats.
     """
     spark = df.sparkSession
     rows = []
@@ -51,7 +54,8 @@ def benchmark_formats(df: DataFrame, out_dir: str,
                 .mode("overwrite").save()
             t2 = time.perf_counter()
             size = stored_size(spark, path, glob="part-*").first()["size_bytes"]
-        except Exception:  # noqa: BLE001 - a failed format is left out
+        except Exception:  # noqa: BLE001 - a failed format is logged and left out
+            log.exception("format %s failed", fmt)
             continue
         rows.append((FORMAT_LABELS.get(fmt, fmt), ordinal, size / (1024.0 * 1024.0),
                      t1 - t0, t2 - t1, None, None, None))

@@ -35,20 +35,20 @@ def register(name: str, oracle: str | None = None):
 
 
 # ---------------------------------------------------------------- SQL pieces
-# Exact line revenue, as in cartwheel.functions.money.
-_REV_SQL = "CAST(quantity AS DECIMAL(18,0)) * CAST(price AS DECIMAL(18,2))"
+# Exact line revenue: quantities and prices of the tables have two decimals at most.
+_REV_SQL = "CAST(quantity AS DECIMAL(18,2)) * CAST(price AS DECIMAL(18,2))"
 
 _LINES_SQL = """
 lines AS (
   SELECT l_orderkey AS order_id, l_partkey AS product_id,
-         CAST(l_quantity AS BIGINT) AS quantity
+         l_quantity AS quantity
   FROM lineitem
 )"""
 
 _ORDERS_SQL = """
 ord AS (
   SELECT l_orderkey AS order_id, l_partkey AS product_id,
-         CAST(l_quantity AS BIGINT) AS quantity,
+         l_quantity AS quantity,
          o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
@@ -102,7 +102,7 @@ def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 SELECT category,
        CAST(SUM(rev) AS DOUBLE) AS total_revenue,
-       CAST(SUM(quantity) AS BIGINT) AS total_units_sold,
+       SUM(quantity) AS total_units_sold,
        CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT(price), 0) AS avg_price,
        COUNT(order_id) AS order_count
 FROM priced
@@ -136,6 +136,56 @@ def q_monthly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.monthly_trends(orders, products)
 
 
+@register("top_customers_fractional", """
+SELECT o_custkey AS customer_id, CAST(SUM(rev) AS DOUBLE) AS total_revenue, COUNT(*) AS order_count,
+       CAST(SUM(rev) AS DOUBLE) / COUNT(*) AS avg_order_value
+FROM (SELECT o_custkey, CAST(l_quantity / 4 AS DECIMAL(18,2)) * CAST(p_retailprice / 8 AS DECIMAL(18,5)) AS rev
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
+GROUP BY o_custkey
+""")
+def q_top_customers_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers' revenue with quarter units and eighth prices: nothing is whole."""
+    orders, products = sales_inputs(spark, sf_dir)
+    return sales.top_customers_by_revenue(
+        orders.withColumn("quantity", F.col("quantity") / 4),
+        products.withColumn("price", F.col("price") / 8), n=None)
+
+
+# Left joins over orphans: the products whose key is no multiple of this are
+# moved out of range, so most lines have no product and many customers none at all.
+KEPT_PARTS = 50
+
+_ORPHANS_SQL = f"""
+, stock AS (SELECT CASE WHEN product_id % {KEPT_PARTS} = 0 THEN product_id ELSE -product_id - 1 END AS product_id,
+                  category, price FROM products)"""
+
+
+def _orphan_inputs(spark: SparkSession, sf_dir: str):
+    orders, products = sales_inputs(spark, sf_dir)
+    moved = F.when(F.col("product_id") % KEPT_PARTS == 0, F.col("product_id")) \
+             .otherwise(-F.col("product_id") - 1)
+    return orders, products.withColumn("product_id", moved)
+
+
+@register("customer_revenue_left_orphans", _with(_ORDERS_SQL, _PRODUCTS_SQL) + _ORPHANS_SQL + f"""
+SELECT customer_id, CAST(SUM({_REV_SQL}) AS DOUBLE) AS total_revenue
+FROM ord o LEFT JOIN stock p ON o.product_id = p.product_id GROUP BY customer_id
+""")
+def q_customer_revenue_left_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer; NULL where no line has a product."""
+    return sales.customer_revenue_left(*_orphan_inputs(spark, sf_dir), n=None)
+
+
+@register("customer_revenue_left_zero_orphans", _with(_ORDERS_SQL, _PRODUCTS_SQL) + _ORPHANS_SQL + f"""
+SELECT customer_id, COALESCE(CAST(SUM({_REV_SQL}) AS DOUBLE), 0.0) AS revenue
+FROM ord o LEFT JOIN stock p ON o.product_id = p.product_id
+WHERE customer_id IS NOT NULL GROUP BY customer_id
+""")
+def q_customer_revenue_left_zero_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer; 0.0 where no line has a product."""
+    return sales.customer_revenue_left_zero(*_orphan_inputs(spark, sf_dir), n=None)
+
+
 @register("customer_revenue_left", _with(_ORDERS_SQL, _PRODUCTS_SQL) + f"""
 , priced AS (
   SELECT o.*, p.price, {_REV_SQL} AS rev
@@ -170,7 +220,7 @@ def q_customer_revenue_left_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("sum_by_category", _with(_LINES_SQL, _PRODUCTS_SQL) + """
-SELECT p.category, CAST(SUM(l.quantity) AS BIGINT) AS total_amount
+SELECT p.category, SUM(l.quantity) AS total_amount
 FROM lines l JOIN products p ON l.product_id = p.product_id
 GROUP BY p.category
 """)
@@ -198,10 +248,10 @@ def q_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _roundtrip_query(fmt: str, table: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from cartwheel.session import shared_path
+        from cartwheel.session import scratch_path
         from cartwheel.sources.io import roundtrip
         source = load_table(spark, sf_dir, table)
-        return roundtrip(source, shared_path(spark, f"roundtrip-{table}-{fmt}"), fmt)
+        return roundtrip(source, scratch_path(spark, f"roundtrip-{table}-{fmt}"), fmt)
     run.__name__ = f"q_roundtrip_{fmt}_{table}"
     return run
 
@@ -238,20 +288,32 @@ def q_analytics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: dataset, key (customer id, category or month as text),
     total_revenue -- the common columns of the three written datasets.
     """
-    from cartwheel.plans.batch_run import run_analytics
-    from cartwheel.session import shared_path
-    from cartwheel.sources.io import read_table
-    orders, products = sales_inputs(spark, sf_dir)
-    paths = run_analytics(orders, products, shared_path(spark, "analytics-run"))
     keys = {"top_customers": "customer_id", "category_sales": "category",
             "monthly_trends": "year_month"}
-    parts = [read_table(spark, paths[name]).select(
-                 F.lit(name).alias("dataset"), F.col(key).cast("string").alias("key"),
-                 "total_revenue")
+    written = _written_analyses(spark, sf_dir)
+    parts = [written[name].select(F.lit(name).alias("dataset"),
+                                  F.col(key).cast("string").alias("key"), "total_revenue")
              for name, key in keys.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _written_analyses(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Run the analyses into a scratch folder, deleted when the application ends."""
+    from cartwheel.plans.batch_run import run_analytics
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.io import read_table
+    orders, products = sales_inputs(spark, sf_dir)
+    paths = run_analytics(orders, products, scratch_path(spark, "analytics-run"))
+    return {name: read_table(spark, path) for name, path in paths.items()}
+
+
+# Each dataset that the run writes, with all its columns, against the SQL of its own query.
+for _name, _query in (("top_customers", "top_customers_by_revenue"), ("category_sales", "sales_by_category"),
+                      ("monthly_trends", "monthly_trends")):
+    register(f"analytics_run_{_name}", ORACLE_SQL[_query])(
+        lambda spark, sf_dir, _name=_name: _written_analyses(spark, sf_dir)[_name])
+
+
 # ---------------------------------------------------------------- metric reports
 # Metric tables derived from lineitem, one row per line number (the "format"
 # label).  The source columns have two decimals; means are exact integer
@@ -337,12 +399,7 @@ WHERE m.format <> 'L1'
 """)
 def q_savings_vs_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.reports import savings_vs_baseline
-    from cartwheel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    # the metric table is read twice (rows and baseline subquery): materialise
-    # it once in the shared checkpoint folder instead of aggregating lineitem twice
-    metrics = format_metrics(load_table(spark, sf_dir, "lineitem")).checkpoint()
-    return savings_vs_baseline(metrics, baseline="L1")
+    return savings_vs_baseline(format_metrics(load_table(spark, sf_dir, "lineitem")), baseline="L1")
 
 
 @register("best_per_metric", "WITH" + _METRICS_SQL + """,
@@ -457,6 +514,25 @@ def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "customer_id", unique_keys=True)  # c_custkey is the primary key
 
 
+@register("weighted_owner", """
+WITH w AS (SELECT c_custkey AS customer_id, c_acctbal AS x FROM customer WHERE c_acctbal > 0),
+bits AS (SELECT 61 - ceil(log2(count(*) * max(x))) AS e FROM w),
+whole AS (SELECT customer_id, greatest(CAST(floor(x * power(CAST(2 AS DOUBLE), e)) AS BIGINT), 1) AS n FROM w, bits),
+line AS (SELECT customer_id, n, CAST(SUM(n) OVER (ORDER BY customer_id % 64, customer_id) AS BIGINT) AS hi FROM whole),
+points AS (SELECT o_orderkey AS order_id, CAST(floor((o_orderkey * 48271 % 100003) / CAST(100003 AS DOUBLE)
+               * (SELECT CAST(SUM(n) AS BIGINT) FROM whole)) AS BIGINT) AS p FROM orders)
+SELECT order_id, customer_id FROM points JOIN line ON hi - n <= p AND p < hi
+""")
+def q_weighted_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner of a point of each order on the line of the customers' real-valued balances."""
+    from cartwheel.operators.sampling import weighted_sample
+    customers = load_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("weight"))
+    return weighted_sample(_order_ids(spark, sf_dir), "order_id", customers, "customer_id", chunks=64,
+                           draw=(F.col("order_id") * 48271 % 100003) / F.lit(100003.0),
+                           spread=F.col("customer_id"), unique_keys=True).select("order_id", "customer_id")
+
+
 @register("weighted_sample_check", """
 SELECT CAST(COUNT(*) AS BIGINT) AS draws,
        CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS distinct_draws,

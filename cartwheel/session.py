@@ -67,3 +67,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A :func:`shared_path` that is deleted when the application ends."""
+    path = shared_path(spark, name)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application wrote under the shared directory."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

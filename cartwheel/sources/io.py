@@ -8,6 +8,7 @@ milliseconds only, which silently changes most timestamps on a round trip.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,17 +17,25 @@ from cartwheel.functions.money import megabytes_label
 
 FORMATS = ("parquet", "csv", "orc")
 
+# Fixed value: how CSV writes NULL.  Strings that look like it, escaped or not, are
+# escaped by one more backslash in front on the way out and freed of it on the way in.
+NULL_MARK = "\\N"
+
 # CSV layout and timestamp patterns with microseconds.
 CSV_OPTIONS = {
     "header": "true",
     "dateFormat": "yyyy-MM-dd",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    # NULL and the empty string are told apart, and a row of NULLs is no blank line
+    "nullValue": NULL_MARK,
 }
 # Quoted fields may hold line breaks: read records that span lines.  Such a
-# file is read by one task, and Spark writes one file per task, so read
-# parallelism follows the writer's.
-CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
+# file is read by one task, so files are kept to CSV_FILE_RECORDS rows each.
+CSV_FILE_RECORDS = 1_000_000
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "emptyValue": ""}
 
 _CSV_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
               T.TimestampNTZType)
@@ -49,7 +58,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
             raise ValueError(f"CSV cannot hold nested columns {bad}")
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS)
+        df = df.select([F.when(F.col(f"`{f.name}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), F.col(f"`{f.name}`")))
+                        .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                        else F.col(f"`{f.name}`") for f in df.schema.fields])
+        writer = df.write.mode(mode).format(fmt).options(**CSV_OPTIONS) \
+                   .option("maxRecordsPerFile", CSV_FILE_RECORDS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -66,7 +79,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.options(**CSV_READ_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    df = reader.load(path)
+    if fmt == "csv":
+        df = df.select([F.when(F.col(f"`{f.name}`").rlike(r"^\\\\+N$"), F.substr(f"`{f.name}`", F.lit(2)))
+                        .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                        else F.col(f"`{f.name}`") for f in df.schema.fields])
+    return df
 
 
 def roundtrip(df: DataFrame, path: str, fmt: str) -> DataFrame:
@@ -96,8 +114,10 @@ def stored_size(spark: SparkSession, path: str, glob: str | None = None) -> Data
 
 
 def format_file_size(spark: SparkSession, path: str, glob: str | None = "part-*") -> str:
-    """Stored size of ``path`` as ``'x.xx MB'``, or ``'Unknown'`` if unreadable."""
+    """Stored size of ``path`` as ``'x.xx MB'``, or ``'Unknown'`` if there is no such path."""
     try:
         return stored_size(spark, path, glob=glob).first()["size_mb"]
-    except Exception:  # noqa: BLE001 - any failure to list the files
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return "Unknown"

@@ -16,8 +16,12 @@ from cartwheel.sources.tables import load_table, orders_from_lineitem, products_
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-    """Write ``df`` as a catalog table bucketed and sorted by ``key``; return it."""
-    (df.write.mode("overwrite")
+    """Write ``df`` as a catalog table bucketed and sorted by ``key``; return it.
+
+    Rows are first dealt to one task for each bucket by the same hash, so each
+    task writes one sorted file: as many files as buckets.
+    """
+    (df.repartition(int(buckets), key).write.mode("overwrite")
        .bucketBy(int(buckets), key).sortBy(key)
        .saveAsTable(table))
     return df.sparkSession.table(table)

@@ -42,30 +42,18 @@ def load_parquet(spark: SparkSession, path: str, log_count: bool = False) -> Dat
         raise
 
 
-# Table handles are resolved once per Spark application, as a catalog would:
-# a DataFrame is an immutable plan, so queries can share it.  ``refresh=True``
-# re-lists the files (after the table was rewritten).
-_HANDLES: dict[tuple, object] = {}
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a warehouse table with its declared schema (no inference job).
 
-
-def _memo(spark: SparkSession, key: tuple, build, refresh: bool):
-    full_key = (spark.sparkContext.applicationId, *key)
-    if refresh or full_key not in _HANDLES:
-        _HANDLES[full_key] = build()
-    return _HANDLES[full_key]
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
-    """Scan a warehouse table with its declared schema (no inference job)."""
+    The files are listed at each call, so appended and rewritten tables are
+    read as they are, in the session that asks.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
-
-    def build():
-        if name in WAREHOUSE:
-            return spark.read.schema(WAREHOUSE[name]).parquet(path)
-        return load_parquet(spark, path)
-    return _memo(spark, ("table", path), build, refresh)
+    if name in WAREHOUSE:
+        return spark.read.schema(WAREHOUSE[name]).parquet(path)
+    return load_parquet(spark, path)
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
@@ -82,7 +70,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
     )
 
 
@@ -107,12 +95,8 @@ def sales_inputs(spark: SparkSession, sf_dir: str, with_header: bool = True):
     Queries that read neither the customer nor the date pass
     ``with_header=False`` and skip the order-header join.
     """
-    def build():
-        lineitem = load_table(spark, sf_dir, "lineitem")
-        products = products_from_part(load_table(spark, sf_dir, "part"))
-        if with_header:
-            orders = orders_from_lineitem(lineitem, load_table(spark, sf_dir, "orders"))
-        else:
-            orders = order_lines(lineitem)
-        return orders, products
-    return _memo(spark, ("sales", sf_dir.rstrip("/"), with_header), build, False)
+    lineitem = load_table(spark, sf_dir, "lineitem")
+    products = products_from_part(load_table(spark, sf_dir, "part"))
+    if with_header:
+        return orders_from_lineitem(lineitem, load_table(spark, sf_dir, "orders")), products
+    return order_lines(lineitem), products

@@ -20,7 +20,8 @@ def test_benchmark_formats_feeds_reports(spark, tmp_path):
     assert {r.format for r in s} == {"Parquet", "ORC"}
     assert all(r["size_savings_%"] > 0 for r in s)
     best = {r.title: r.format for r in reports.best_per_metric(m).collect()}
-    assert set(best) == {"Fastest Write", "Fastest Read", "Smallest File"}  # energy is NULL
+    assert set(best) == {"Fastest Write", "Fastest Read", "Smallest File", "Lowest Energy"}
+    assert best["Lowest Energy"] is None  # not measured
 
 
 def test_failed_format_is_skipped(spark, tmp_path):
@@ -46,3 +47,10 @@ def test_generate_dataset(spark, tmp_path):
     assert orders.join(customers, "customer_id", "left_anti").count() == 0
     csv = generate_dataset(spark, str(tmp_path / "csv"), 20, 5, 50, fmt="csv")
     assert {r.dataset: r.record_count for r in csv.collect()}["orders"] == 50
+
+
+def test_failed_format_is_logged(spark, tmp_path, caplog):
+    df = spark.createDataFrame([(1, [1, 2])], "id long, a array<long>")
+    got = [r.format for r in benchmark_formats(df, str(tmp_path)).collect()]
+    assert got == ["Parquet", "ORC"]
+    assert any("csv failed" in r.getMessage() and r.exc_info for r in caplog.records)

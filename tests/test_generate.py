@@ -165,3 +165,16 @@ def test_no_positive_weights_gives_empty_sample(spark):
     items = spark.createDataFrame([(1, 0), (2, -5), (3, None)], "item long, weight long")
     draws = spark.range(10).withColumnRenamed("id", "draw")
     assert weighted_sample(draws, "draw", items, "item").count() == 0
+
+
+def test_real_weights_are_drawn_in_proportion(spark):
+    from collections import Counter
+
+    from cartwheel.operators.sampling import weighted_sample
+    draws = spark.range(6000).withColumnRenamed("id", "draw")
+    for weights in ({1: 0.4, 2: 0.6}, {1: 0.4, 2: 0.6, 3: 1.9}, {1: 1e-300, 2: 2.5}, {1: 1e300, 2: 1e300}):
+        items = spark.createDataFrame([*weights.items(), (8, float("nan")), (9, -1.0), (10, None)], "item long, weight double")
+        got = Counter(r.item for r in weighted_sample(draws, "draw", items, "item").collect())
+        assert sum(got.values()) == 6000
+        for item, w in weights.items():
+            assert abs(got[item] / 6000 - w / sum(weights.values())) < 0.03

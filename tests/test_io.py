@@ -29,10 +29,20 @@ def test_roundtrip_is_lossless(spark, table, tmp_path, fmt):
     assert sorted(back.collect()) == sorted(table.collect())
 
 
-def test_csv_empty_string_reads_back_null(spark, tmp_path):
-    df = spark.createDataFrame([(1, ""), (2, None), (3, "x")], "id long, s string")
-    back = io.roundtrip(df, str(tmp_path / "csv"), "csv")
-    assert sorted(back.collect()) == [(1, None), (2, None), (3, "x")]
+def test_csv_keeps_blanks_empty_strings_and_rows(spark, tmp_path):
+    texts = ["  lead", "   ", "", None, "tail ", "\\N", "\\\\N", "N", '"', "a\nb", "\\", "\r\n", "\t", "#x", "\\N "]
+    one = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert sorted(io.roundtrip(one, str(tmp_path / "one"), "csv").collect(), key=str) == sorted(one.collect(), key=str)
+    rows = [(1, None, ""), (None, None, None), (2, " x ", "y\\"), (3, "\\N", "\\\\\\N")]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    assert sorted(io.roundtrip(df, str(tmp_path / "csv"), "csv").collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(io, "CSV_FILE_RECORDS", 10)
+    df = spark.range(95).coalesce(1)
+    assert io.roundtrip(df, str(tmp_path / "csv"), "csv").count() == 95
+    assert len([f for f in os.listdir(tmp_path / "csv") if f.startswith("part-")]) == 10
 
 
 def test_csv_needs_schema(spark, tmp_path):

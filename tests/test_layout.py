@@ -18,6 +18,8 @@ def test_co_bucketed_join_has_no_shuffle_on_order_key(spark):
         plan = orders._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert "Exchange" not in plan          # both sides read pre-partitioned buckets
+        files = spark.table("t_layout_lineitem").inputFiles()
+        assert len(files) == 4                 # one sorted file for each bucket
         got = sorted(map(tuple, sales.top_customers_by_revenue(orders, products).collect()))
         plain_o, plain_p = sales_inputs(spark, SF)
         want = sorted(map(tuple, sales.top_customers_by_revenue(plain_o, plain_p).collect()))

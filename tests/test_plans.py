@@ -2,14 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry_mod
+from cartwheel.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 NO_BROADCAST = ("spark.sql.autoBroadcastJoinThreshold",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold")
 # queries that write before returning are checked through their own operators
-WRITES = {"format_benchmark", "analytics_run", "savings_vs_baseline"}
-SAMPLERS = {"generate_orders", "weighted_sample", "weighted_sample_check",
+WRITES = {"format_benchmark", *(n for n in QUERIES if n.startswith("analytics_run"))}
+SAMPLERS = {"generate_orders", "weighted_owner", "weighted_sample", "weighted_sample_check",
             "generate_orders_check"}
 
 
@@ -26,10 +26,9 @@ def no_broadcast(spark):
             spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_mod.queries()
-                                        if n not in WRITES and not n.startswith("roundtrip")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in WRITES and not n.startswith("roundtrip")))
 def test_no_pairwise_joins_and_bounded_broadcasts(no_broadcast, name):
-    df = entry_mod.queries()[name](no_broadcast, SF)
+    df = QUERIES[name](no_broadcast, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
@@ -39,7 +38,7 @@ def test_no_pairwise_joins_and_bounded_broadcasts(no_broadcast, name):
 
 
 def test_sales_scan_is_pruned(spark):
-    df = entry_mod.queries()["top_customers_by_revenue"](spark, SF)
+    df = QUERIES["top_customers_by_revenue"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
     assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in plan

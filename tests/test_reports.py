@@ -108,3 +108,13 @@ def test_step_totals_for_selected_steps(spark):
                               schemas.ENGINE_TIMINGS)
     got = reports.step_totals(t, steps=["Load a", "Load b"]).collect()[0]
     assert (got.engine, got.total_seconds) == ("e", 3.0)
+
+
+def test_metric_without_values_keeps_its_row(spark):
+    from cartwheel.operators import reports
+    metrics = spark.createDataFrame([("CSV", 0, 1.0, None, 3.0, float("nan")), ("ORC", 1, 0.5, None, 2.0, None)],
+                                    "format string, ordinal long, write_time_s double, read_time_s double, "
+                                    "file_size_mb double, energy_wh double")
+    got = {r.metric: (r.format, r.value) for r in reports.best_per_metric(metrics).collect()}
+    assert got == {"write_time_s": ("ORC", 0.5), "read_time_s": (None, None), "file_size_mb": ("ORC", 2.0),
+                   "energy_wh": (None, None)}

@@ -91,3 +91,50 @@ def test_sales_match_brute_force(spark, rows, cents):
                 for r in sales.customer_revenue_left_zero(o, p, 100).collect()}
     assert got_zero == {c: (_money(v) if v is not None else 0.0)
                         for c, v in left.items() if c is not None}
+
+
+fractional = st.one_of(st.none(), st.floats(-100, 100), st.integers(0, 40).map(lambda n: n / 4),
+                       st.sampled_from([1e-9, 1e17, 2e6, float("inf"), float("nan")]))
+four_places = st.one_of(st.none(), st.integers(0, 10 ** 7).map(lambda n: n / 10 ** 4),
+                        st.sampled_from([1e17, 0.1 + 0.2, float("inf"), float("nan"), 1e-12]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 5), fractional), min_size=1, max_size=25),
+       st.lists(four_places, min_size=4, max_size=4))
+def test_fractional_and_non_finite_revenue(spark, rows, price_list):
+    import math
+    orders = spark.createDataFrame([(1, c, p, q, None) for c, p, q in rows],
+                                   ORDER_COLS.replace("quantity long", "quantity double"))
+    products = spark.createDataFrame([(i + 1, "c", p) for i, p in enumerate(price_list)], PRODUCT_COLS)
+    want = {}
+    for c, p, q in rows:
+        if p <= 4:
+            want.setdefault(c, [])
+            if q is not None and price_list[p - 1] is not None:
+                want[c].append(q * price_list[p - 1])
+    got = {r.customer_id: r.total_revenue for r in sales.top_customers_by_revenue(orders, products, None).collect()}
+    assert got.keys() == want.keys()
+    for c, values in want.items():
+        if not values:
+            assert got[c] is None
+        elif all(map(math.isfinite, values)):
+            assert math.isclose(got[c], math.fsum(values), rel_tol=1e-12, abs_tol=1e-9 * max(map(abs, values)))
+        else:
+            total = sum(values)
+            assert got[c] == total or math.isnan(got[c]) and math.isnan(total)
+
+
+def test_probe_lines_are_exact_and_layout_independent(spark):
+    lines = [(1, 1, 1, 1.5, None), (2, 1, 2, 1000.0, None), (3, 2, 3, 0.25, None)]
+    orders = spark.createDataFrame(lines, ORDER_COLS.replace("quantity long", "quantity double"))
+    products = spark.createDataFrame([(1, "a", 10.0), (2, "a", 0.0035), (3, "b", 8.0)], PRODUCT_COLS)
+    got = {r.customer_id: r.total_revenue for r in sales.top_customers_by_revenue(orders, products).collect()}
+    assert got == {1: 18.5, 2: 2.0}
+    units = {r.category: r.total_units_sold for r in sales.sales_by_category(orders, products).collect()}
+    assert units == {"a": 1001.5, "b": 0.25}
+    many = spark.createDataFrame([(i, i % 3, 2, (i % 7) / 4, None) for i in range(500)],
+                                 ORDER_COLS.replace("quantity long", "quantity double"))
+    one, two = (sorted(map(tuple, sales.top_customers_by_revenue(many.repartition(n), products, None).collect()))
+                for n in (1, 7))
+    assert one == two

@@ -21,7 +21,7 @@ def test_declared_schemas_match_files(spark):
 def test_adapter_columns_and_types(spark):
     orders, products = tables.sales_inputs(spark, SF)
     assert orders.dtypes == [("order_id", "bigint"), ("product_id", "bigint"),
-                             ("quantity", "bigint"), ("customer_id", "bigint"),
+                             ("quantity", "double"), ("customer_id", "bigint"),
                              ("order_date", "date")]
     assert products.dtypes == [("product_id", "bigint"), ("category", "string"),
                                ("price", "double")]
@@ -30,10 +30,18 @@ def test_adapter_columns_and_types(spark):
     assert lines.count() == tables.load_table(spark, SF, "lineitem").count()
 
 
-def test_handles_are_shared_and_refreshable(spark):
-    a = tables.load_table(spark, SF, "part")
-    assert tables.load_table(spark, SF, "part") is a
-    assert tables.load_table(spark, SF, "part", refresh=True) is not a
+def test_appended_rewritten_and_other_session(spark, tmp_path):
+    path = f"{tmp_path}/labels.parquet"
+    spark.range(5).write.parquet(path)
+    assert tables.load_table(spark, str(tmp_path), "labels").count() == 5
+    spark.range(5).write.mode("append").parquet(path)
+    assert tables.load_table(spark, str(tmp_path), "labels").count() == 10
+    spark.range(7).write.mode("overwrite").parquet(path)
+    assert tables.load_table(spark, str(tmp_path), "labels").count() == 7
+    other = spark.newSession()
+    assert tables.load_table(other, str(tmp_path), "labels").sparkSession is not spark
+    orders, _ = tables.sales_inputs(other, SF)
+    assert orders.sparkSession is other
 
 
 def test_unknown_table(spark):
