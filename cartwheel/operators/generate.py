@@ -31,17 +31,17 @@ FORMAT_TABLE_NAMES = ["John", "Jane", "Bob", "Alice", "Charlie", "Diana", "Eve",
 FORMAT_TABLE_CATEGORIES = ["A", "B", "C", "D", "E"]
 
 # Vocabularies for generated text.
-_FIRST = ["Ada", "Bruno", "Carla", "Dmitri", "Elif", "Farah", "Goran", "Hana", "Ivo", "Jia",
+FIRST_NAMES = ["Ada", "Bruno", "Carla", "Dmitri", "Elif", "Farah", "Goran", "Hana", "Ivo", "Jia",
           "Kofi", "Lena", "Mateo", "Nia", "Oskar", "Priya", "Quinn", "Rosa", "Sami", "Tomas"]
-_LAST = ["Adler", "Baker", "Costa", "Dubois", "Eriksen", "Fischer", "Garcia", "Haddad",
+LAST_NAMES = ["Adler", "Baker", "Costa", "Dubois", "Eriksen", "Fischer", "Garcia", "Haddad",
          "Ito", "Jensen", "Kowalski", "Larsen", "Moreau", "Novak", "Okafor", "Petrov"]
-_CITIES = ["Lisbon", "Austin", "Osaka", "Lagos", "Lyon", "Pune", "Leeds", "Cusco",
+CITIES = ["Lisbon", "Austin", "Osaka", "Lagos", "Lyon", "Pune", "Leeds", "Cusco",
            "Gdansk", "Perth", "Quebec", "Tartu"]
-_COUNTRIES = ["Portugal", "United States", "Japan", "Nigeria", "France", "India",
+COUNTRIES = ["Portugal", "United States", "Japan", "Nigeria", "France", "India",
               "United Kingdom", "Peru", "Poland", "Australia", "Canada", "Estonia"]
-_ADJECTIVES = ["Compact", "Durable", "Smart", "Classic", "Portable", "Premium", "Eco",
+ADJECTIVES = ["Compact", "Durable", "Smart", "Classic", "Portable", "Premium", "Eco",
                "Modular", "Wireless", "Ergonomic"]
-_NOUNS = ["Kettle", "Backpack", "Lamp", "Jacket", "Speaker", "Novel", "Racket", "Blender",
+NOUNS = ["Kettle", "Backpack", "Lamp", "Jacket", "Speaker", "Novel", "Racket", "Blender",
           "Monitor", "Sneaker", "Tent", "Notebook"]
 
 _DAYS_PER_YEAR = 365
@@ -62,8 +62,8 @@ def customers_from_ids(ids: DataFrame, key: str = "customer_id", seed: int = 0,
     age: normal(35, 12) truncated toward zero, then clipped to [18, 95];
     registration_date: uniform over the 5 years up to ``as_of``.
     """
-    first = hashed_choice(key, seed, "first", _FIRST)
-    last = hashed_choice(key, seed, "last", _LAST)
+    first = hashed_choice(key, seed, "first", FIRST_NAMES)
+    last = hashed_choice(key, seed, "last", LAST_NAMES)
     age = hashed_normal(key, seed, "age", 35.0, 12.0).cast("bigint")
     return ids.select(
         F.col(key).cast("bigint").alias("customer_id"),
@@ -71,8 +71,8 @@ def customers_from_ids(ids: DataFrame, key: str = "customer_id", seed: int = 0,
         F.concat(F.lower(first), F.lit("."), F.lower(last), F.col(key).cast("string"),
                  F.lit("@example.com")).alias("email"),
         F.greatest(F.least(age, F.lit(95).cast("bigint")), F.lit(18).cast("bigint")).alias("age"),
-        hashed_choice(key, seed, "city", _CITIES).alias("city"),
-        hashed_choice(key, seed, "country", _COUNTRIES).alias("country"),
+        hashed_choice(key, seed, "city", CITIES).alias("city"),
+        hashed_choice(key, seed, "country", COUNTRIES).alias("country"),
         _days_before(as_of, key, seed, "registered", 5 * _DAYS_PER_YEAR)
         .alias("registration_date"),
     )
@@ -93,8 +93,8 @@ def products_from_ids(ids: DataFrame, key: str = "product_id", seed: int = 0) ->
     """
     return ids.select(
         F.col(key).cast("bigint").alias("product_id"),
-        F.concat_ws(" ", hashed_choice(key, seed, "adjective", _ADJECTIVES),
-                    hashed_choice(key, seed, "noun", _NOUNS)).alias("name"),
+        F.concat_ws(" ", hashed_choice(key, seed, "adjective", ADJECTIVES),
+                    hashed_choice(key, seed, "noun", NOUNS)).alias("name"),
         hashed_choice(key, seed, "category", CATEGORIES).alias("category"),
         F.bround(hashed_range(key, seed, "price", 10.0, 500.0), 2).alias("price"),
         hashed_int(key, seed, "stock", 0, 1000).alias("stock"),

@@ -29,7 +29,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import is_integral
-from cartwheel.functions.random import hashed_long, hashed_pareto, hashed_uniform
+from cartwheel.functions.random import hashed_long, hashed_pareto, hashed_uniform, integer_key
+
+
+
+def _draw_key(df: DataFrame, key: str) -> Column:
+    return integer_key(key, is_integral(df.schema[key].dataType))
+
 
 _PIECE = 1024  # buckets expanded per piece in the second explode level
 
@@ -41,7 +47,7 @@ def pareto_weights(items: DataFrame, key: str, alpha: float = 1.16, seed: int =
     Classical Pareto with minimum 1 (the ``pareto(alpha) + 1`` of NumPy);
     integer weights keep the interval ends exact.
     """
-    w = F.floor(F.lit(float(scale)) * hashed_pareto(key, seed, "pareto", alpha)).cast("bigint")
+    w = F.floor(F.lit(float(scale)) * hashed_pareto(_draw_key(items, key), seed, "pareto", alpha)).cast("bigint")
     return items.select(key, w.alias("weight"))
 
 
@@ -82,7 +88,7 @@ def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096,
     """
     if not 0 < chunks <= MAX_CHUNKS:
         raise ValueError(f"chunks must be 1 to {MAX_CHUNKS}")
-    spread = hashed_long(key, 0, "chunk") if spread is None else spread
+    spread = hashed_long(_draw_key(weights, key), 0, "chunk") if spread is None else spread
     w = weights.withColumn("_chunk", F.pmod(spread, F.lit(int(chunks))))
     totals = w.groupBy("_chunk").agg(F.sum("_w").alias("_chunk_total"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,7 +148,7 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight, unique_keys)
     total, width = _line_scalars(weights, buckets_per_item)
-    u = hashed_uniform(draw_key, seed, "weighted-draw") if draw is None else draw
+    u = hashed_uniform(_draw_key(draws, draw_key), seed, "weighted-draw") if draw is None else draw
     point = F.least(F.floor(u * total).cast("bigint"), total - 1)
     pts = (draws
            .withColumn("_point", point)
@@ -175,7 +181,7 @@ def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     _check_names(draws, draw_key, item_key)
     ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
     n_items = ones.agg(F.count(F.lit(1))).scalar()
-    u = hashed_uniform(draw_key, seed, "weighted-draw")
+    u = hashed_uniform(_draw_key(draws, draw_key), seed, "weighted-draw")
     pts = draws.withColumn("_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
     positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
     return pts.join(positions, "_pos").select(*draws.columns, item_key)

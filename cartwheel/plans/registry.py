@@ -9,12 +9,14 @@ multiset of rows with the same column names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators import sales
+from cartwheel.functions.random import draw_sql, uniform_sql
+from cartwheel.operators import generate, sales
 from cartwheel.sources.tables import load_table, sales_inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -460,11 +462,81 @@ def q_timing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- generators
-# Generated columns come from xxhash64, which DuckDB does not have, so the
-# generated tables themselves get a rows-only check.  Each ``*_check`` query
-# reduces a generated table to invariants that must hold whatever the hash
-# values are (row counts, exactly-once draws, no orphan keys, value ranges),
-# and its oracle derives them from the source tables.
+# Draws are integer arithmetic that SQL can follow (cartwheel.functions.random), so the
+# oracles compute every generated row.  The ``*_check`` queries reduce a table to
+# invariants that must hold whatever the draws are (row counts, exactly-once
+# draws, no orphan keys, value ranges).
+
+
+def _pick_sql(key: str, seed: int, salt: str, values: list[str]) -> str:
+    options = ", ".join(f"'{v}'" for v in values)
+    return f"([{options}])[CAST({draw_sql(key, seed, salt)} % {len(values)} AS INT) + 1]"
+
+
+def _range_sql(key: str, seed: int, salt: str, low: float, high: float) -> str:
+    return f"(CAST({low} AS DOUBLE) + {uniform_sql(key, seed, salt)} * CAST({high - low} AS DOUBLE))"
+
+
+def _days_sql(key: str, seed: int, salt: str, days: int) -> str:
+    return f"DATE '{generate.DEFAULT_AS_OF}' - CAST({draw_sql(key, seed, salt)} % {days + 1} AS INTEGER)"
+
+
+_GEN_CUSTOMERS_SQL = f"""
+SELECT customer_id, first || ' ' || last AS name,
+       lower(first) || '.' || lower(last) || customer_id || '@example.com' AS email,
+       greatest(least(CAST(trunc(35 + 12 * sqrt(CAST(-2 AS DOUBLE) * ln(u1)) * cos(CAST({2 * math.pi!r} AS DOUBLE) * u2)) AS BIGINT),
+                      95), 18) AS age, city, country, registration_date
+FROM (SELECT customer_id, {_pick_sql('customer_id', 0, 'first', generate.FIRST_NAMES)} AS first,
+             {_pick_sql('customer_id', 0, 'last', generate.LAST_NAMES)} AS last,
+             {uniform_sql('customer_id', 0, 'age:bm1')} AS u1, {uniform_sql('customer_id', 0, 'age:bm2')} AS u2,
+             {_pick_sql('customer_id', 0, 'city', generate.CITIES)} AS city,
+             {_pick_sql('customer_id', 0, 'country', generate.COUNTRIES)} AS country,
+             {_days_sql('customer_id', 0, 'registered', 1825)} AS registration_date
+      FROM (SELECT c_custkey AS customer_id FROM customer))"""
+
+_GEN_PRODUCTS_SQL = f"""
+SELECT product_id, {_pick_sql('product_id', 0, 'adjective', generate.ADJECTIVES)} || ' '
+           || {_pick_sql('product_id', 0, 'noun', generate.NOUNS)} AS name,
+       {_pick_sql('product_id', 0, 'category', generate.CATEGORIES)} AS category,
+       ROUND_EVEN({_range_sql('product_id', 0, 'price', 10.0, 500.0)}, 2) AS price,
+       CAST({draw_sql('product_id', 0, 'stock')} % 1001 AS BIGINT) AS stock,
+       ROUND_EVEN({_range_sql('product_id', 0, 'rating', 1.0, 5.0)}, 1) AS rating
+FROM (SELECT p_partkey AS product_id FROM part)"""
+
+# Owners of the orders' points on the line of the customers' Pareto weights.
+_SAMPLE_SQL = f"""
+WITH weights AS (
+  SELECT customer_id, {draw_sql('customer_id', 0, 'chunk')} % 4096 AS chunk,
+         CAST(floor(10000 * pow({uniform_sql('customer_id', 0, 'pareto')}, CAST({-1 / 1.16!r} AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT c_custkey AS customer_id FROM customer)
+), line AS (
+  SELECT customer_id, w, CAST(SUM(w) OVER (ORDER BY chunk, customer_id) AS BIGINT) AS hi FROM weights
+), total AS (SELECT CAST(SUM(w) AS BIGINT) AS t FROM weights
+), points AS (
+  SELECT order_id, least(CAST(floor({uniform_sql('order_id', 0, 'weighted-draw')} * t) AS BIGINT), t - 1) AS p
+  FROM (SELECT o_orderkey AS order_id FROM orders), total
+), owners AS (SELECT order_id, customer_id FROM points JOIN line ON hi - w <= p AND p < hi)"""
+
+_GEN_ORDERS_SQL = _SAMPLE_SQL + f""",
+positions AS (
+  SELECT product_id, row_number() OVER (ORDER BY {draw_sql('product_id', 0, 'chunk')} % 4096, product_id) - 1 AS pos
+  FROM (SELECT p_partkey AS product_id FROM part)
+), n AS (SELECT COUNT(*) AS n FROM part
+), drawn AS (
+  SELECT order_id, customer_id,
+         least(CAST(floor({uniform_sql('order_id', 1, 'weighted-draw')} * n) AS BIGINT), n - 1) AS pos
+  FROM owners, n
+)
+SELECT order_id, customer_id, product_id, CAST({draw_sql('order_id', 0, 'quantity')} % 10 + 1 AS BIGINT) AS quantity,
+       {_days_sql('order_id', 0, 'ordered', 730)} AS order_date
+FROM drawn JOIN positions USING (pos)"""
+
+_GEN_FORMAT_SQL = f"""
+SELECT id, {_pick_sql('id', 42, 'name', generate.FORMAT_TABLE_NAMES)} AS name,
+       'user' || (id - 1) || '@example.com' AS email, {_range_sql('id', 42, 'amount', 10.0, 10000.0)} AS amount,
+       TIMESTAMP '2025-01-01 12:00:00' - to_days(CAST({draw_sql('id', 42, 'days')} % 365 AS INTEGER)) AS date,
+       {_pick_sql('id', 42, 'category', generate.FORMAT_TABLE_CATEGORIES)} AS category
+FROM (SELECT event_id + 1 AS id FROM events)"""
 
 
 def _customer_ids(spark, sf_dir):
@@ -479,19 +551,19 @@ def _order_ids(spark, sf_dir):
     return load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"))
 
 
-@register("generate_customers")
+@register("generate_customers", _GEN_CUSTOMERS_SQL)
 def q_generate_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import customers_from_ids
     return customers_from_ids(_customer_ids(spark, sf_dir))
 
 
-@register("generate_products")
+@register("generate_products", _GEN_PRODUCTS_SQL)
 def q_generate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import products_from_ids
     return products_from_ids(_product_ids(spark, sf_dir))
 
 
-@register("generate_orders")
+@register("generate_orders", _GEN_ORDERS_SQL)
 def q_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import orders_from_ids
     # c_custkey and p_partkey are the tables' primary keys
@@ -499,14 +571,15 @@ def q_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                            _product_ids(spark, sf_dir), unique_keys=True)
 
 
-@register("generate_format_table")
+@register("generate_format_table", _GEN_FORMAT_SQL)
 def q_generate_format_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import format_table_from_ids
     ids = load_table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("id"))
-    return format_table_from_ids(ids)
+    # without a zone, as the tables' own timestamps
+    return format_table_from_ids(ids).withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
-@register("weighted_sample")
+@register("weighted_sample", _SAMPLE_SQL + " SELECT order_id, customer_id FROM owners")
 def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.sampling import pareto_weights, weighted_sample
     return weighted_sample(_order_ids(spark, sf_dir), "order_id",
