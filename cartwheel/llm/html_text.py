@@ -7,6 +7,10 @@
 3. Every page is extracted again: all containers on the first winning path that
    holds enough of the page's text, else the page's own best container.
 
+Pages of a host with more than ``HOT_SHARE`` of all votes get its paths from a
+broadcast of those hosts (fewer than 1 / HOT_SHARE rows) and are not shuffled; the
+others are joined by host.
+
 Pages of one host share a template, so a page whose own scores mislead (a long
 sidebar, a short article) is set right by its siblings.
 """
@@ -21,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm._common import fresh
+from cartwheel.llm._common import fresh, staged
 from cartwheel.llm.url_filter import url_host
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -58,6 +62,9 @@ class Node:
         self.holder, self.dropped, self.inside = holder, dropped, inside
 
 
+HOT_SHARE = 0.001
+
+
 def _name(tag: str, attrs: dict[str, str]) -> str:
     """Tag and classes, digits generalised."""
     classes = sorted({_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").split()})
@@ -190,16 +197,16 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_share: float = 0.1) -> DataFrame:
-    """(host, winners array<string>): paths by falling votes, then by text.  Pages without host are no host."""
+    """(host, votes, winners array<string>): paths by falling votes, then by text.  Pages without host are no host."""
     told = pages.select(url_host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")) \
                 .filter("host <> ''").mapInPandas(_votes, "host string, path string")
     counted = told.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
     # one row for each host and path from here on
     totals = counted.groupBy(F.col("host").alias("of")).agg(F.sum("votes").alias("all_votes"))
     kept = counted.join(totals, F.col("host") == F.col("of")).filter(F.col("votes") >= min_share * F.col("all_votes"))
-    ranked = kept.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path")))
+    ranked = kept.groupBy("host").agg(F.max("all_votes").alias("votes"), F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path")))
                                       .alias("ranked"))
-    return ranked.select("host", F.col("ranked.path").alias("winners"))
+    return ranked.select("host", "votes", F.col("ranked.path").alias("winners"))
 
 
 def _text(page: str | Column, winners: str | Column, enough: float) -> Column:
@@ -222,9 +229,14 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_
     by path.  Empty in, empty out.
     """
     host, of, winners = fresh(pages.columns, "host", "of", "winners")
-    paths = host_paths(pages, url_col, html_col, min_share) \
-        .select(F.col("host").alias(of), F.col("winners").alias(winners))
+    paths = staged(host_paths(pages, url_col, html_col, min_share))
+    limit = HOT_SHARE * (paths.agg(F.sum("votes")).first()[0] or 0)
+    hot = F.broadcast(paths.filter(F.col("votes") > limit).select(
+        F.col("host").alias(of), F.col("winners").alias(winners)))
+    others = paths.filter(F.col("votes") <= limit).select(F.col("host").alias(of), F.col("winners").alias(winners))
     named = pages.withColumn(host, url_host(F.col(url_col)))
-    joined = named.join(paths, F.col(host) == F.col(of), "left")
+    same = F.col(host) == F.col(of)
+    joined = named.join(hot, same).unionByName(
+        named.join(hot.select(of), same, "left_anti").join(others, same, "left"))
     text = _text(F.coalesce(F.col(html_col), F.lit("")), F.col(winners), enough)
     return joined.select(*[F.col(f"`{c}`") for c in pages.columns if c != out], text.alias(out))
