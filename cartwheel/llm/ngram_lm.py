@@ -18,7 +18,7 @@ and looks all its tokens up by successor search.  Shards have about
 ``shard_tokens`` training tokens whatever the corpus; frequent words are spread
 over shards by their predecessor, and their counts, at most a few for each shard,
 are broadcast.  What moves is packed: chunks of tokens on the way there, in
-which the ``FREQUENT`` commonest words of the corpus have numbers known to all
+which up to ``FREQUENT`` of the commonest words of the corpus have numbers known to all
 tasks (one bounded broadcast) and the others a dictionary of their own, and
 sums by document on the way back.
 """
@@ -133,6 +133,15 @@ def unigram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return told.mapInPandas(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _commonest(words: DataFrame, most: int) -> list:
+    """Rows of the commonest words, at most ``most``: those above a count that a histogram gives."""
+    step = F.floor(8 * F.log2("n"))
+    told = sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True)  # 8 for each doubling
+    sizes = np.cumsum([r["count"] for r in told])
+    fit = int(np.searchsorted(sizes, most, side="right"))
+    return words.filter(step >= told[fit - 1].step).collect() if fit else []
+
+
 def _id(value) -> str | None:
     return None if value is None or value != value else value
 
@@ -319,7 +328,8 @@ def _gather(first_context: float, train_tokens: int):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 3,
-          pool: tuple[float, ...] = (5.0, 0.02), shard_tokens: int = 1_500_000) -> DataFrame:
+          pool: tuple[float, ...] = (5.0, 0.02), shard_tokens: int = 1_500_000,
+          frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Scores are log10 probabilities of the words of the whole text and its end;
@@ -337,7 +347,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     end = int(MARKS[END].astype(np.int64))
     n, v, texts = words.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word") == end, F.col("n")))).first()
     totals = {"n": n or 0, "v": v, "texts": texts or 0}
-    common = words.filter(F.col("word") != end).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    common = sorted(_commonest(words.filter(F.col("word") != end), frequent), key=lambda r: (-r.n, r.word))
     about = Vocabulary(np.array([r.word for r in common], np.int64).astype(np.uint64),
                        np.array([r.n for r in common], np.int64), totals, max(1, -(-totals["n"] // shard_tokens)))
     known = spark.sparkContext.broadcast(about)

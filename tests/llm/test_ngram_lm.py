@@ -71,6 +71,17 @@ def test_chunks_are_cut_and_joined_again(spark, monkeypatch):
     assert whole == cut
 
 
+def test_number_of_shared_words_changes_nothing(spark):
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows()[:60]], SCHEMA)
+    score = lambda **how: sorted((str(r[0]), r[5], round(r[6], 1)) for r in L.score(docs, shard_tokens=300, **how).collect())
+    few, all_of = score(frequent=3), score()
+    assert [r[0] for r in few] == [r[0] for r in all_of]
+    assert all(abs(a[1] - b[1]) < 1e-9 and abs(a[2] - b[2]) <= 0.2 for a, b in zip(few, all_of))
+    words = spark.createDataFrame([(i, n) for i, n in enumerate([1] * 50 + [7] * 5 + [100, 1000])], "word bigint, n bigint")
+    assert [sorted(r.n for r in L._commonest(words, k)) for k in (0, 1, 2, 6, 7, 100)] == [
+        [], [1000], [100, 1000], [100, 1000], [7] * 5 + [100, 1000], [1] * 50 + [7] * 5 + [100, 1000]]
+
+
 def test_empty_and_only_held_out(spark):
     assert L.score(spark.createDataFrame([], SCHEMA)).count() == 0
     held = next(i for i in range(100) if L.is_held_out(str(i)))
