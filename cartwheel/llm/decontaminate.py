@@ -1,15 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds that miss no alignment, then Smith-Waterman.
 
 The benchmark is the stated query set.  It is taken in blocks of bounded size
 (``block_words``, by hash of the item), and each block meets all documents:
 
-1. Count, over all documents, how many contain each n-gram of the items.
-2. In every window of ``window`` consecutive n-grams of an item the rarest is a
-   seed.  Rarity only chooses between neighbours: any run of
-   ``window + n - 1`` words shared with an item holds a seed, however frequent,
-   so a passage that sits in a third of the documents is found as well.
-3. Seeds found in a document give the places where an item may lie; the words
-   there are aligned to the item, and the best local alignment is scored.
+1. Two words of an item at most ``window`` apart are a seed.  An alignment that
+   reaches the score has a least number of matched words whose next match is that
+   near in item and document (``sure_starts``): any farther step costs more than
+   the matches pay.  Count, over all documents, how many contain each such pair.
+2. Of an item's words, the rarest (by the pairs that start there) are seeds, but
+   so many that fewer than the least number are left out: every alignment that
+   reaches the score holds a seed, however edited and however frequent its words.
+   Where no pair is sure (a low score of a short item), single words are seeds.
+3. Seeds found in a document give the places where an item may lie, as wide as
+   the score allows gaps; where a bound does not rule them out, the words there
+   are aligned to the item, and the best local alignment is scored.
 
 A document needs no partner and no shuffle: memory is one batch of documents
 and one block of items, and lost tasks are simply run again.
@@ -17,6 +21,7 @@ and one block of items, and lost tasks are simply run again.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,15 +35,25 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 HITS = "array<struct<item_id bigint, score bigint, similarity double, start bigint, end bigint>>"
 
 
+def sure_starts(size: int, need: float, window: int) -> int:
+    """Least number of matched words, in a local alignment of an item of ``size`` words that
+    scores ``need``, whose next matched word is at most ``window`` on in item and text.
+
+    Of m matches, each farther step costs ``window`` or more, so there are at most
+    (2 m - need) / window of those among the m - 1 steps.
+    """
+    few = max(1, math.ceil(need / MATCH - 1e-9))
+    return max(0, min(math.ceil(m - 1 - (MATCH * m - need) / window - 1e-9) for m in (few, max(few, size))))
+
+
 class Items:
-    """A block of items as arrays of word numbers, and their n-grams as codes.
+    """A block of items as arrays of word numbers, and their word pairs as codes.
 
-    Word 0 is any word that the block does not hold.
+    Word 0 is any word that the block does not hold, and the second of a single word's code.
     """
 
-    def __init__(self, ids: list, texts: list[bytes], n: int):
-        self.n, self.vocabulary, self.ids, self.words = n, {}, [], []
-        grams, owner, at = [], [], []
+    def __init__(self, ids: list, texts: list[bytes], n: int, window: int, min_similarity: float):
+        self.window, self.vocabulary, self.ids, self.words = window, {}, [], []
         for item_id, text in zip(ids, texts):
             words = text.lower().split()
             if len(words) < n:
@@ -47,57 +62,67 @@ class Items:
             self.words.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
                                         for w in words], np.int64))
         self.base = len(self.vocabulary) + 1
-        if self.base ** n >= 1 << 62:
-            raise ValueError("block_words is too large for n-gram codes of 64 bits")
-        for k, words in enumerate(self.words):
-            codes = self.codes(words)
-            grams.append(codes)
-            owner.append(np.full(len(codes), k))
-            at.append(np.arange(len(codes)))
+        if self.base ** 2 >= 1 << 62:
+            raise ValueError("block_words is too large for word pairs of 64 bits")
+        self.mark = np.zeros(self.base, bool)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        needs = [min_similarity * MATCH * len(w) for w in self.words]
+        self.gaps = np.array([int(MATCH * len(w) - need) + 1 for w, need in zip(self.words, needs)], np.int64)
+        grams, owner, at, self.spare = [], [], [], []  # spare: starts of the item that need not be seeds
+        for k, (words, need) in enumerate(zip(self.words, needs)):
+            sure = sure_starts(len(words), need, window)
+            steps = range(1, window + 1) if sure else (0,)
+            self.spare.append((sure or max(1, math.ceil(need / MATCH - 1e-9))) - 1)
+            for d in steps:
+                codes = self.codes(words, d)
+                grams.append(codes)
+                owner.append(np.full(len(codes), k))
+                at.append(np.arange(len(codes)))
+        self.singles = any((g % self.base == 0).any() for g in grams)
         cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
         self.grams, self.gram_of = np.unique(cat(grams), return_inverse=True)
         self.owner, self.at = cat(owner), cat(at)
 
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        m = len(words) - self.n + 1
-        out = np.zeros(max(m, 0), np.int64)
-        for k in range(self.n):
-            out = out * self.base + words[k:k + len(out)]
-        return out
+    def codes(self, words: np.ndarray, step: int) -> np.ndarray:
+        """Codes of each word with the one ``step`` on, or of single words."""
+        return words[:-step] * self.base + words[step:] if step else words * self.base
 
     def read(self, text: bytes) -> np.ndarray:
         get = self.vocabulary.get
         return np.array([get(w, 0) for w in text.lower().split()], np.int64)
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``words`` of known n-grams, and the n-grams' numbers."""
-        if len(words) < self.n or not len(self.grams):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        known = words > 0
-        full = known[:len(words) - self.n + 1].copy()
-        for k in range(1, self.n):
-            full &= known[k:k + len(full)]
-        at = np.flatnonzero(full)
-        codes = np.zeros(len(at), np.int64)
-        for k in range(self.n):
-            codes = codes * self.base + words[at + k]
-        found = np.searchsorted(self.grams, codes)
-        found[found == len(self.grams)] = 0
-        same = self.grams[found] == codes
-        return at[same], found[same]
-
-    def seed(self, counts: np.ndarray, window: int) -> None:
-        """Keep as seeds the rarest n-gram of every ``window`` neighbours in an item."""
-        keep = np.zeros(len(self.at), bool)
-        starts = np.flatnonzero(self.at == 0)
-        for a, b in zip(starts, [*starts[1:], len(self.at)]):
-            rarity = counts[self.gram_of[a:b]]
-            w = min(window, b - a)
-            best = np.lib.stride_tricks.sliding_window_view(rarity, w).argmin(axis=1)
-            keep[a + best + np.arange(len(best))] = True
-        by_gram = np.flatnonzero(keep)[np.argsort(self.gram_of[keep], kind="stable")]
-        self.post_owner, self.post_at = self.owner[by_gram], self.at[by_gram]
-        self.post_from = np.searchsorted(self.gram_of[by_gram], np.arange(len(self.grams) + 1))
+        """Positions in ``words`` of known pairs, and the pairs' numbers."""
+        places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(self.grams):
+            known = words > 0
+            for d in range(0 if self.singles else 1, self.window + 1):
+                at = np.flatnonzero(known[:-d] & known[d:] if d else known)
+                codes = words[at] * self.base + (words[at + d] if d else 0)
+                near = np.searchsorted(self.grams, codes)
+                near[near == len(self.grams)] = 0
+                same = self.grams[near] == codes
+                places.append(at[same])
+                found.append(near[same])
+        return np.concatenate(places), np.concatenate(found)
+
+    def seed(self, counts: np.ndarray) -> None:
+        """Keep as seeds the pairs of each item's rarest words, all but its spare ones."""
+        rarity = counts[self.gram_of]
+        keep = np.ones(len(self.at), bool)
+        bounds = np.searchsorted(self.owner, np.arange(len(self.words) + 1))
+        for k, spare in enumerate(self.spare):
+            a, b = bounds[k], bounds[k + 1]
+            of_start = np.bincount(self.at[a:b], rarity[a:b])
+            left_out = np.zeros(len(of_start), bool)
+            left_out[np.argsort(of_start, kind="stable")[len(of_start) - spare:]] = True
+            keep[a:b] = ~left_out[self.at[a:b]]
+        kept = np.flatnonzero(keep)
+        self.grams, gram_of = np.unique(self.grams[self.gram_of[kept]], return_inverse=True)
+        by_gram = np.argsort(gram_of, kind="stable")
+        self.post_owner, self.post_at = self.owner[kept][by_gram], self.at[kept][by_gram]
+        self.post_from = np.searchsorted(gram_of[by_gram], np.arange(len(self.grams) + 1))
+        self.gram_of = self.owner = self.at = None
 
     def places(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, from, to): stretches of ``words`` in which a seeded item may lie."""
@@ -111,17 +136,20 @@ class Items:
         owner, start = self.post_owner[post], np.repeat(pos, count) - self.post_at[post]
         order = np.lexsort((start, owner))
         owner, start = owner[order], start[order]
-        sizes = np.array([len(self.words[k]) for k in owner])
-        slack = sizes // 3 + 2
+        sizes, slack = self.sizes[owner], self.gaps[owner]
         lo, hi = np.maximum(start - slack, 0), np.minimum(start + sizes + slack, len(words))
-        a = 0
-        while a < len(owner):  # join stretches of an item that overlap
-            b, end = a + 1, hi[a]
-            while b < len(owner) and owner[b] == owner[a] and lo[b] <= end:
-                end = max(end, hi[b])
-                b += 1
-            yield int(owner[a]), int(lo[a]), int(end)
-            a = b
+        new = np.ones(total, bool)  # stretches of an item that overlap are joined
+        new[1:] = (owner[1:] != owner[:-1]) | (lo[1:] > hi[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], total) - 1
+        yield from zip(owner[first].tolist(), lo[first].tolist(), hi[last].tolist())
+
+    def bound(self, k: int, words: np.ndarray) -> int:
+        """The most that item k can score in ``words``: its words there match, all others cost."""
+        self.mark[self.words[k]] = True
+        sums = np.cumsum(np.append(0, np.where(self.mark[words], MATCH, GAP)))
+        self.mark[self.words[k]] = False
+        return int((sums - np.minimum.accumulate(sums)).max())
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -153,9 +181,9 @@ def find_items(items: Items, text: bytes, min_similarity: float) -> list[tuple]:
     for k, lo, hi in items.places(words):
         item = items.words[k]
         need = min_similarity * MATCH * len(item)
-        for a in range(lo, hi, 20 * len(item)):  # a long stretch in overlapping parts
-            part = words[a:min(hi, a + 22 * len(item))]
-            if MATCH * np.isin(part, item).sum() < need:  # cannot reach the score
+        for a in range(lo, hi, 20 * len(item)):  # a long stretch in parts that overlap by the longest alignment
+            part = words[a:min(hi, a + 23 * len(item))]
+            if items.bound(k, part) < need:
                 continue
             score, first, end = align(item, part)
             if score >= need and score > best.get(k, (0,))[0]:
@@ -164,7 +192,8 @@ def find_items(items: Items, text: bytes, min_similarity: float) -> list[tuple]:
             for k, (s, a, b) in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame, block_words: int, n: int, id_col: str, text_col: str) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, block_words: int, n: int, window: int, min_similarity: float, id_col: str,
+            text_col: str) -> Iterator[Items]:
     items = benchmark.filter(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()) \
                      .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).distinct()
     words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
@@ -172,11 +201,11 @@ def _blocks(benchmark: DataFrame, block_words: int, n: int, id_col: str, text_co
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) \
                      .orderBy("id", "text").select("id", raw_bytes("text").alias("text")).collect()
-        yield Items([r.id for r in block], [bytes(r.text) for r in block], n)
+        yield Items([r.id for r in block], [bytes(r.text) for r in block], n, window, min_similarity)
 
 
 def _document_counts(docs: DataFrame, items, text_col: str, size: int) -> np.ndarray:
-    """Documents that contain each n-gram of the block, over all documents."""
+    """Documents that contain each word pair of the block, over all documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, block = np.zeros(size, np.int64), items.value
@@ -189,7 +218,7 @@ def _document_counts(docs: DataFrame, items, text_col: str, size: int) -> np.nda
     counted = docs.select(raw_bytes(F.col(text_col)).alias("text")) \
                   .mapInPandas(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     out = np.zeros(size, np.int64)
-    for row in counted.toLocalIterator():  # one row for each n-gram of the block at most
+    for row in counted.toLocalIterator():  # one row for each word pair of the block at most
         out[row.gram] = row.n
     return out
 
@@ -214,13 +243,15 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     the score of an exact copy; start and end count words of the text.  Null or
     empty texts have none.  Items with null id or text, or of fewer than ``n``
     words, match nothing; equal items count once, different texts of one id are
-    items of their own.  An empty benchmark finds nothing.  ``docs`` is read
-    once for each block to count n-grams, before this returns.
+    items of their own.  An empty benchmark finds nothing.  Whatever the
+    ``window``, no alignment that reaches the score is left out; it is how far apart
+    the two words of a seed may be.  ``docs`` is read once for each block to count
+    word pairs, before this returns.
     """
     spark, found = docs.sparkSession, []
-    for block in _blocks(benchmark, block_words, n, item_col, item_text_col):
+    for block in _blocks(benchmark, block_words, n, window, min_similarity, item_col, item_text_col):
         counts = _document_counts(docs, spark.sparkContext.broadcast(block), text_col, len(block.grams))
-        block.seed(counts, window)
+        block.seed(counts)
         sent = spark.sparkContext.broadcast(block)
         found.append(_finder(sent, min_similarity)(raw_bytes(F.col(text_col))))
     return F.concat(*found) if found else F.array().cast(HITS)

@@ -94,3 +94,22 @@ def test_edges(spark):
     kept = D.drop_contaminated(frame, spark.createDataFrame(items, "item_id bigint, text string"))
     assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
     assert hits(spark, [], items) == [] and hits(spark, docs, []) == []
+
+
+def test_evenly_edited_copies_are_found(spark):
+    items, _ = corpus()
+    edits = [lambda w, k, s: [w, f"new{k}"] if k % s == s - 1 else [w], lambda w, k, s: [] if k % s == s - 1 else [w],
+             lambda w, k, s: [f"new{k}"] if k % s == s - 1 else [w]]
+    docs = [(100 * i + 10 * e + s, " ".join(["x"] * 20 + [v for k, w in enumerate(t.split()) for v in edit(w, k, s)]))
+            for i, t in items for e, edit in enumerate(edits) for s in (1, 2, 3, 4)]
+    docs += [(10_000 + i, t) for i, t in corpus()[1][:60]]
+    for min_similarity, window in ((0.5, 2), (0.7, 2), (0.5, 1), (0.25, 3)):
+        want = {(d, i): s for d, t in docs for i, item in items
+                if (s := D.align(*numbered(item, t))[0]) >= min_similarity * 2 * len(item.split())}
+        got = {(r.doc_id, r.item_id): r.score for r in hits(spark, docs, items, min_similarity=min_similarity, window=window)}
+        assert got == want and len(want) > 90
+
+
+def numbered(*texts):
+    known = {}
+    return [np.array([known.setdefault(w, len(known)) for w in t.lower().split()], np.int64) for t in texts]
