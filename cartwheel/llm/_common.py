@@ -19,7 +19,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a table in the shared checkpoint folder and read it back.
 
     The lineage is cut: the files survive the loss of an executor, and the
@@ -29,7 +29,7 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "staged")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)

@@ -133,3 +133,23 @@ SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (own) AS
        coalesce(string_agg((stop - 11 - length(txt)) || ':' || (stop - 1), ',' ORDER BY i) FILTER (own), '') AS mask
 FROM placed GROUP BY conv_id, perspective, part
 """
+
+OP13 = """
+WITH t AS (SELECT row_number() OVER () AS rid, vec_id,
+                  CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+                  [floor(256 * x::DOUBLE) for x in embedding] AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same,
+                 list_sum([z[1] * z[2] for z in list_zip(a.q, b.q)])::BIGINT AS score
+          FROM t a JOIN t b ON a.rid <> b.rid AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM pairs WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, rid) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid))::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
+     AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid) <= 10
+"""

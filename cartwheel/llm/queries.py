@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (curriculum, decontaminate, host_rules, html_text, ngram_lm, oracles, perspectives, pii, secrets, simhash,
-                           url_filter)
+from cartwheel.llm import (curriculum, decontaminate, hard_negatives, host_rules, html_text, ngram_lm, oracles, packing, perspectives,
+                           pii, secrets, simhash, url_filter)
 from cartwheel.llm._common import read_table
 
 
@@ -87,6 +88,23 @@ def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.withColumn("mask", mask)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens, one row for each piece."""
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                          end_id=2, capacity=4096)
+    return packed.select("doc_id", "start", "length", F.col("checksum").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh row's label is moved on by one first."""
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved),
+                               F.col("vec_id") % 100 == 0, scale=256, n_positives=5, n_negatives=10,
+                               low=30, high=90)
+
+
 # Sources in turn: falling, steady and rising over the training run.
 CURRICULUM = (((0.0, 2.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.0), (1.0, 2.0)))
 
@@ -101,6 +119,8 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op9_perspectives": op9_perspectives,
     "op10_pii": op10_pii,
+    "op11_packing": op11_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # The others need a 64-bit hash, an alignment, a fitted model, an HTML parser or
@@ -110,4 +130,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": oracles.OP3,
     "op5_curriculum": oracles.OP5,
     "op9_perspectives": oracles.OP9,
+    "op13_hard_negatives": oracles.OP13,
 }
