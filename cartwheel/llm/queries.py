@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (curriculum, decontaminate, hard_negatives, host_rules, html_text, ngram_lm, oracles, packing, perspectives,
+from cartwheel.llm import (cross_tokenizer, curriculum, decontaminate, hard_negatives, host_rules, html_text, ngram_lm, oracles, packing, perspectives,
                            pii, secrets, simhash, url_filter)
 from cartwheel.llm._common import read_table
 
@@ -96,6 +96,15 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of all documents under two tokenizers, with corpus-wide link counts."""
+    aligned = cross_tokenizer.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = cross_tokenizer.link_statistics(aligned.withColumn("groups_sha256", digest))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh row's label is moved on by one first."""
     label = F.col("label").cast("bigint")
@@ -120,11 +129,12 @@ QUERIES = {
     "op9_perspectives": op9_perspectives,
     "op10_pii": op10_pii,
     "op11_packing": op11_packing,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
-# The others need a 64-bit hash, an alignment, a fitted model, an HTML parser or
-# look-around patterns; tests/llm holds them against brute force.
+# The others need a 64-bit hash, an alignment, a fitted model, an HTML parser, a
+# tokenizer or look-around patterns; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": oracles.OP2,
     "op3_url_filter": oracles.OP3,

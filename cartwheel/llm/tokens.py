@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import accumulate, chain
+
+import numpy as np
 
 CACHE = 300_000
 LONG = 256  # longer words are encoded, not kept
@@ -33,10 +36,9 @@ class WordIds:
         self.tokenizer, self.known = hub_tokenizer(path), {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        data, ends = np.array(list(chain.from_iterable(ids)), "<u4").tobytes(), [0, *accumulate(map(len, ids))]
+        return [data[4 * lo:4 * hi] for lo, hi in zip(ends, ends[1:])]
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts.  One that may hold a special string is encoded as it is."""
