@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm._common import staged
-from cartwheel.llm.tokens import CACHE, LONG, hub_tokenizer
+from cartwheel.llm.tokens import CACHE, LONG, byte_alphabet, hub_tokenizer
 
 PIECE = 1 << 16  # ends merged by a piece
 BATCH = 1 << 20  # characters aligned at a time, or one document
@@ -117,13 +117,6 @@ class Tokenizers:
                 and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == raw)
 
 
-def byte_alphabet() -> dict[int, str]:
-    """Byte -> character of byte-level vocabularies: printable bytes stand for themselves, others follow 255."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-
-
 @lru_cache(maxsize=2)
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)

@@ -1,27 +1,29 @@
 """Host-level quality rules.
 
-Each document is measured against rules; failures are counted by host, the
+Each document is measured against rules; failures are counted by host, and the
 failure rate of each rule is shrunk towards the rate over all hosts with a beta
-prior fitted to the hosts (moments of the beta-binomial), and a host whose
-shrunk rate exceeds ``max_rate`` for any rule is rejected.  The verdict is
-joined back to the host's documents, which stay only if they pass their own
-base rules as well.
-
-The text is measured in two passes (once for the counts, once for the rows),
-which costs less than keeping a copy: the only data moved are one row for each
-host and task, and the host verdicts.
+prior fitted to the hosts (moments of the beta-binomial).  A host whose shrunk
+rate exceeds ``max_rate`` for any rule is rejected, and so is a document that
+fails a rule on a host whose shrunk rate for it exceeds ``doc_rate``: what is a
+slip on a good host is a habit on such a one.  Verdicts are joined back to the
+host's documents, which stay only if they pass their own base rules as well.
+
+The measures are SQL functions over a text's words, held in columns that are
+evaluated once a row.  Besides host counts, nothing but what the caller asked
+for is moved or kept.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm._common import fresh, raw_bytes, staged
+from cartwheel.llm._common import fresh, staged
 
-SYMBOLS = b"#*$%&|<>"
+SYMBOLS = "#*$%&|<>"
+SPACE = " \t\n\x0b\f\r"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -29,49 +31,32 @@ MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 
 
-def repeated_words(words: list[bytes], window: int = 3) -> int:
-    """Words inside windows of ``window`` words that occur twice or more in the text."""
-    n = len(words) - window + 1
-    if n < 2:
-        return 0
-    ids = {w: i for i, w in enumerate(set(words))}
-    at = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-    codes = at[:n]
-    for k in range(1, window):
-        if codes.max() >= (1 << 62) // len(ids):  # keep the codes within 64 bits
-            codes = np.unique(codes, return_inverse=True)[1].astype(np.int64)
-        codes = codes * len(ids) + at[k:k + n]
-    order = np.argsort(codes, kind="stable")
-    same = codes[order[1:]] == codes[order[:-1]]
-    if not same.any():
-        return 0
-    covered = np.zeros(len(words), bool)
-    first = np.concatenate([order[1:][same], order[:-1][same]])
-    for k in range(window):
-        covered[first + k] = True
-    return int(covered.sum())
-
-
-def measure_text(text: bytes) -> tuple[int, ...]:
-    words = text.split()
-    lines, seen, dup, filled = text.split(b"\n"), set(), 0, 0
-    for line in lines:
-        if line.strip():
-            filled += 1
-            dup += line in seen
-            seen.add(line)
-    return (len(words), len(b"".join(words).decode("utf-8", "replace")),
-            sum(text.count(c) for c in SYMBOLS), dup, repeated_words(words), filled)
-
-
-def measures(text: str | Column) -> Column:
-    """Struct of MEASURES (bigint each) of a text column; null text is empty."""
-
-    @F.pandas_udf(", ".join(f"{m} bigint" for m in MEASURES))
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([measure_text(t) for t in texts], columns=list(MEASURES))
-
-    return run(raw_bytes(text))
+def with_measures(docs: DataFrame, text_col: str, out: str, window: int = 3) -> DataFrame:
+    """``docs`` with a struct ``out`` of MEASURES (bigint each); a null text is empty.
+
+    Windows of words are told apart by 64-bit hashes within their text.  Each step is a
+    column of its own that several others name, so that the planner evaluates it once.
+    """
+    text, words, lines, grams, order, again = fresh([*docs.columns, out], "text", "words", "lines", "grams", "order", "again")
+    c, n = F.col, F.size(words)
+    has_word = lambda x: F.ltrim(F.translate(x, SPACE, " " * len(SPACE))) != ""
+    starts = F.sequence(F.lit(0), n - window)
+    steps = docs.withColumn(text, F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) \
+        .withColumn(words, F.filter(F.split(c(text), "[\x20\x09-\x0D]+"), lambda w: w != "")) \
+        .withColumn(lines, F.filter(F.split(c(text), "\n"), has_word)) \
+        .withColumn(grams, F.when(n > window, F.transform(starts, lambda i: F.xxhash64(
+            *[F.get(c(words), i + k) for k in range(window)])))) \
+        .withColumn(order, F.when(F.size(F.array_distinct(grams)) < F.size(grams), F.array_sort(
+            F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))))) \
+        .withColumn(again, F.filter(order, lambda x, i: x["gram"].eqNullSafe(F.get(c(order), i - 1)["gram"])
+                                    | x["gram"].eqNullSafe(F.get(c(order), i + 1)["gram"])))
+    covered = F.array_distinct(F.flatten(F.transform(again, lambda x: F.sequence(x["at"], x["at"] + (window - 1)))))
+    without = lambda chars: F.length(text) - F.length(F.translate(c(text), chars, ""))
+    values = {"n_words": n, "word_chars": F.length(text) - without(SPACE), "n_symbols": without(SYMBOLS),
+              "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+              "n_repeat_words": F.coalesce(F.size(covered), F.lit(0)), "n_lines": F.size(lines)}
+    measured = F.struct(*[v.cast("bigint").alias(k) for k, v in values.items()])
+    return steps.select(*[F.col(f"`{x}`") for x in docs.columns], measured.alias(out))
 
 
 def rules(m: str) -> dict[str, Column]:
@@ -106,44 +91,63 @@ def beta_prior(hosts: DataFrame, failures: str, total: str = "n") -> Column:
     return F.struct((m * strength).alias("a"), ((1 - m) * strength).alias("b"))
 
 
-def host_verdicts(docs: DataFrame, host_col: str, text_col: str, max_rate: float = 0.8) -> DataFrame:
-    """One row per host (null is no host): host, n, shrunk rate of each rule, host_ok."""
-    m = docs.filter(F.col(host_col).isNotNull()) \
-            .select(F.col(host_col).alias("host"), measures(F.col(text_col)).alias("m"))
-    failed = rules("m")
-    hosts = staged(m.groupBy("host").agg(
+def verdicts_of(measured: DataFrame, host_col: str, m: str, max_rate: float = 0.8,
+                doc_rate: float = 0.05) -> DataFrame:
+    """One row per host (null is no host): host, n, shrunk rate of each rule, host_ok, strict rules."""
+    failed = rules(m)
+    hosts = staged(measured.filter(F.col(f"`{host_col}`").isNotNull()).groupBy(F.col(f"`{host_col}`").alias("host")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(c).alias(f"{k}_failed") for k, c in failed.items()]))
     prior = hosts.agg(*[F.when(F.count(F.lit(1)) > 0, beta_prior(hosts, f"{k}_failed")).alias(k)
                         for k in failed]).first()
     if prior[0] is None:  # no hosts
         return hosts.select("host", "n", *[F.lit(0.0).alias(f"{k}_rate") for k in failed],
-                            F.lit(True).alias("host_ok"))
+                            F.lit(True).alias("host_ok"), *[F.lit(False).alias(f"{k}_strict") for k in failed])
     rates = {k: (F.col(f"{k}_failed") + prior[k]["a"])
              / (F.col("n") + prior[k]["a"] + prior[k]["b"]) for k in failed}
     return hosts.select("host", "n", *[c.alias(f"{k}_rate") for k, c in rates.items()],
-                        (F.greatest(*rates.values()) <= max_rate).alias("host_ok"))
+                        (F.greatest(*rates.values()) <= max_rate).alias("host_ok"),
+                        *[(c > doc_rate).alias(f"{k}_strict") for k, c in rates.items()])
+
+
+def host_verdicts(docs: DataFrame, host_col: str, text_col: str, max_rate: float = 0.8,
+                  doc_rate: float = 0.05) -> DataFrame:
+    """:func:`verdicts_of` documents that are not measured yet."""
+    m, = fresh(docs.columns, "m")
+    return verdicts_of(with_measures(docs, text_col, m), host_col, m, max_rate, doc_rate)
+
 
+def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_rate: float = 0.8,
+          doc_rate: float = 0.05, out: str = "quality", keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``docs`` with a struct ``out``: the measures, base_failed, host_ok, strict_failed, kept.
 
-def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-          max_rate: float = 0.8, out: str = "quality") -> DataFrame:
-    """Rows of ``docs`` with a struct ``out``: the measures, base_failed, host_ok, kept.
+    With ``keep`` only those columns are returned; the text is then measured once, and the measures
+    and those columns are kept in a table.  Without, all columns are returned; the text is measured
+    for the counts and again for the rows, which costs less than keeping a copy of it.
 
     A null text is empty (and fails as short).  A null host is no host: such a
     row is judged by its base rules alone.  Repeated rows are judged and counted
     each.  Columns whose names clash with the helpers' stay as they are; ``out``
     replaces a column of that name.  Empty in, empty out.
     """
-    m, host, ok = fresh(docs.columns, "m", "host", "host_ok")
-    verdicts = host_verdicts(docs, host_col, text_col, max_rate) \
-        .select(F.col("host").alias(host), F.col("host_ok").alias(ok))
-    judged = docs.withColumn(m, measures(F.col(text_col))) \
-                 .join(verdicts, F.col(host_col) == F.col(host), "left")
-    base = rules(m)
-    base_failed = base[BASE_RULES[0]] | base[BASE_RULES[1]]
+    columns = docs.columns if keep is None else keep
+    m, host, ok, *strict = fresh([*docs.columns, out], "m", "host", "host_ok", *[f"{k}_strict" for k in rules("m")])
+    measured = with_measures(docs, text_col, m)
+    if keep is not None:
+        own, = fresh(columns, "own_host")
+        measured = staged(measured.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{host_col}`").alias(own), m))
+        host_col = own
+    verdicts = verdicts_of(measured, host_col, m, max_rate, doc_rate).select(
+        F.col("host").alias(host), F.col("host_ok").alias(ok),
+        *[F.col(f"{k}_strict").alias(s) for k, s in zip(rules("m"), strict)])
+    judged = measured.join(verdicts, F.col(f"`{host_col}`") == F.col(host), "left")
+    failed = rules(m)
+    base_failed = failed[BASE_RULES[0]] | failed[BASE_RULES[1]]
     fine = F.coalesce(F.col(ok), F.lit(True))
+    strict_failed = reduce(lambda a, b: a | b, [c & F.coalesce(F.col(s), F.lit(False))
+                                                for c, s in zip(failed.values(), strict)])
     return judged.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != out],
+        *[F.col(f"`{c}`") for c in columns if c != out],
         F.struct(*[F.col(f"{m}.{x}").alias(x) for x in MEASURES],
-                 base_failed.alias("base_failed"), fine.alias("host_ok"),
-                 (~base_failed & fine).alias("kept")).alias(out))
+                 base_failed.alias("base_failed"), fine.alias("host_ok"), strict_failed.alias("strict_failed"),
+                 (~base_failed & fine & ~strict_failed).alias("kept")).alias(out))

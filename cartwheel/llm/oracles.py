@@ -31,10 +31,14 @@ pooled AS (SELECT rule, sum(x) / sum(n) AS p, count(*) AS h, sum(n) AS big_n, su
 fitted AS (SELECT rule, p, 1 / least(greatest(coalesce(
                (s / nullif(p * (1 - p), 0) - (h - 1)) / nullif(big_n - q - h + 1, 0), 0), 1e-4), 0.99) - 1 AS strength
            FROM pooled),
-verdicts AS (SELECT source, bool_and((x + p * strength) / (n + strength) <= 0.8) AS host_ok
-             FROM hosts JOIN fitted USING (rule) GROUP BY source)
+rates AS (SELECT source, rule, (x + p * strength) / (n + strength) AS rate FROM hosts JOIN fitted USING (rule)),
+verdicts AS (SELECT source, bool_and(rate <= 0.8) AS host_ok, bool_or(rule = 'short' AND rate > 0.05) AS short_strict,
+                    bool_or(rule = 'repeats' AND rate > 0.05) AS repeats_strict,
+                    bool_or(rule = 'symbols' AND rate > 0.05) AS symbols_strict,
+                    bool_or(rule = 'dups' AND rate > 0.05) AS dups_strict FROM rates GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
-       NOT (short OR repeats) AND coalesce(host_ok, TRUE) AS kept
+       NOT (short OR repeats) AND coalesce(host_ok AND NOT (short AND short_strict OR repeats AND repeats_strict
+           OR symbols AND symbols_strict OR dups AND dups_strict), TRUE) AS kept
 FROM f LEFT JOIN verdicts USING (source)
 """
 

@@ -2,20 +2,29 @@
 
 A byte-pair tokenizer with a word rule never merges across a word's border, so a
 text's ids are those of its words in a row.  A worker keeps the ids of the words
-it has met (``CACHE`` of them at most, then it starts anew between two calls) and
-hands the tokenizer only the others.
+it has met (``CACHE`` of them at most, then it starts anew between two calls).
+Of the others, plain words take the vocabulary's merges alone, and all that the
+tokenizer's normaliser or word rule may change goes through the tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
+import tiktoken
 
 CACHE = 300_000
 LONG = 256  # longer words are encoded, not kept
+WORD_END = "</w>"
+# A word that ends in a letter or digit of ASCII, and the ASCII signs behind it: the word rule parts them.
+TAIL = re.compile(rb"(.*[a-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+STABLE = "԰"  # letters of Latin, Greek and Cyrillic lie below: every Unicode version has them alike
 
 
 @lru_cache(maxsize=4)
@@ -29,29 +38,90 @@ def hub_tokenizer(path: str, plain_specials: bool = False):
     return tokenizer
 
 
+def byte_alphabet() -> dict[int, str]:
+    """Byte -> character of byte-level vocabularies: printable bytes stand for themselves, others follow 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Merges:
+    """The merges of a byte-level vocabulary with word ends, applied to words by their ranks.
+
+    A word's symbols are its bytes, the last one marked: byte b is written U+0100 + b, a marked one
+    U+0200 + b.  Ids of merged tokens ascend in the order of the merges, or ``usable`` is false.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        byte_of, vocab = {c: b for b, c in byte_alphabet().items()}, model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [vocab["".join(m)] for m in merges]
+        self.usable = model.get("end_of_word_suffix") == WORD_END and made == sorted(made) \
+            and all(vocab[c + end] < min(made, default=0) for c in byte_of for end in ("", WORD_END))
+        ranks = {bytes([b]): len(vocab) + 256 + b for b in range(256)}  # never the result: every symbol has a rank
+        for token, number in vocab.items() if self.usable else ():
+            symbols = [byte_of.get(c) for c in token.removesuffix(WORD_END)]
+            if symbols and None not in symbols:
+                last = symbols.pop() + (0x200 if token.endswith(WORD_END) else 0x100)
+                ranks["".join([*(chr(0x100 + b) for b in symbols), chr(last)]).encode()] = number
+        self.coder = tiktoken.Encoding("words", pat_str="[Ā-ǿ]*[Ȁ-˿]", special_tokens={},
+                                       mergeable_ranks=ranks) if self.usable else None
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        self.table = {b: 0x100 + b for b in range(256)}
+
+    def takes(self, word: str) -> bool:
+        """Lower-case composed letters: the normaliser leaves them, and the word rule keeps them together."""
+        return word.isalpha() and max(word) < STABLE and len(word) <= LONG and word == word.lower() \
+            and (word.isascii() or unicodedata.is_normalized("NFC", word))
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words as little-endian 32-bit bytes."""
+        marked = "".join([w[:-1].decode("latin-1").translate(self.table) + chr(0x200 + w[-1]) for w in words])
+        ids = np.array(self.coder.encode_ordinary(marked), "<u4")
+        data, ends = ids.tobytes(), [0, *(np.flatnonzero(self.closes[ids]) + 1).tolist()]
+        return [data[4 * lo:4 * hi] for lo, hi in zip(ends, ends[1:])]
+
+
 class WordIds:
     """Ids of texts under a lower-casing tokenizer that drops white space, as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = hub_tokenizer(path), {}
+        self.tokenizer, self.merges, self.known = hub_tokenizer(path), Merges(path), {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _by_file(self, texts: list[str]) -> list[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         data, ends = np.array(list(chain.from_iterable(ids)), "<u4").tobytes(), [0, *accumulate(map(len, ids))]
         return [data[4 * lo:4 * hi] for lo, hi in zip(ends, ends[1:])]
 
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        parts = {w: m.groups() for w in words if (m := TAIL.fullmatch(w))}
+        rest = set(words).difference(parts)
+        rest.update(x for pair in parts.values() for x in pair if x not in self.known)
+        plain, others = [], []
+        for w in rest:
+            (plain if self.merges.usable and self.merges.takes(w.decode()) else others).append(w)
+        ids = dict(zip(others, self._by_file([w.decode() for w in others])))
+        if plain:
+            ids.update(zip(plain, self.merges.of(plain)))
+        known = self.known
+        for w, pair in parts.items():
+            ids[w] = b"".join([ids[x] if x in ids else known[x] for x in pair])
+        return ids
+
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts.  One that may hold a special string is encoded as it is."""
         if len(self.known) > CACHE:
             self.known = {}
         plain = [b"<|" not in t for t in texts]
         words = [t.lower().split() if p else () for t, p in zip(texts, plain)]
-        new = list(set().union(*words).difference(self.known)) if words else []
-        ids = dict(zip(new, self._encode([w.decode() for w in new])))
+        ids = self._encode(list(set().union(*words).difference(self.known))) if words else {}
         long = {w: v for w, v in ids.items() if len(w) > LONG}
-        self.known.update((w, v) for w, v in ids.items() if len(w) <= LONG)
-        find = self.known.__getitem__ if not long else lambda w: long.get(w) or self.known.get(w, b"")
-        return [b"".join(map(find, ws)) if p else self._encode([t.decode()])[0]
+        self.known.update(ids if not long else ((w, v) for w, v in ids.items() if len(w) <= LONG))
+        find = self.known.__getitem__ if not long else lambda w: long[w] if w in long else self.known[w]
+        return [b"".join(map(find, ws)) if p else self._by_file([t.decode()])[0]
                 for t, p, ws in zip(texts, plain, words)]
 
 

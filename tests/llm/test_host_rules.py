@@ -1,4 +1,5 @@
 import random
+import re
 
 from cartwheel.llm import host_rules as H
 
@@ -14,24 +15,48 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, s, "a", "b", "c") for i, t, s in rows], SCHEMA)
 
 
+def brute(t):
+    words, lines = [w for w in re.split("[\x20\x09-\x0D]+", t) if w], t.split("\n")
+    filled = [x for x in lines if re.search("[^\x20\x09-\x0D]", x)]
+    return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in t),
+            "n_dup_lines": len(filled) - len(set(filled)), "n_repeat_words": brute_repeats(words), "n_lines": len(filled)}
+
+
 def test_measures(spark):
     pick = random.Random(2)
     texts = [" ".join(pick.choice("abc") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 40)]
-    texts += ["a b c\na b c\n\n \nx", "é# ü*$ %%|<>", "\t\x0b", "q w e " * 3, "same\n" * 9]
-    for t in texts:
-        words = t.split()
-        lines = t.split("\n")
-        got = dict(zip(H.MEASURES, H.measure_text(t.encode())))
-        assert got == {
-            "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in t),
-            "n_dup_lines": sum(bool(x.split()) and x in lines[:i] for i, x in enumerate(lines)),
-            "n_repeat_words": brute_repeats(words), "n_lines": sum(bool(x.split()) for x in lines)}
-
-
-def test_many_distinct_words_stay_exact():
-    words = [str(i).encode() for i in range(3000)]
-    assert H.repeated_words(words * 2, window=6) == 6000
-    assert H.repeated_words(words, window=6) == 0
+    texts += ["a b c\na b c\n\n \nx", "é# ü*$ %%|<>", "\t\x0b", "q w e " * 3, "same\n" * 9, "a\x1cb \x85 \u2003 c",
+              "\n\n", " lead", "trail ", "x\r\ny\r\nx\r\n", "🙂 🙂🙂 日本", "a b a b a b"]
+    texts += ["".join(pick.choice("ab #%\n\t") for _ in range(pick.randint(1, 90))) for _ in range(60)]
+    got = H.with_measures(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), "text", "out").collect()
+    for r in got:
+        assert r.out.asDict() == brute(texts[r.doc_id]), texts[r.doc_id]
+        assert (r.m, r.host, r.text) == ("a", "b", texts[r.doc_id])
+
+
+def test_a_very_long_text(spark):
+    words = [f"w{i % 200_000}" for i in range(400_000)]
+    text = " ".join(words) + "\nline" * 5
+    row, = H.judge(frame(spark, [(1, text, "s")]), keep=["doc_id"]).collect()
+    assert row.quality.n_words == 400_005 and row.quality.n_repeat_words >= 400_000 and row.quality.n_dup_lines == 4
+
+
+def test_strict_rules_take_failing_documents_of_bad_hosts_only(spark):
+    good = [" ".join(f"w{i}x{j}" for i in range(60)) for j in range(4)]
+    noisy = " ".join(f"w{i}%%%" for i in range(60))
+    rows = [(i, noisy if i % 5 == 0 else good[i % 4], "bad") for i in range(400)]
+    rows += [(1000 + 1000 * h + i, noisy if i == 0 else good[i % 4], f"h{h}") for h in range(9) for i in range(400)]
+    got = {r.doc_id: r.quality for r in H.judge(frame(spark, rows), keep=["doc_id"]).collect()}
+    assert all(got[i].kept == (i % 5 != 0) for i in range(400))
+    assert all(q.kept for i, q in got.items() if i >= 1000)  # one slip in 400 is no habit
+    assert all(q.host_ok and not q.base_failed for q in got.values())
+
+
+def test_strict_rules_change_rows_of_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [r.quality for r in H.judge(docs, keep=["doc_id"]).collect()]
+    fell = [q for q in got if not q.kept and not q.base_failed]
+    assert fell and all(q.strict_failed and q.host_ok for q in fell)
 
 
 def test_edge_rows(spark):

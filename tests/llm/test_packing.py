@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cartwheel.llm import packing, tokens
@@ -87,6 +89,25 @@ def test_word_cache_starts_anew_between_calls(monkeypatch):
     assert ids.of([]) == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("abst'.,1 É"), st.characters(blacklist_categories=["Cs"])),
+                        max_size=30), max_size=6))
+def test_ids_are_those_of_the_file(texts_):
+    want = [np.array(expected(t)[:-1], "<u4").tobytes() for t in texts_]
+    assert tokens.word_ids(PATH).of([t.encode() for t in texts_]) == want
+
+
+def test_merges_by_rank_are_those_of_the_file():
+    pick, merges = random.Random(6), tokens.Merges(PATH)
+    letters = "abcdefghijklmnopqrstuvwxyz" * 3 + "éèüßñøžλжя"
+    words = sorted({"".join(pick.choice(letters) for _ in range(pick.randint(1, 14))) for _ in range(20_000)}
+                   | {t.removesuffix("</w>") for t in TOKENIZER.get_vocab()})
+    words = [w for w in words if w and merges.takes(w)]
+    assert merges.usable and len(words) > 30_000
+    got = merges.of([w.encode() for w in words])
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in TOKENIZER.encode_batch(words, add_special_tokens=False)]
+
+
 def brute_pattern(sizes, prices, capacity):
     best = [0.0] * (capacity + 1)
     for room in range(1, capacity + 1):
