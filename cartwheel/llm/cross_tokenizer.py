@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm._common import staged
-from cartwheel.llm.tokens import CACHE, LONG, byte_alphabet, hub_tokenizer
+from cartwheel.llm.tokens import LONG, byte_alphabet, hub_tokenizer
 
+CACHE = 200_000  # words whose ids a worker keeps, about
 PIECE = 1 << 16  # ends merged by a piece
 BATCH = 1 << 20  # characters aligned at a time, or one document
 MAX_CELLS = 96_000_000  # bytes of the cells of a block's documents, about

@@ -26,11 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm._common import raw_bytes, staged
+from cartwheel.llm._common import staged
 from cartwheel.llm.tokens import word_ids
 
 CLOSE = 2e-3
@@ -40,16 +40,13 @@ BUCKET = 500_000  # pieces ranked by one window, about
 def token_bytes(text: Column, tokenizer: str, end_id: int) -> Column:
     """Ids of a text and the end id, as little-endian 32-bit binary; a null text is empty."""
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids, end = word_ids(tokenizer), end_id.to_bytes(4, "little")
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ids = word_ids(tokenizer)
         for texts in batches:
-            out = []
-            for lo in range(0, len(texts), 512):
-                out += [x + end for x in ids.of(list(texts.iloc[lo:lo + 512]))]
-            yield pd.Series(out, dtype=object)
+            yield pa.chunked_array([*ids.of(texts, end_id)], pa.large_binary()).combine_chunks().cast(pa.binary())
 
-    return run(raw_bytes(text))
+    return run(text)
 
 
 def class_sizes(capacity: int) -> np.ndarray:

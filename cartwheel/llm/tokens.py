@@ -1,8 +1,9 @@
 """Token ids of whole texts by public tokenizers, at the cost of their distinct words.
 
 A byte-pair tokenizer with a word rule never merges across a word's border, so a
-text's ids are those of its words in a row.  A worker keeps the ids of the words
-it has met (``CACHE`` of them at most, then it starts anew between two calls).
+text's ids are those of its words in a row.  Arrow numbers the words of some
+megabytes of text, and the ids of the distinct ones are gathered by number.  A
+worker keeps those it has met (``CACHE`` at most, then it starts anew).
 Of the others, plain words take the vocabulary's merges alone, and all that the
 tokenizer's normaliser or word rule may change goes through the tokenizer.
 """
@@ -11,19 +12,22 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 
-CACHE = 300_000
+CACHE = 500_000
 LONG = 256  # longer words are encoded, not kept
 WORD_END = "</w>"
-# A word that ends in a letter or digit of ASCII, and the ASCII signs behind it: the word rule parts them.
-TAIL = re.compile(rb"(.*[a-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# One sign of ASCII between a letter or digit of ASCII and white space: the word rule parts it from the word.
+TAIL = r"([a-z0-9])([!-&(-/:-@\[-`{-~][\x20\x09-\x0d])"
+SLICE = 1 << 22  # bytes of text at a time, or one text
 STABLE = "԰"  # letters of Latin, Greek and Cyrillic lie below: every Unicode version has them alike
 
 
@@ -70,17 +74,18 @@ class Merges:
                                        mergeable_ranks=ranks) if self.usable else None
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
-        self.table = {b: 0x100 + b for b in range(256)}
 
-    def takes(self, word: str) -> bool:
+    def takes(self, raw: bytes) -> bool:
         """Lower-case composed letters: the normaliser leaves them, and the word rule keeps them together."""
-        return word.isalpha() and max(word) < STABLE and len(word) <= LONG and word == word.lower() \
-            and (word.isascii() or unicodedata.is_normalized("NFC", word))
+        word = raw.decode() if len(raw) <= LONG else ""
+        return word.isalpha() and max(word) < STABLE and word == word.lower() \
+            and unicodedata.is_normalized("NFC", word)
 
     def of(self, words: list[bytes]) -> list[bytes]:
         """Ids of words as little-endian 32-bit bytes."""
-        marked = "".join([w[:-1].decode("latin-1").translate(self.table) + chr(0x200 + w[-1]) for w in words])
-        ids = np.array(self.coder.encode_ordinary(marked), "<u4")
+        symbols = np.frombuffer(b"".join(words), np.uint8).astype("<u4") + 0x100
+        symbols[np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) - 1] += 0x100
+        ids = np.array(self.coder.encode_ordinary(symbols.tobytes().decode("utf-32-le")), "<u4")
         data, ends = ids.tobytes(), [0, *(np.flatnonzero(self.closes[ids]) + 1).tolist()]
         return [data[4 * lo:4 * hi] for lo, hi in zip(ends, ends[1:])]
 
@@ -96,33 +101,67 @@ class WordIds:
         data, ends = np.array(list(chain.from_iterable(ids)), "<u4").tobytes(), [0, *accumulate(map(len, ids))]
         return [data[4 * lo:4 * hi] for lo, hi in zip(ends, ends[1:])]
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        parts = {w: m.groups() for w in words if (m := TAIL.fullmatch(w))}
-        rest = set(words).difference(parts)
-        rest.update(x for pair in parts.values() for x in pair if x not in self.known)
-        plain, others = [], []
-        for w in rest:
-            (plain if self.merges.usable and self.merges.takes(w.decode()) else others).append(w)
+    def _encode(self, words: list[bytes], plain: list[bool]) -> dict[bytes, bytes]:
+        """Ids of the words not known yet; ``plain`` ones are surely taken by the merges."""
+        known, usable = self.known, self.merges.usable
+        short = [w for w, p in zip(words, plain) if p and w not in known] if usable else []
+        rest = [w for w, p in zip(words, plain) if not (p and usable) and w not in known]
+        takes = set(filter(self.merges.takes, rest)) if usable else set()
+        short += takes
+        others = [w for w in rest if w not in takes]
         ids = dict(zip(others, self._by_file([w.decode() for w in others])))
-        if plain:
-            ids.update(zip(plain, self.merges.of(plain)))
-        known = self.known
-        for w, pair in parts.items():
-            ids[w] = b"".join([ids[x] if x in ids else known[x] for x in pair])
+        if short:
+            ids.update(zip(short, self.merges.of(short)))
         return ids
 
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts.  One that may hold a special string is encoded as it is."""
+    def of(self, texts: pa.Array, end: int | None = None) -> Iterator[pa.Array]:
+        """Ids of UTF-8 texts (null is empty), each followed by ``end``, as binary arrays in order."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + SLICE, side="right")))
+            yield self._slice(pc.fill_null(texts.slice(lo, hi - lo), ""), end)
+            lo = hi
+
+    def _slice(self, texts: pa.Array, end: int | None) -> pa.Array:
+        # a text that may hold a special string is one word, encoded as it is
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(
+            pc.ascii_lower(pc.if_else(special, "", texts)), pattern=TAIL, replacement=r"\1 \2"))
+        words = split.flatten().dictionary_encode()
+        spelled = words.dictionary
+        plain = pc.and_(pc.ascii_is_alpha(spelled), pc.less_equal(pc.binary_length(spelled), LONG))
+        distinct = spelled.cast(pa.binary()).to_pylist()
         if len(self.known) > CACHE:
             self.known = {}
-        plain = [b"<|" not in t for t in texts]
-        words = [t.lower().split() if p else () for t, p in zip(texts, plain)]
-        ids = self._encode(list(set().union(*words).difference(self.known))) if words else {}
-        long = {w: v for w, v in ids.items() if len(w) > LONG}
-        self.known.update(ids if not long else ((w, v) for w, v in ids.items() if len(w) <= LONG))
-        find = self.known.__getitem__ if not long else lambda w: long[w] if w in long else self.known[w]
-        return [b"".join(map(find, ws)) if p else self._by_file([t.decode()])[0]
-                for t, p, ws in zip(texts, plain, words)]
+        ids = self._encode(distinct, plain.to_pylist())
+        parts = [ids[w] if w in ids else self.known[w] for w in distinct]
+        self.known.update(ids if max(map(len, ids), default=0) <= LONG
+                          else ((w, v) for w, v in ids.items() if len(w) <= LONG))
+        code = words.indices.to_numpy()
+        ends = split.offsets.to_numpy()[1:]
+        if pc.any(special).as_py():  # each such text's ids are a part of its own
+            at = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+            own = self._by_file(texts.take(pa.array(at)).to_pylist())
+            code = np.insert(code, ends[at], len(parts) + np.arange(len(at)))
+            ends = ends + np.searchsorted(at, np.arange(len(texts)), side="right")
+            parts += own
+        if end is not None:
+            code = np.insert(code, ends, len(parts))
+            ends = ends + np.arange(1, len(texts) + 1)
+            parts.append(end.to_bytes(4, "little"))
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        n = size[code]
+        upto = np.cumsum(n)
+        shift = (np.cumsum(size) - size)[code] - (upto - n)
+        kind = np.int32 if max(len(flat), int(upto[-1]) if len(upto) else 0) < 1 << 31 else np.int64
+        at = np.repeat(shift.astype(kind), n)
+        at += np.arange(len(at), dtype=kind)
+        out = flat[at]
+        offsets = np.concatenate([[0], np.concatenate([[0], upto])[ends]]) * 4
+        return pa.Array.from_buffers(pa.large_binary(), len(texts),
+                                     [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
 
 
 @lru_cache(maxsize=2)
