@@ -151,6 +151,62 @@ def summed_parts(name: str) -> Column:
         F.when(fits, exact).otherwise(wide) + F.coalesce(f, F.lit(0.0)))
 
 
+# Sums taken below a join: a product's units are summed first and multiplied once.
+UNITS_DECIMAL, MILLION = "decimal(28,6)", 1_000_000
+
+
+def unit_sums(quantity: str, dtype: T.DataType, name: str) -> list[Column]:
+    """Aggregate columns of a quantity in parts: whole units (bigint), decimals and doubles."""
+    whole = whole_quantity(quantity, dtype)
+    exact = F.when(whole.isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL))
+    rest = F.when(whole.isNull() & exact.isNull(), F.col(quantity).cast("double"))
+    return [F.sum(whole).alias(f"{name}_w"), F.sum(exact).alias(f"{name}_d"), F.sum(rest).alias(f"{name}_f")]
+
+
+def _exact_product(units: Column, price: Column) -> Column:
+    """units (28 digits, 6 of them places) * price (20, 8) with 14 places; NULL if it does not fit.
+
+    The units are multiplied in millions and the rest apart, as one product of 48 digits would
+    be rounded.
+    """
+    millions = F.floor(units / MILLION).try_cast("decimal(17,0)")
+    rest = (units - millions * MILLION).try_cast("decimal(13,6)")
+    high = (millions * price).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
+    return F.try_add(high.try_cast("decimal(38,14)"), rest * price).try_cast("decimal(38,14)")
+
+
+def unit_parts(name: str) -> dict[str, Column]:
+    """Parts c, d, f of the units of :func:`unit_sums`, as :func:`sum_parts` takes them."""
+    return {"c": F.col(f"{name}_w") * 100, "d": F.col(f"{name}_d"), "f": F.col(f"{name}_f")}
+
+
+def product_parts(name: str, price: str, cents: str, decimal: str) -> dict[str, Column]:
+    """Parts c, d, f of a product's units times its price.
+
+    Equal to the sum of the products of the lines in c and d.  What does not fit 38 digits (or is
+    no decimal) is multiplied as doubles.
+    """
+    w, d, f = (F.col(f"{name}_{k}") for k in "wdf")
+    wide = lambda c: F.coalesce(c.try_cast(UNITS_DECIMAL), F.lit(Decimal(0)).cast(UNITS_DECIMAL))
+    c = F.when((F.abs(w.cast("double")) * F.abs(F.col(cents)) < 9e18), w * F.col(cents))
+    left = F.when(c.isNull(), w)
+    units = F.when(left.isNotNull() | d.isNotNull(), (wide(left) + wide(d)).try_cast(UNITS_DECIMAL))
+    exact = _exact_product(units, F.col(decimal))
+    inexact = F.when(exact.isNull() & (left.isNotNull() | d.isNotNull()),
+                     F.coalesce(left.cast("double"), F.lit(0.0)) + F.coalesce(d.cast("double"), F.lit(0.0)))
+    doubles = F.when(inexact.isNotNull() | f.isNotNull(),
+                     F.coalesce(inexact, F.lit(0.0)) + F.coalesce(f, F.lit(0.0)))
+    return {"c": c, "d": exact, "f": doubles * F.col(price).cast("double")}
+
+
+def repeated_parts(times: str, price: str, cents: str, decimal: str) -> dict[str, Column]:
+    """Parts c, d, f of a price that is added ``times`` times."""
+    n = F.col(times)
+    c = F.when(n.cast("double") * F.abs(F.col(cents)) < 9e18, n * F.col(cents))
+    d = F.when(c.isNull(), _exact_product(n.try_cast(UNITS_DECIMAL), F.col(decimal)))
+    return {"c": c, "d": d, "f": F.when(c.isNull() & d.isNull(), n * F.col(price).cast("double"))}
+
+
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     """numerator / denominator, NULL when the denominator is NULL or zero.
 

@@ -7,16 +7,15 @@ once upstream layout changes.  Here every draw is a function of (salt, seed,
 row key): the same key always gets the same value, on any layout, on any
 retry.
 
-The function is plain 64-bit integer arithmetic, so any SQL engine can compute
-the same draws (``draw_sql``): two chains of multiply, xor-shift and remainder
-modulo two primes below 2^31.  Keys below the product of the primes (4.6e18)
-differ in at least one remainder, and each chain is a bijection of its own.
+A draw is the first 52 bits of the MD5 of "salt:seed:key", which any SQL engine can
+compute (``draw_sql``).  It names its key once: an arithmetic mix whose rounds name
+their input twice doubles the expression tree with every round, and analysing such
+trees took longer than drawing (see README).
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,50 +25,27 @@ from pyspark.sql import functions as F
 _UNIFORM_BITS = 1 << 52
 
 
-_HALF = 1 << 26
-# The two largest primes below 2^31.
-_PRIMES = (2147483647, 2147483629)
-_SHIFTS = (15, 13, 16)
-
-
 def _key(key: str | Column) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
 
-def _constants(seed: int, salt: str, chain: int) -> list[tuple[int, int]]:
-    """(multiplier, addend) of each round, from the seed and the salt."""
-    number = lambda k: zlib.crc32(f"{salt}:{int(seed)}:{chain}:{k}".encode())
-    p = _PRIMES[chain]
-    return [(number(2 * r) % (p - 1) + 1, number(2 * r + 1) % p) for r in range(len(_SHIFTS) + 1)]
-
-
 def integer_key(key: str | Column, integral: bool) -> Column:
     """The key itself if it is integral, else a 64-bit hash of it."""
     return _key(key).cast("bigint") if integral else F.xxhash64(_key(key))
 
 
+_DIGITS = 13  # hexadecimal digits of a digest that make the 52 bits
+
+
 def hashed_long(key: str | Column, seed: int, salt: str) -> Column:
     """52 pseudo-random bits of an integral row key, distinct per (seed, salt)."""
-    halves = []
-    for chain, p in enumerate(_PRIMES):
-        (m, c), *rounds = _constants(seed, salt, chain)
-        x = (F.pmod(_key(key).cast("bigint"), F.lit(p).cast("bigint")) * m + c) % p
-        for shift, (m, c) in zip(_SHIFTS, rounds):
-            x = (x.bitwiseXOR(F.shiftright(x, shift)) * m + c) % p
-        halves.append(x % _HALF)
-    return halves[0] * _HALF + halves[1]
+    text = F.concat(F.lit(f"{salt}:{int(seed)}:"), _key(key).cast("bigint").cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("bigint")
 
 
 def draw_sql(key: str, seed: int, salt: str) -> str:
-    """:func:`hashed_long` as SQL text over a non-negative bigint key."""
-    halves = []
-    for chain, p in enumerate(_PRIMES):
-        (m, c), *rounds = _constants(seed, salt, chain)
-        x = f"(({key} % {p}) * {m} + {c}) % {p}"
-        for shift, (m, c) in zip(_SHIFTS, rounds):
-            x = f"(SELECT (xor(x, x >> {shift}) * {m} + {c}) % {p} FROM (SELECT {x} AS x))"
-        halves.append(f"({x}) % {_HALF}")
-    return f"(({halves[0]}) * {_HALF} + {halves[1]})"
+    """:func:`hashed_long` as SQL text over a bigint key."""
+    return f"CAST('0x' || substr(md5('{salt}:{int(seed)}:' || CAST({key} AS VARCHAR)), 1, {_DIGITS}) AS BIGINT)"
 
 
 def uniform_sql(key: str, seed: int, salt: str) -> str:

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import (exact_cents, exact_price_decimal, growth_percentage,
-                                       is_integral, line_cents_to_money, line_parts, ratio,
-                                       sum_parts, summed_parts, whole_quantity)
+                                       is_integral, line_cents_to_money, line_parts, product_parts,
+                                       ratio, repeated_parts, sum_parts, summed_parts, unit_parts,
+                                       unit_sums)
 
 _CENTS, _EXACT = "_price_cents", "_price_exact"
 _REV = "_line"
@@ -66,27 +67,35 @@ def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") ->
     return lines.withColumn("line_revenue", revenue).drop(*_REV_PARTS.values(), _CENTS, _EXACT)
 
 
-# Aggregate columns shared by the standalone queries and the single-pass run.
-def line_aggregates(lines: DataFrame) -> list:
-    """Per-group aggregates of priced lines: exact revenue, line count,
-    exact units and price sums, and priced-line count."""
-    dtype = lines.schema["quantity"].dataType
-    price = {"c": _CENTS, "d": F.when(F.col(_CENTS).isNull(), F.col(_EXACT)),
-             "f": F.when(F.col(_CENTS).isNull() & F.col(_EXACT).isNull(), F.col("price").cast("double"))}
-    if is_integral(dtype):
-        units = [F.sum("quantity").alias("total_units_sold")]
-    else:
-        whole = whole_quantity("quantity", dtype)
-        exact = F.when(whole.isNull(), F.col("quantity").try_cast("decimal(17,6)"))
-        exact = F.when(exact.cast("double") == F.col("quantity").cast("double"), exact)
-        units = sum_parts({"c": whole * 100, "d": exact, "f": F.when(
-            whole.isNull() & exact.isNull(), F.col("quantity").cast("double"))}, "_units")
-    return [*revenue_sums(), F.count("order_id").alias("order_count"), *units,
-            *sum_parts(price, "_price_sum"), F.count("price").alias("_price_count")]
+_UNITS, _LINES, _IDS = "_units", "_n_lines", "_n_ids"
+
+
+def product_aggregates(dtype) -> list:
+    """What the category report needs of a product's lines; it names no price."""
+    units = [F.sum("quantity").alias("_whole_units")] if is_integral(dtype) else []
+    return [*unit_sums("quantity", dtype, _UNITS), *units,
+            F.count(F.lit(1)).alias(_LINES), F.count("order_id").alias(_IDS)]
+
+
+def category_aggregates(per_product: DataFrame) -> DataFrame:
+    """Per-category sums of products (category, price and :func:`product_aggregates`).
+
+    A product's units are multiplied by its price once, not line by line.
+    """
+    whole = "_whole_units" in per_product.columns
+    priced = per_product.withColumns({_CENTS: exact_cents("price"), _EXACT: exact_price_decimal("price")})
+    of_price = (_LINES, "price", _CENTS, _EXACT)
+    units = ([F.sum("_whole_units").alias("total_units_sold")] if whole
+             else sum_parts(unit_parts(_UNITS), "_units"))
+    return priced.groupBy("category").agg(
+        *sum_parts(product_parts(_UNITS, "price", _CENTS, _EXACT), _REV), *units,
+        *sum_parts(repeated_parts(*of_price), "_price_sum"),
+        F.sum(F.when(F.col("price").isNotNull(), F.col(_LINES)).otherwise(0)).alias("_price_count"),
+        F.sum(_IDS).alias("order_count"))
 
 
 def finish_top_customers(per_customer: DataFrame, n: int | None = 10) -> DataFrame:
-    """Top-n from per-customer aggregates (see :func:`line_aggregates`)."""
+    """Top-n from per-customer aggregates (revenue parts and ``order_count``)."""
     total = summed_parts(_REV)
     return (per_customer
             .select("customer_id",
@@ -146,9 +155,14 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
 
     ``avg_price`` averages the price over joined order lines, not over
     distinct products: a product ordered three times counts three times.
+
+    The lines are summed by product below the join (eager aggregation): the
+    join carries one row a product, and only those are multiplied and summed.
     """
-    lines = priced_lines(orders, products, extra_product_cols=("category",))
-    return finish_sales_by_category(lines.groupBy("category").agg(*line_aggregates(lines)))
+    per_product = orders.where(F.col("product_id").isNotNull()).groupBy("product_id") \
+                        .agg(*product_aggregates(orders.schema["quantity"].dataType))
+    priced = per_product.join(products.select("product_id", "category", "price"), "product_id")
+    return finish_sales_by_category(category_aggregates(priced))
 
 
 def monthly_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -196,33 +210,35 @@ def top_customers_from_lines(lines: DataFrame, headers: DataFrame, products: Dat
 
 
 def combined_aggregates(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Per-customer, per-category and per-month aggregates in one pass.
+    """The grains that the three analyses share, in one pass over the lines.
 
-    One scan and one join pipeline feed a GROUPING SETS aggregate (an
-    Expand before the partial aggregate, one shuffle).  ``_set`` names the
-    grouping set of each row: ``customer``, ``category`` or ``month``.
+    Two grouping sets from one scan and one join: customer and month together
+    (``_set`` is ``customer_month``), from which customers and months are
+    summed, and the product (``_set`` is ``category``), from which categories
+    are.  Both have far fewer rows than there are lines, and price sums are
+    taken from the products only.
     """
     lines = (priced_lines(orders, products, extra_product_cols=("category",))
              .withColumn("year_month", F.trunc("order_date", "month")))
-    keys = ["customer_id", "category", "year_month"]
-    agg = (lines.groupingSets([["customer_id"], ["category"], ["year_month"]], *keys)
-           .agg(*line_aggregates(lines), F.grouping_id().alias("_gid")))
-    # grouping_id bits are (customer_id, category, year_month), 1 = rolled up
-    label = (F.when(F.col("_gid") == 3, "customer")
-             .when(F.col("_gid") == 5, "category")
-             .when(F.col("_gid") == 6, "month"))
+    grains = [["customer_id", "year_month"], ["product_id", "category", "price"]]
+    agg = (lines.groupingSets(grains, *grains[0], *grains[1])
+           .agg(*revenue_sums(), *product_aggregates(orders.schema["quantity"].dataType),
+                F.grouping_id().alias("_gid")))
+    # grouping_id has a 1 for each key that is rolled up
+    label = F.when(F.col("_gid") == 0b00111, "customer_month").when(F.col("_gid") == 0b11000, "category")
     return agg.withColumn("_set", label).drop("_gid")
 
 
 def split_combined(combined: DataFrame, n: int = 10) -> dict[str, DataFrame]:
     """The three analyses from :func:`combined_aggregates` output."""
+    pairs = combined.where(F.col("_set") == "customer_month")
+    again = [F.sum(f"{_REV}_{k}").alias(f"{_REV}_{k}") for k in ("hi", "lo", "d", "f")]
     return {
         "top_customers": finish_top_customers(
-            combined.where(F.col("_set") == "customer"), n),
+            pairs.groupBy("customer_id").agg(*again, F.sum(_IDS).alias("order_count")), n),
         "category_sales": finish_sales_by_category(
-            combined.where(F.col("_set") == "category")),
-        "monthly_trends": finish_monthly_trends(
-            combined.where(F.col("_set") == "month")),
+            category_aggregates(combined.where(F.col("_set") == "category"))),
+        "monthly_trends": finish_monthly_trends(pairs.groupBy("year_month").agg(*again)),
     }
 
 
@@ -258,6 +274,14 @@ def customer_revenue_left_zero(orders: DataFrame, products: DataFrame, n: int |
     return _first(per_customer, n, F.desc("revenue"), F.asc("customer_id"))
 
 
+def sum_by_product_key(orders: DataFrame, products: DataFrame, key: str = "category",
+                       value: str = "quantity", alias: str = "total_amount") -> DataFrame:
+    """:func:`sum_by_key` of a line value by a product column, summed by product below the join."""
+    per_product = orders.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.sum(value).alias(alias))
+    joined = per_product.join(products.select("product_id", key), "product_id")
+    return sum_by_key(joined, key, alias, alias)
+
+
 def sum_by_key(df: DataFrame, key: str = "category", value: str = "amount",
                alias: str = "total_amount") -> DataFrame:
     """``groupBy(key).agg(sum(value))`` -- the dictionary-style aggregation."""

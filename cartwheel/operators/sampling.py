@@ -4,23 +4,22 @@ Each draw picks one item with probability proportional to the item's weight.
 Everything is keyed by hashes, so the result does not depend on the
 partition layout and a recomputed partition reproduces its first run.
 
-Plan (no driver collect, no global sort, no nested-loop join):
+Plan (no driver collect, no global sort, no nested-loop join, no pairwise comparison):
 
-1. Integer weights (real ones are scaled by one power of two).  Items are spread over ``chunks`` hash chunks; per-chunk
-   totals (at most ``chunks`` rows, a proven size bound, so broadcast) are
-   prefix-summed into offsets, and a window partitioned by chunk gives every
-   item its interval ``[lo, hi)`` of the weight line ``[0, T)``.
+1. Integer weights (real ones are scaled by one power of two).  Items are dealt
+   to ``chunks`` hash chunks, in one shuffle that two readers share: the chunk
+   totals (at most ``chunks`` rows, a proven size bound, so broadcast), which
+   are prefix-summed into the chunks' places on the weight line ``[0, T)``, and
+   a window that gives every item its interval ``[lo, hi)`` within its chunk.
 2. Each draw is a hashed integer point ``d`` in ``[0, T)``; the owner is the
    item with ``lo <= d < hi``.  Intervals partition the line, so every draw
    has exactly one owner.
-3. The range lookup is an equi-join on equal-width buckets of the line plus
-   the range filter.  An item is repeated once per bucket its interval
-   touches (at most ``N + K`` rows in total).  The repetition is a two-level
-   explode with a hash shuffle in between, so an item holding a third of all
-   weight is expanded by many tasks, never by one.
-4. Buckets are ~``buckets_per_item * N`` wide slices of the line, and draws
-   land uniformly on buckets, so the expected number of range comparisons is
-   linear in the number of draws whatever the weight distribution.
+3. Lookup by merging.  A chunk's stretch of the line is cut into parts of equal
+   width, so many that no part is wider than a ``ranges``-th of the line; a part
+   has at most a chunk's items and about a ``ranges``-th of the draws, however
+   heavy an item is.  Item starts and points are merged in each part, and a
+   window carries the last start forward.  An item that reaches into further
+   parts starts anew in each: at most ``ranges`` + ``chunks`` rows more in all.
 """
 
 from __future__ import annotations
@@ -37,9 +36,6 @@ def _draw_key(df: DataFrame, key: str) -> Column:
     return integer_key(key, is_integral(df.schema[key].dataType))
 
 
-_PIECE = 1024  # buckets expanded per piece in the second explode level
-
-
 def pareto_weights(items: DataFrame, key: str, alpha: float = 1.16, seed: int = 0,
                    scale: int = 10_000) -> DataFrame:
     """Attach integer weights ``floor(scale * pareto(alpha))`` (minimum ``scale``).
@@ -86,53 +82,36 @@ def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096,
     Columns: ``key``, lo, hi.  The order along the line is (chunk, key); a
     chunk is ``spread`` (a hash of the key unless given) modulo ``chunks``.
     """
+    if not 0 < chunks <= MAX_CHUNKS:
+        raise ValueError(f"chunks must be 1 to {MAX_CHUNKS}")
+    w, offsets = _chunked(weights, key, chunks, spread)
+    # ``offsets`` has at most ``chunks`` rows: broadcasting it is size-bounded.
+    return _intervals(w, key).join(F.broadcast(offsets.select("_chunk", "_offset")), "_chunk") \
+        .select(key, (F.col("_offset") + F.col("_from")).alias("lo"), (F.col("_offset") + F.col("_upto")).alias("hi"))
+
+
+def _chunked(weights: DataFrame, key: str, chunks: int, spread: Column | None) -> tuple[DataFrame, DataFrame]:
+    """Items dealt by chunk, and (_chunk, _total, _offset) of the chunks: two readers of one shuffle."""
     if not 0 < chunks <= MAX_CHUNKS:
         raise ValueError(f"chunks must be 1 to {MAX_CHUNKS}")
     spread = hashed_long(_draw_key(weights, key), 0, "chunk") if spread is None else spread
-    w = weights.withColumn("_chunk", F.pmod(spread, F.lit(int(chunks))))
-    totals = w.groupBy("_chunk").agg(F.sum("_w").alias("_chunk_total"))
+    w = weights.withColumn("_chunk", F.pmod(spread, F.lit(int(chunks)))).repartition("_chunk")
+    # the key is counted so that both readers ask the shuffle for the same columns
+    totals = w.groupBy("_chunk").agg(F.sum("_w").alias("_total"), F.count(F.struct(key)).alias("_items"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_chunk", F.coalesce(F.sum("_chunk_total").over(before), F.lit(0)).alias("_offset"))
+    return w, totals.where("_items > 0").select(
+        "_chunk", "_total", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+
+
+def _intervals(w: DataFrame, key: str) -> DataFrame:
+    """Every item's place [_from, _upto) within its chunk, in the order of the keys."""
     upto = (Window.partitionBy("_chunk").orderBy(key)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = w.withColumn("_cum", F.sum("_w").over(upto))
-    # ``offsets`` has at most ``chunks`` rows: broadcasting it is size-bounded.
-    return (within.join(F.broadcast(offsets), "_chunk")
-            .select(key,
-                    (F.col("_offset") + F.col("_cum") - F.col("_w")).alias("lo"),
-                    (F.col("_offset") + F.col("_cum")).alias("hi")))
-
-
-def _line_scalars(weights: DataFrame, buckets_per_item: int) -> tuple[Column, Column]:
-    """Scalar subqueries: total weight T and bucket width W = ceil(T / (b * N))."""
-    stats = weights.agg(F.sum("_w").alias("_t"), F.count(F.lit(1)).alias("_n"))
-    total = stats.select("_t").scalar()
-    n_buckets = stats.select(F.greatest(F.col("_n") * F.lit(int(buckets_per_item)),
-                                        F.lit(1))).scalar()
-    width = F.greatest(F.ceil(total / n_buckets).cast("bigint"), F.lit(1).cast("bigint"))
-    return total, width
-
-
-def _explode_buckets(intervals: DataFrame, key: str, width: Column) -> DataFrame:
-    first = F.floor(F.col("lo") / width).cast("bigint")
-    last = F.floor((F.col("hi") - 1) / width).cast("bigint")
-    pieces = (intervals
-              .withColumn("_first", first)
-              .withColumn("_last", last)
-              .withColumn("_piece", F.explode(F.sequence(
-                  F.lit(0).cast("bigint"),
-                  F.floor((F.col("_last") - F.col("_first")) / _PIECE).cast("bigint"))))
-              .withColumn("_from", F.col("_first") + F.col("_piece") * _PIECE)
-              .withColumn("_to", F.least(F.col("_last"), F.col("_from") + (_PIECE - 1))))
-    # Spread the pieces of a heavy item over tasks before the second level.
-    spread = pieces.repartition(key, "_piece")
-    return (spread.select(key, "lo", "hi",
-                          F.explode(F.sequence("_from", "_to")).alias("_bucket")))
+    return w.withColumn("_upto", F.sum("_w").over(upto)).withColumn("_from", F.col("_upto") - F.col("_w"))
 
 
 def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str,
-                    weight: str = "weight", seed: int = 0, buckets_per_item: int = 2,
+                    weight: str = "weight", seed: int = 0, ranges: int = 4096,
                     chunks: int = 4096, unique_keys: bool = False,
                     draw: Column | None = None, spread: Column | None = None) -> DataFrame:
     """For every row of ``draws``, pick one item with probability ∝ its weight.
@@ -143,20 +122,40 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     ``draw_key`` must be unique (it seeds the draw) and ``item_key`` must not
     already be a column of ``draws``.  Pass ``unique_keys=True`` only when
     ``item_key`` is a primary key of ``items``.  With no positive-weight item
-    there is nothing to draw and the result is empty.
+    there is nothing to draw and the result is empty.  ``ranges`` is to grow with
+    the draws (some millions a range), ``chunks`` with the items.
     """
     _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight, unique_keys)
-    total, width = _line_scalars(weights, buckets_per_item)
+    w, offsets = _chunked(weights, item_key, chunks, spread)
+    total = offsets.agg(F.sum("_total")).scalar()
+    parts = F.greatest(F.ceil(F.col("_total") * float(ranges) / total), F.lit(1))
+    places = offsets.withColumn("_width", F.ceil(F.col("_total") / parts).cast("bigint"))
+    part_of = lambda at: F.floor(at / F.col("_width")).cast("bigint")
+    # items: their starts, anew in each part that they reach into
+    ends = _intervals(w, item_key).join(F.broadcast(places.select("_chunk", "_width")), "_chunk")
+    starts = ends.withColumn("_part", F.explode(F.sequence(part_of(F.col("_from")), part_of(F.col("_upto") - 1)))) \
+        .select("_chunk", "_part", F.greatest(F.col("_from"), F.col("_part") * F.col("_width")).alias("_at"),
+                F.struct(item_key).alias("_item"))
+    # draws: the chunk of a point by a directory of equal stretches of the line, at most 3 * chunks rows
+    stretch = F.greatest(F.ceil(total / (2.0 * chunks)).cast("bigint"), F.lit(1))
+    first, last = (F.floor(x / stretch).cast("bigint") for x in
+                   (F.col("_offset"), F.col("_offset") + F.col("_total") - 1))
+    directory = places.withColumn("_stretch", F.explode(F.sequence(first, last)))
     u = hashed_uniform(_draw_key(draws, draw_key), seed, "weighted-draw") if draw is None else draw
-    point = F.least(F.floor(u * total).cast("bigint"), total - 1)
-    pts = (draws
-           .withColumn("_point", point)
-           .withColumn("_bucket", F.floor(F.col("_point") / width).cast("bigint")))
-    owners = _explode_buckets(weight_intervals(weights, item_key, chunks, spread), item_key, width)
-    matched = pts.join(owners, "_bucket").where(
-        (F.col("lo") <= F.col("_point")) & (F.col("_point") < F.col("hi")))
-    return matched.select(*draws.columns, item_key)
+    points = draws.withColumn("_point", F.least(F.floor(u * total).cast("bigint"), total - 1)) \
+        .withColumn("_stretch", F.floor(F.col("_point") / stretch).cast("bigint")) \
+        .join(F.broadcast(directory), "_stretch") \
+        .where((F.col("_offset") <= F.col("_point")) & (F.col("_point") < F.col("_offset") + F.col("_total"))) \
+        .withColumn("_at", F.col("_point") - F.col("_offset")).withColumn("_part", part_of(F.col("_at")))
+    events = points.select("_chunk", "_part", "_at", F.lit(None).cast(starts.schema["_item"].dataType).alias("_item"),
+                           F.struct(*draws.columns).alias("_draw")) \
+                   .unionByName(starts, allowMissingColumns=True)
+    # at equal places the start comes before the points
+    order = Window.partitionBy("_chunk", "_part").orderBy("_at", F.col("_draw").isNotNull()) \
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return events.withColumn("_owner", F.last("_item", ignorenulls=True).over(order)) \
+                 .where(F.col("_draw").isNotNull()).select("_draw.*", f"_owner.{item_key}")
 
 
 def _check_names(draws: DataFrame, draw_key: str, item_key: str) -> None:

@@ -228,9 +228,7 @@ GROUP BY p.category
 """)
 def q_sum_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, products = sales_inputs(spark, sf_dir, with_header=False)
-    amounts = (orders.join(products.select("product_id", "category"), "product_id")
-               .select("category", F.col("quantity").alias("amount")))
-    return sales.sum_by_key(amounts, "category", "amount", "total_amount")
+    return sales.sum_by_product_key(orders, products, "category", "quantity", "total_amount")
 
 
 # ---------------------------------------------------------------- datasets
