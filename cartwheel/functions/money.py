@@ -172,7 +172,7 @@ def _exact_product(units: Column, price: Column) -> Column:
     millions = F.floor(units / MILLION).try_cast("decimal(17,0)")
     rest = (units - millions * MILLION).try_cast("decimal(13,6)")
     high = (millions * price).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
-    return F.try_add(high.try_cast("decimal(38,14)"), rest * price).try_cast("decimal(38,14)")
+    return (high.try_cast("decimal(37,14)") + rest * price).try_cast("decimal(38,14)")  # 38 digits: no rounding
 
 
 def unit_parts(name: str) -> dict[str, Column]:

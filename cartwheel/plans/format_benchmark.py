@@ -19,6 +19,7 @@ import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel import schemas
 from cartwheel.operators import generate
@@ -62,6 +63,28 @@ def benchmark_formats(df: DataFrame, out_dir: str,
     return spark.createDataFrame(rows, schemas.FORMAT_METRICS)
 
 
+def format_fidelity(df: DataFrame, out_dir: str, formats: tuple[str, ...] = DEFAULT_FORMATS) -> DataFrame:
+    """What :func:`benchmark_formats` finds besides times: one row per format asked for.
+
+    Columns: format, ordinal, rows_back, rows_differing (rows missing or added,
+    counted with repeats), failed.  A format that fails has NULL counts.
+    """
+    spark, rows = df.sparkSession, []
+    for ordinal, fmt in enumerate(formats):
+        path = f"{out_dir.rstrip('/')}/fidelity.{fmt}"
+        try:
+            write_table(df, path, fmt)
+            back = read_table(spark, path, fmt, schema=df.schema)
+            sides = df.withColumn("_side", F.lit(1)).unionByName(back.withColumn("_side", F.lit(-1)))
+            differing = sides.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.sum("_side").alias("_more"))
+            found = differing.agg(F.coalesce(F.sum(F.abs("_more")), F.lit(0))).first()[0]
+            rows.append((FORMAT_LABELS.get(fmt, fmt), ordinal, back.count(), found, False))
+        except Exception:  # noqa: BLE001 - a failed format is logged and marked
+            log.exception("format %s failed", fmt)
+            rows.append((FORMAT_LABELS.get(fmt, fmt), ordinal, None, None, True))
+    return spark.createDataFrame(rows, "format string, ordinal long, rows_back long, rows_differing long, failed boolean")
+
+
 def generate_dataset(spark: SparkSession, out_dir: str, num_customers: int,
                      num_products: int, num_orders: int, seed: int = 0,
                      as_of: dt.date = generate.DEFAULT_AS_OF, fmt: str = "parquet") -> DataFrame:

@@ -243,6 +243,53 @@ def q_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_summary({t: load_table(spark, sf_dir, t) for t in _SUMMARY_TABLES})
 
 
+# The given tables' files, found by the row counts that their footers hold.
+@register("stored_sizes", "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS dataset, COUNT(*) AS files, CAST(SUM(size) AS BIGINT) AS size_bytes,
+       printf('%.2f MB', SUM(size) / 1048576) AS size_mb
+FROM read_blob('/root/testdata/sf*/{t}.parquet')
+WHERE filename IN (SELECT file_name FROM parquet_file_metadata('/root/testdata/sf*/{t}.parquet')
+                   WHERE num_rows = (SELECT COUNT(*) FROM {t}))""" for t in _SUMMARY_TABLES))
+def q_stored_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from functools import reduce
+
+    from cartwheel.sources.io import stored_size
+    from cartwheel.sources.tables import table_path
+    sizes = [stored_size(spark, table_path(sf_dir, t)).select(F.lit(t).alias("dataset"), "*") for t in _SUMMARY_TABLES]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+# ---------------------------------------------------------------- literal rows
+
+RETURN_FLAGS = [("A", "accepted"), ("N", "none"), ("R", "returned")]
+
+
+@register("lines_by_return_label", f"""
+SELECT label, COUNT(*) AS line_count
+FROM lineitem JOIN (VALUES {", ".join(map(str, RETURN_FLAGS))}) f(flag, label) ON l_returnflag = flag
+GROUP BY label
+""")
+def q_lines_by_return_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literal rows joined to a table: the label of each return flag."""
+    labels = spark.createDataFrame(RETURN_FLAGS, "flag string, label string")
+    lines = load_table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    return lines.join(labels, F.col("l_returnflag") == F.col("flag")).groupBy("label") \
+                .agg(F.sum("n").alias("line_count"))
+
+
+# ---------------------------------------------------------------- co-located layout
+
+
+@register("customers_on_buckets", _with(_ORDERS_SQL, _PRODUCTS_SQL) + f"""
+SELECT customer_id, CAST(SUM({_REV_SQL}) AS DOUBLE) AS total_revenue, COUNT(order_id) AS order_count,
+       CAST(SUM({_REV_SQL}) AS DOUBLE) / NULLIF(COUNT(order_id), 0) AS avg_order_value
+FROM ord o JOIN products p ON o.product_id = p.product_id GROUP BY customer_id
+""")
+def q_customers_on_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.sources.layout import customers_on_buckets
+    return customers_on_buckets(spark, sf_dir, buckets=8)
+
+
 # ---------------------------------------------------------------- storage formats
 
 
@@ -687,9 +734,37 @@ def q_generate_products_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("format_benchmark")
 def q_format_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.plans.format_benchmark import benchmark_formats
-    from cartwheel.session import shared_path
+    from cartwheel.session import scratch_path
     return benchmark_formats(load_table(spark, sf_dir, "events"),
-                             shared_path(spark, "format-benchmark"))
+                             scratch_path(spark, "format-benchmark"))
+
+
+# A format that cannot be written is dropped by the benchmark and marked here.
+@register("format_fidelity", """
+SELECT 'CSV' AS format, CAST(0 AS BIGINT) AS ordinal, COUNT(*) AS rows_back,
+       CAST(0 AS BIGINT) AS rows_differing, FALSE AS failed FROM events
+UNION ALL SELECT 'xlsx', 1, NULL, NULL, TRUE
+UNION ALL SELECT 'Parquet', 2, COUNT(*), 0, FALSE FROM events
+UNION ALL SELECT 'ORC', 3, COUNT(*), 0, FALSE FROM events
+""")
+def q_format_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.plans.format_benchmark import format_fidelity
+    from cartwheel.session import scratch_path
+    return format_fidelity(load_table(spark, sf_dir, "events"), scratch_path(spark, "format-fidelity"),
+                           ("csv", "xlsx", "parquet", "orc"))
+
+
+@register("format_benchmark_measured", """
+SELECT * FROM (VALUES ('CSV', CAST(0 AS BIGINT)), ('Parquet', 2), ('ORC', 3)) t(format, ordinal)
+""")
+def q_format_benchmark_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The formats that the benchmark measures of four asked for, one of which fails."""
+    from cartwheel.plans.format_benchmark import benchmark_formats
+    from cartwheel.session import scratch_path
+    found = benchmark_formats(load_table(spark, sf_dir, "customer"), scratch_path(spark, "format-benchmark"),
+                              ("csv", "xlsx", "parquet", "orc"))
+    return found.where("file_size_mb > 0 AND write_time_s > 0 AND read_time_s > 0") \
+                .select("format", F.col("ordinal").cast("bigint").alias("ordinal"))
 
 
 @register("generate_format_table_check", """

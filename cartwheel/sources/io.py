@@ -9,7 +9,7 @@ milliseconds only, which silently changes most timestamps on a round trip.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,12 @@ from cartwheel.functions.money import megabytes_label
 
 FORMATS = ("parquet", "csv", "orc")
 
-# Fixed value: how CSV writes NULL.  Strings that look like it, escaped or not, are
-# escaped by one more backslash in front on the way out and freed of it on the way in.
+# How CSV writes NULL, and the escapes of text.  Every text keeps to its
+# line, so a file can be cut at any line and read by many tasks.  A backslash is doubled,
+# so no text looks like NULL; blanks get a mark in front, as blank lines are not read.
 NULL_MARK = "\\N"
+LINE_ESCAPES = (("\n", "\\n"), ("\r", "\\r"))
+BLANK_MARK = "\\e"
 
 # CSV layout and timestamp patterns with microseconds.
 CSV_OPTIONS = {
@@ -32,10 +35,8 @@ CSV_OPTIONS = {
     # NULL and the empty string are told apart, and a row of NULLs is no blank line
     "nullValue": NULL_MARK,
 }
-# Quoted fields may hold line breaks: read records that span lines.  Such a
-# file is read by one task, so files are kept to CSV_FILE_RECORDS rows each.
-CSV_FILE_RECORDS = 1_000_000
-CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "emptyValue": ""}
+CSV_FILE_RECORDS = 10_000_000  # rows of a file at most
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "emptyValue": ""}
 
 _CSV_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
               T.TimestampNTZType)
@@ -48,6 +49,31 @@ def _check_format(fmt: str) -> str:
     return fmt
 
 
+def _to_line(text: Column) -> Column:
+    """Text without line breaks, undone by :func:`_from_line`."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for plain, escape in LINE_ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(escape))
+    return F.when(text.rlike(r"^[\x00-\x20]+$"), F.concat(F.lit(BLANK_MARK), out)).otherwise(out)
+
+
+def _from_line(text: Column) -> Column:
+    """Pairs of backslashes are cut out first, as what follows one is no escape."""
+    def piece(x: Column) -> Column:
+        x = F.replace(x, F.lit(BLANK_MARK), F.lit(""))
+        for plain, escape in LINE_ESCAPES:
+            x = F.replace(x, F.lit(escape), F.lit(plain))
+        return x
+
+    whole = F.array_join(F.transform(F.split(text, r"\\\\"), piece), "\\")
+    return F.when(F.contains(text, F.lit("\\")), whole).otherwise(text)
+
+
+def _text_columns(df: DataFrame, change) -> DataFrame:
+    return df.select([change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                      else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Write ``df`` to ``path`` in ``fmt``: one file per task, no index column."""
@@ -58,9 +84,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
             raise ValueError(f"CSV cannot hold nested columns {bad}")
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        df = df.select([F.when(F.col(f"`{f.name}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), F.col(f"`{f.name}`")))
-                        .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
-                        else F.col(f"`{f.name}`") for f in df.schema.fields])
+        df = _text_columns(df, _to_line)
         writer = df.write.mode(mode).format(fmt).options(**CSV_OPTIONS) \
                    .option("maxRecordsPerFile", CSV_FILE_RECORDS)
     if partition_by:
@@ -81,9 +105,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.schema(schema)
     df = reader.load(path)
     if fmt == "csv":
-        df = df.select([F.when(F.col(f"`{f.name}`").rlike(r"^\\\\+N$"), F.substr(f"`{f.name}`", F.lit(2)))
-                        .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
-                        else F.col(f"`{f.name}`") for f in df.schema.fields])
+        df = _text_columns(df, _from_line)
     return df
 
 

@@ -1,6 +1,7 @@
 """Format round trips and stored size."""
 
 import datetime as dt
+import itertools
 import os
 
 import pytest
@@ -38,6 +39,24 @@ def test_csv_keeps_blanks_empty_strings_and_rows(spark, tmp_path):
     assert sorted(io.roundtrip(df, str(tmp_path / "csv"), "csv").collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_csv_text_keeps_to_its_line_and_files_split(spark, tmp_path):
+    bits = ["\\", "n", "r", "e", "N", "\n", "\r", " ", "\t", '"', ",", "\x00", "é", "\u2028", "\\\\"]
+    texts = ["".join(p) for k in (1, 2, 3) for p in itertools.product(bits, repeat=k)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, s string").coalesce(1)
+    back = io.roundtrip(df, str(tmp_path / "csv"), "csv")
+    assert sorted(back.collect()) == sorted(df.collect())
+    alone = df.select("s")
+    assert sorted(io.roundtrip(alone, str(tmp_path / "alone"), "csv").collect()) == sorted(alone.collect())
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        split = io.read_table(spark, str(tmp_path / "csv"), "csv", df.schema)
+        assert len(split.inputFiles()) == 1 and split.rdd.getNumPartitions() > 5
+        assert sorted(split.collect()) == sorted(df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+
+
 def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(io, "CSV_FILE_RECORDS", 10)
     df = spark.range(95).coalesce(1)

@@ -1,7 +1,10 @@
 """Co-bucketed line and order tables join without a shuffle."""
 
+import os
+
 from cartwheel.operators import sales
-from cartwheel.sources.layout import co_bucketed_sales_inputs
+from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.sources.layout import co_bucketed_sales_inputs, customers_on_buckets
 from cartwheel.sources.tables import sales_inputs
 
 SF = "/root/testdata/sf0.001"
@@ -32,3 +35,22 @@ def test_co_bucketed_join_has_no_shuffle_on_order_key(spark):
                 spark.conf.set(k, v)
         for t in ("t_layout_lineitem", "t_layout_orders"):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_bucketed_run_has_no_shuffle_on_the_order_key_and_leaves_nothing(spark):
+    saved, plans = {k: spark.conf.get(k, None) for k in NO_BROADCAST}, []
+    try:
+        for k in NO_BROADCAST:
+            spark.conf.set(k, "-1")
+        tables = {t.name for t in spark.catalog.listTables()}
+        got = customers_on_buckets(spark, SF, buckets=4, explain=plans)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "Exchange hashpartitioning(order_id" not in plans[0] and "Exchange hashpartitioning(l_orderkey" not in plans[0]
+    assert "Exchange hashpartitioning(product_id" in plans[0] or "Exchange hashpartitioning(l_partkey" in plans[0]
+    want = sales.top_customers_by_revenue(*sales_inputs(spark, SF), n=None)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("buckets-")]

@@ -42,3 +42,14 @@ def test_sales_scan_is_pruned(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
     assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in plan
+
+
+@pytest.mark.parametrize("name", ["sales_by_category", "sum_by_category"])
+def test_category_sums_aggregate_lines_below_the_join(no_broadcast, name):
+    df = QUERIES[name](no_broadcast, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
+    join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    lines = next(i for i, line in enumerate(plan) if "l_partkey" in line and "Relation" in line)
+    below = [plan[i] for i in range(join + 1, lines) if depth[i] > depth[join]]
+    assert any("Aggregate [" in line for line in below)

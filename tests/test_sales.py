@@ -196,3 +196,37 @@ def test_top_customers_from_lines_matches(spark):
     got = [tuple(r) for r in sales.top_customers_from_lines(
         order_lines(load_table(spark, sf, "lineitem")), headers, products, 25).collect()]
     assert got == want
+
+
+def test_category_sums_are_exact_for_fractions_and_wide_products(spark):
+    from decimal import Decimal
+    quantities = [0.25, 3.0, 1.125, 0.000001, 999999.0, None, 2000000.5, -1.5, 1e7]
+    prices = [(1, "a", 0.1), (2, "a", 19.99), (3, "b", 0.00000001), (4, "b", None), (5, "c", 123456789.125),
+              (1, "d", 2.5), (6, "e", 1e-12), (7, "f", float("inf"))]
+    rows = [(i, 1, 1 + i % 8, quantities[i % 9], None) for i in range(400)]
+    orders = spark.createDataFrame(rows, "order_id long, customer_id long, product_id long, quantity double, order_date date")
+    products = spark.createDataFrame(prices, "product_id long, category string, price double")
+    got = {r.category: r for r in sales.sales_by_category(orders, products).collect()}
+    exact = lambda x: Decimal(repr(x))
+    for c in "abcd":
+        pairs = [(r[3], p[2]) for r in rows for p in prices if p[0] == r[2] and p[1] == c]
+        lines = [exact(q) * exact(x) for q, x in pairs if q is not None and x is not None]
+        assert got[c].total_revenue == float(sum(lines))
+        assert got[c].total_units_sold == float(sum(exact(q) for q, _ in pairs if q is not None))
+        priced = [exact(x) for _, x in pairs if x is not None]
+        assert got[c].avg_price == float(sum(priced)) / len(priced) and got[c].order_count == len(pairs)
+    assert abs(got["e"].total_revenue / sum(r[3] * 1e-12 for r in rows if r[2] == 6 and r[3] is not None) - 1) < 1e-12
+    assert got["f"].avg_price == float("inf")
+
+
+def test_category_sums_through_equal_the_lines(spark):
+    from cartwheel.sources.tables import sales_inputs
+    orders, products = sales_inputs(spark, "/root/testdata/sf0.01", with_header=False)
+    orders = orders.withColumn("quantity", F.col("quantity") / 4)
+    products = products.withColumn("price", F.col("price") / 8)
+    lines = sales.priced_lines(orders, products, extra_product_cols=("category",))
+    want = {r.category: r for r in lines.groupBy("category").agg(
+        *sales.revenue_sums(), F.count("order_id").alias("n")).select(
+        "category", sales.summed_parts("_line").alias("total"), "n").collect()}
+    got = {r.category: r for r in sales.sales_by_category(orders, products).collect()}
+    assert {c: (r.total, r.n) for c, r in want.items()} == {c: (r.total_revenue, r.order_count) for c, r in got.items()}
