@@ -68,3 +68,34 @@ def running_sum(values: Column, block: int = 256) -> Column:
     within = F.transform(F.arrays_zip(blocks.alias("b"), offsets.alias("o")), lambda z: F.transform(
         z["b"], lambda _, i: z["o"] + add(F.slice(z["b"], F.lit(1), i + 1))))
     return F.flatten(within)
+
+
+def once(array: str, result: Column) -> Column:
+    """``result``, which names the column ``array`` inside a function over another array.
+
+    A column that is named a single time is merged into the expression that names it, and would
+    be evaluated for each element.  This names it twice.
+    """
+    return F.when(F.size(array) >= 0, result)
+
+
+def with_running_sums(df: DataFrame, names: dict[str, str], block: int = 256) -> DataFrame:
+    """``df`` with inclusive running sums of array<bigint> columns, inside the row.
+
+    Two levels: sums within blocks of ``block`` and offsets of the blocks, so an array of m values
+    costs about m * (block + m / block**2) additions.  ``names`` maps arrays to their sums.
+    """
+    add = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x)
+    steps = [fresh([*df.columns, *names.values()], *[f"{x}_{n}" for n in names]) for x in ("blocks", "sums", "offsets")]
+    blocks, sums, offsets = steps
+    put = lambda columns: df.select("*", *[e.alias(n) for n, e in columns.items()])
+    starts = lambda n: F.when(F.size(n) > 0, F.sequence(F.lit(1), F.greatest(F.size(n), F.lit(1)), F.lit(block)))
+    cut = lambda n: F.transform(starts(n), lambda s: F.slice(F.col(n), s, block))
+    before = lambda s: F.transform(s, lambda _, i: add(F.slice(F.col(s), F.lit(1), i)))
+    within = lambda b, o: once(o, F.flatten(F.transform(b, lambda values, i: F.transform(
+        values, lambda _, j: F.get(F.col(o), i) + add(F.slice(values, F.lit(1), j + 1))))))
+    df = put({b: F.coalesce(cut(n), F.array().cast("array<array<bigint>>")) for b, n in zip(blocks, names)})
+    df = put({s: F.transform(b, add) for s, b in zip(sums, blocks)})
+    df = put({o: before(s) for o, s in zip(offsets, sums)})
+    df = put({out: within(b, o) for out, b, o in zip(names.values(), blocks, offsets)})
+    return df.drop(*blocks, *sums, *offsets)
