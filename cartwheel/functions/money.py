@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,12 +124,20 @@ def exact_price_decimal(price: str | Column) -> Column:
     return _exact_decimal(_col(price), EXACT_DECIMAL)
 
 
-def line_parts(quantity: str, dtype: T.DataType, price: str, cents: str, decimal: str) -> dict[str, Column]:
-    """Parts c, d, f of quantity * price; exactly one is set unless a factor is NULL."""
-    c = whole_quantity(quantity, dtype) * F.col(cents)
-    d = F.when(c.isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL) * F.col(decimal))
-    f = F.when(c.isNull() & d.isNull(), F.col(quantity).cast("double") * F.col(price).cast("double"))
-    return {"c": c, "d": d, "f": f}
+def with_line_parts(df: DataFrame, quantity: str, price: str, cents: str, decimal: str,
+                    parts: dict[str, str]) -> DataFrame:
+    """``df`` with parts c, d, f of quantity * price; exactly one is set unless a factor is NULL.
+
+    Each part is a column that the next ones name: as one expression they would hold
+    the first part a dozen times.
+    """
+    c, d, f = (parts[k] for k in "cdf")
+    whole = f"{c}_whole"
+    df = df.withColumn(whole, whole_quantity(quantity, df.schema[quantity].dataType))
+    df = df.withColumn(c, F.col(whole) * F.col(cents)).drop(whole)
+    df = df.withColumn(d, F.when(F.col(c).isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL) * F.col(decimal)))
+    return df.withColumn(f, F.when(F.col(c).isNull() & F.col(d).isNull(),
+                                   F.col(quantity).cast("double") * F.col(price).cast("double")))
 
 
 def sum_parts(parts: dict[str, str | Column], name: str) -> list[Column]:
@@ -155,24 +163,31 @@ def summed_parts(name: str) -> Column:
 UNITS_DECIMAL, MILLION = "decimal(28,6)", 1_000_000
 
 
-def unit_sums(quantity: str, dtype: T.DataType, name: str) -> list[Column]:
-    """Aggregate columns of a quantity in parts: whole units (bigint), decimals and doubles."""
-    whole = whole_quantity(quantity, dtype)
-    exact = F.when(whole.isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL))
-    rest = F.when(whole.isNull() & exact.isNull(), F.col(quantity).cast("double"))
-    return [F.sum(whole).alias(f"{name}_w"), F.sum(exact).alias(f"{name}_d"), F.sum(rest).alias(f"{name}_f")]
+def with_unit_parts(df: DataFrame, quantity: str, name: str) -> DataFrame:
+    """``df`` with a quantity in parts: whole units (bigint), decimals and doubles."""
+    w, d, f = (f"{name}_{k}" for k in "wdf")
+    df = df.withColumn(w, whole_quantity(quantity, df.schema[quantity].dataType))
+    df = df.withColumn(d, F.when(F.col(w).isNull(), _exact_decimal(F.col(quantity), QUANTITY_DECIMAL)))
+    return df.withColumn(f, F.when(F.col(w).isNull() & F.col(d).isNull(), F.col(quantity).cast("double")))
+
+
+def unit_sums(name: str) -> list[Column]:
+    """Aggregate columns of the parts of :func:`with_unit_parts`, under their names."""
+    return [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in "wdf"]
 
 
-def _exact_product(units: Column, price: Column) -> Column:
+def _with_exact_product(df: DataFrame, units: str, price: str, out: str) -> DataFrame:
     """units (28 digits, 6 of them places) * price (20, 8) with 14 places; NULL if it does not fit.
 
     The units are multiplied in millions and the rest apart, as one product of 48 digits would
     be rounded.
     """
-    millions = F.floor(units / MILLION).try_cast("decimal(17,0)")
-    rest = (units - millions * MILLION).try_cast("decimal(13,6)")
-    high = (millions * price).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
-    return (high.try_cast("decimal(37,14)") + rest * price).try_cast("decimal(38,14)")  # 38 digits: no rounding
+    m = f"{out}_millions"
+    df = df.withColumn(m, F.floor(F.col(units) / MILLION).try_cast("decimal(17,0)"))
+    rest = (F.col(units) - F.col(m) * MILLION).try_cast("decimal(13,6)")
+    high = (F.col(m) * F.col(price)).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
+    total = high.try_cast("decimal(37,14)") + rest * F.col(price)  # 38 digits: no rounding
+    return df.withColumn(out, total.try_cast("decimal(38,14)")).drop(m)
 
 
 def unit_parts(name: str) -> dict[str, Column]:
@@ -180,31 +195,39 @@ def unit_parts(name: str) -> dict[str, Column]:
     return {"c": F.col(f"{name}_w") * 100, "d": F.col(f"{name}_d"), "f": F.col(f"{name}_f")}
 
 
-def product_parts(name: str, price: str, cents: str, decimal: str) -> dict[str, Column]:
-    """Parts c, d, f of a product's units times its price.
+def with_product_parts(df: DataFrame, name: str, price: str, cents: str, decimal: str,
+                       parts: dict[str, str]) -> DataFrame:
+    """``df`` with parts c, d, f of a product's units times its price.
 
     Equal to the sum of the products of the lines in c and d.  What does not fit 38 digits (or is
     no decimal) is multiplied as doubles.
     """
     w, d, f = (F.col(f"{name}_{k}") for k in "wdf")
-    wide = lambda c: F.coalesce(c.try_cast(UNITS_DECIMAL), F.lit(Decimal(0)).cast(UNITS_DECIMAL))
-    c = F.when((F.abs(w.cast("double")) * F.abs(F.col(cents)) < 9e18), w * F.col(cents))
-    left = F.when(c.isNull(), w)
-    units = F.when(left.isNotNull() | d.isNotNull(), (wide(left) + wide(d)).try_cast(UNITS_DECIMAL))
-    exact = _exact_product(units, F.col(decimal))
-    inexact = F.when(exact.isNull() & (left.isNotNull() | d.isNotNull()),
-                     F.coalesce(left.cast("double"), F.lit(0.0)) + F.coalesce(d.cast("double"), F.lit(0.0)))
-    doubles = F.when(inexact.isNotNull() | f.isNotNull(),
-                     F.coalesce(inexact, F.lit(0.0)) + F.coalesce(f, F.lit(0.0)))
-    return {"c": c, "d": exact, "f": doubles * F.col(price).cast("double")}
-
-
-def repeated_parts(times: str, price: str, cents: str, decimal: str) -> dict[str, Column]:
-    """Parts c, d, f of a price that is added ``times`` times."""
-    n = F.col(times)
-    c = F.when(n.cast("double") * F.abs(F.col(cents)) < 9e18, n * F.col(cents))
-    d = F.when(c.isNull(), _exact_product(n.try_cast(UNITS_DECIMAL), F.col(decimal)))
-    return {"c": c, "d": d, "f": F.when(c.isNull() & d.isNull(), n * F.col(price).cast("double"))}
+    out_c, out_d, out_f = (parts[k] for k in "cdf")
+    left, units = f"{name}_left", f"{name}_units"
+    zero = F.lit(Decimal(0)).cast(UNITS_DECIMAL)
+    wide = lambda c: F.coalesce(c.try_cast(UNITS_DECIMAL), zero)
+    df = df.withColumn(out_c, F.when(F.abs(w.cast("double")) * F.abs(F.col(cents)) < 9e18, w * F.col(cents)))
+    df = df.withColumn(left, F.when(F.col(out_c).isNull(), w))
+    some = F.col(left).isNotNull() | d.isNotNull()
+    df = df.withColumn(units, F.when(some, (wide(F.col(left)) + wide(d)).try_cast(UNITS_DECIMAL)))
+    df = _with_exact_product(df, units, decimal, out_d)
+    inexact = F.when(F.col(out_d).isNull() & some, F.coalesce(F.col(left).cast("double"), F.lit(0.0))
+                     + F.coalesce(d.cast("double"), F.lit(0.0)))
+    df = df.withColumn(units, inexact)
+    doubles = F.when(F.col(units).isNotNull() | f.isNotNull(),
+                     F.coalesce(units, F.lit(0.0)) + F.coalesce(f, F.lit(0.0)))
+    return df.withColumn(out_f, doubles * F.col(price).cast("double")).drop(left, units)
+
+
+def with_repeated_parts(df: DataFrame, times: str, price: str, cents: str, decimal: str,
+                        parts: dict[str, str]) -> DataFrame:
+    """``df`` with parts c, d, f of a price that is added ``times`` times."""
+    c, d, f, n = parts["c"], parts["d"], parts["f"], F.col(times)
+    df = df.withColumn(c, F.when(n.cast("double") * F.abs(F.col(cents)) < 9e18, n * F.col(cents)))
+    df = df.withColumn(d, F.when(F.col(c).isNull(), n.try_cast(UNITS_DECIMAL)))
+    df = _with_exact_product(df, d, decimal, d)
+    return df.withColumn(f, F.when(F.col(c).isNull() & F.col(d).isNull(), n * F.col(price).cast("double")))
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import (exact_cents, exact_price_decimal, growth_percentage,
-                                       is_integral, line_cents_to_money, line_parts, product_parts,
-                                       ratio, repeated_parts, sum_parts, summed_parts, unit_parts,
-                                       unit_sums)
+                                       is_integral, line_cents_to_money, ratio, sum_parts, summed_parts,
+                                       unit_parts, unit_sums, with_line_parts, with_product_parts,
+                                       with_repeated_parts, with_unit_parts)
 
 _CENTS, _EXACT = "_price_cents", "_price_exact"
 _REV = "_line"
@@ -55,8 +55,7 @@ def priced_lines(orders: DataFrame, products: DataFrame, how: str = "inner",
     prices = products.select("product_id", "price", exact_cents("price").alias(_CENTS),
                              exact_price_decimal("price").alias(_EXACT), *extra_product_cols)
     joined = orders.join(prices, on="product_id", how=how)
-    parts = line_parts("quantity", orders.schema["quantity"].dataType, "price", _CENTS, _EXACT)
-    return joined.withColumns({_REV_PARTS[k]: c for k, c in parts.items()})
+    return with_line_parts(joined, "quantity", "price", _CENTS, _EXACT, _REV_PARTS)
 
 
 def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
@@ -68,13 +67,13 @@ def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") ->
 
 
 _UNITS, _LINES, _IDS = "_units", "_n_lines", "_n_ids"
+_PRICES = {k: f"_price_sum_{k}_part" for k in "cdf"}
 
 
 def product_aggregates(dtype) -> list:
-    """What the category report needs of a product's lines; it names no price."""
+    """What the category report needs of a product's lines (with unit parts); it names no price."""
     units = [F.sum("quantity").alias("_whole_units")] if is_integral(dtype) else []
-    return [*unit_sums("quantity", dtype, _UNITS), *units,
-            F.count(F.lit(1)).alias(_LINES), F.count("order_id").alias(_IDS)]
+    return [*unit_sums(_UNITS), *units, F.count(F.lit(1)).alias(_LINES), F.count("order_id").alias(_IDS)]
 
 
 def category_aggregates(per_product: DataFrame) -> DataFrame:
@@ -84,24 +83,21 @@ def category_aggregates(per_product: DataFrame) -> DataFrame:
     """
     whole = "_whole_units" in per_product.columns
     priced = per_product.withColumns({_CENTS: exact_cents("price"), _EXACT: exact_price_decimal("price")})
-    of_price = (_LINES, "price", _CENTS, _EXACT)
+    priced = with_product_parts(priced, _UNITS, "price", _CENTS, _EXACT, _REV_PARTS)
+    priced = with_repeated_parts(priced, _LINES, "price", _CENTS, _EXACT, _PRICES)
     units = ([F.sum("_whole_units").alias("total_units_sold")] if whole
              else sum_parts(unit_parts(_UNITS), "_units"))
     return priced.groupBy("category").agg(
-        *sum_parts(product_parts(_UNITS, "price", _CENTS, _EXACT), _REV), *units,
-        *sum_parts(repeated_parts(*of_price), "_price_sum"),
+        *revenue_sums(), *units, *sum_parts(_PRICES, "_price_sum"),
         F.sum(F.when(F.col("price").isNotNull(), F.col(_LINES)).otherwise(0)).alias("_price_count"),
         F.sum(_IDS).alias("order_count"))
 
 
 def finish_top_customers(per_customer: DataFrame, n: int | None = 10) -> DataFrame:
     """Top-n from per-customer aggregates (revenue parts and ``order_count``)."""
-    total = summed_parts(_REV)
     return (per_customer
-            .select("customer_id",
-                    total.alias("total_revenue"),
-                    "order_count",
-                    ratio(total, "order_count").alias("avg_order_value"))
+            .select("customer_id", summed_parts(_REV).alias("total_revenue"), "order_count")
+            .withColumn("avg_order_value", ratio("total_revenue", "order_count"))
             .transform(_first, n, F.desc_nulls_last("total_revenue"), F.asc_nulls_first("customer_id")))
 
 
@@ -159,8 +155,8 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     The lines are summed by product below the join (eager aggregation): the
     join carries one row a product, and only those are multiplied and summed.
     """
-    per_product = orders.where(F.col("product_id").isNotNull()).groupBy("product_id") \
-                        .agg(*product_aggregates(orders.schema["quantity"].dataType))
+    lines = with_unit_parts(orders.where(F.col("product_id").isNotNull()), "quantity", _UNITS)
+    per_product = lines.groupBy("product_id").agg(*product_aggregates(orders.schema["quantity"].dataType))
     priced = per_product.join(products.select("product_id", "category", "price"), "product_id")
     return finish_sales_by_category(category_aggregates(priced))
 
@@ -218,7 +214,7 @@ def combined_aggregates(orders: DataFrame, products: DataFrame) -> DataFrame:
     are.  Both have far fewer rows than there are lines, and price sums are
     taken from the products only.
     """
-    lines = (priced_lines(orders, products, extra_product_cols=("category",))
+    lines = (with_unit_parts(priced_lines(orders, products, extra_product_cols=("category",)), "quantity", _UNITS)
              .withColumn("year_month", F.trunc("order_date", "month")))
     grains = [["customer_id", "year_month"], ["product_id", "category", "price"]]
     agg = (lines.groupingSets(grains, *grains[0], *grains[1])
