@@ -169,9 +169,12 @@ def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
 
     Every row is equally likely, so a key listed k times is k times as
     likely (its weight is its number of rows).  With ``unique_keys=True`` (a
-    primary-key column) every item has weight 1: the prefix sums give each
-    item a dense position 0..N-1, and a draw is a hashed position matched by
-    a plain equi-join, with no bucket expansion.
+    primary-key column) every item has weight 1 and a draw is a hashed
+    position 0..N-1.  Whether the keys are whole numbers without gaps is seen
+    from their least, greatest and count (one aggregate job over the key
+    column); then the position is the key's distance from the least, and the
+    draws are neither joined nor shuffled.  Otherwise the prefix sums give each
+    item its position, matched by a plain equi-join.
     """
     if not unique_keys:
         ones = items.select(item_key, F.lit(1).cast("bigint").alias("_ones"))
@@ -179,8 +182,14 @@ def uniform_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
                                chunks=chunks)
     _check_names(draws, draw_key, item_key)
     ones = items.select(F.col(item_key), F.lit(1).cast("bigint").alias("_w"))
-    n_items = ones.agg(F.count(F.lit(1))).scalar()
     u = hashed_uniform(_draw_key(draws, draw_key), seed, "weighted-draw")
+    if is_integral(items.schema[item_key].dataType):
+        rows, n, least, greatest = items.agg(F.count(F.lit(1)), F.count(item_key), F.min(item_key),
+                                             F.max(item_key)).first()
+        if rows == n and n and greatest - least + 1 == n:
+            position = F.least(F.floor(u * n).cast("bigint"), F.lit(n - 1))
+            return draws.withColumn(item_key, (position + least).cast(items.schema[item_key].dataType))
+    n_items = ones.agg(F.count(F.lit(1))).scalar()
     pts = draws.withColumn("_pos", F.least(F.floor(u * n_items).cast("bigint"), n_items - 1))
     positions = weight_intervals(ones, item_key, chunks).select(item_key, F.col("lo").alias("_pos"))
     return pts.join(positions, "_pos").select(*draws.columns, item_key)

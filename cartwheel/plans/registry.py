@@ -564,8 +564,7 @@ WITH weights AS (
 
 _GEN_ORDERS_SQL = _SAMPLE_SQL + f""",
 positions AS (
-  SELECT product_id, row_number() OVER (ORDER BY {draw_sql('product_id', 0, 'chunk')} % 4096, product_id) - 1 AS pos
-  FROM (SELECT p_partkey AS product_id FROM part)
+  SELECT p_partkey AS product_id, p_partkey - (SELECT MIN(p_partkey) FROM part) AS pos FROM part  -- keys have no gaps
 ), n AS (SELECT COUNT(*) AS n FROM part
 ), drawn AS (
   SELECT order_id, customer_id,
@@ -608,6 +607,25 @@ def q_generate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products_from_ids(_product_ids(spark, sf_dir))
 
 
+@register("uniform_sparse", f"""
+WITH positions AS (
+  SELECT product_id, row_number() OVER (ORDER BY {draw_sql('product_id', 0, 'chunk')} % 4096, product_id) - 1 AS pos
+  FROM (SELECT p_partkey * 3 + 1 AS product_id FROM part)
+), n AS (SELECT COUNT(*) AS n FROM part
+), drawn AS (
+  SELECT o_orderkey AS order_id,
+         least(CAST(floor({uniform_sql('o_orderkey', 5, 'weighted-draw')} * n) AS BIGINT), n - 1) AS pos
+  FROM orders, n
+)
+SELECT order_id, product_id FROM drawn JOIN positions USING (pos)
+""")
+def q_uniform_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform draw of a product for each order, from keys with gaps."""
+    from cartwheel.operators.sampling import uniform_sample
+    sparse = _product_ids(spark, sf_dir).select((F.col("product_id") * 3 + 1).alias("product_id"))
+    return uniform_sample(_order_ids(spark, sf_dir), "order_id", sparse, "product_id", seed=5, unique_keys=True)
+
+
 @register("generate_orders", _GEN_ORDERS_SQL)
 def q_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.operators.generate import orders_from_ids

@@ -9,7 +9,7 @@ NO_BROADCAST = ("spark.sql.autoBroadcastJoinThreshold",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold")
 # queries that write before returning are checked through their own operators
 WRITES = {"format_benchmark", *(n for n in QUERIES if n.startswith("analytics_run"))}
-SAMPLERS = {"generate_orders", "weighted_owner", "weighted_sample", "weighted_sample_check",
+SAMPLERS = {"generate_orders", "uniform_sparse", "weighted_owner", "weighted_sample", "weighted_sample_check",
             "generate_orders_check"}
 
 
@@ -53,3 +53,14 @@ def test_category_sums_aggregate_lines_below_the_join(no_broadcast, name):
     lines = next(i for i, line in enumerate(plan) if "l_partkey" in line and "Relation" in line)
     below = [plan[i] for i in range(join + 1, lines) if depth[i] > depth[join]]
     assert any("Aggregate [" in line for line in below)
+
+
+def test_dense_keys_are_drawn_without_a_join(spark):
+    from cartwheel.operators.sampling import uniform_sample
+    draws, dense = spark.range(100).withColumnRenamed("id", "d"), spark.range(7, 57).withColumnRenamed("id", "k")
+    joins = lambda items: "Join" in uniform_sample(draws, "d", items, "k", unique_keys=True) \
+        ._jdf.queryExecution().optimizedPlan().toString()
+    assert not joins(dense) and joins(dense.where("k <> 20"))
+    assert joins(dense.unionByName(spark.createDataFrame([(None,)], "k long")))
+    got = {r.k for r in uniform_sample(draws, "d", dense, "k", unique_keys=True).collect()}
+    assert got <= set(range(7, 57)) and len(got) > 30
