@@ -19,7 +19,7 @@ _CASED = str.maketrans({**{chr(c): "X" for c in range(65, 91)}, **{chr(c): "x" f
 
 def shape(word: str) -> str:
     """A-Z to X, a-z and other letters to x or X by case, digits to d."""
-    out = word[:64].translate(_CASED)
+    out = word.translate(_CASED)
     if out.isascii():
         return out
     return "".join(c if c.isascii() else "X" if c.isupper() else "x" if c.isalpha() else c for c in out)
@@ -33,8 +33,8 @@ def word_features(word: str, known: frozenset | None = None) -> dict[str, list[s
     digits = full.count("d")
     lower = word.lower().rstrip(".,;:!?")
     named = [] if known is not None and lower not in known else [f"w={lower}"]
-    about = [f"b={brief[:24]}", f"n={min(digits, 20)}", f"e={full[-1:]}" if full[-1:] in ".,;:!?" else "e="]
-    own = ["bias", f"s={core[:32]}", *about, f"l={min(len(core), 24)}", *named,
+    about = [f"b={brief}", f"n={min(digits, 20)}", f"e={full[-1:]}" if full[-1:] in ".,;:!?" else "e="]
+    own = ["bias", f"s={core}", *about, f"l={min(len(core), 24)}", *named,
            *(f"c={c}" for c in set(core) - set("Xxd")), f"p={core[:1]}", f"m={'d' in core and 'x' in core}"]
     return {"own": own, "next": [f"-{x}" for x in about + named], "prev": [f"+{x}" for x in about + named]}
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -157,7 +158,7 @@ class Tagger:
     their votes, so there are few rows of votes however many words.
     """
 
-    CACHE, CHUNK = 200_000, 100_000
+    CACHE, CHUNK, BLOCK = 200_000, 100_000, 100_000
 
     def __init__(self, field: Crf, margin: float = 2.0):
         self.field, self.margin = field, margin
@@ -172,10 +173,6 @@ class Tagger:
         key = (shape(text), lower if lower in self.field.known else None)
         if key not in self.row:
             n = len(self.row)
-            if n == self.CACHE:
-                self.row.clear()
-                self.number.clear()
-                n = 0
             if n == len(self.votes):
                 self.votes = np.concatenate([self.votes, np.zeros_like(self.votes)])
                 self.gain = np.concatenate([self.gain, np.zeros_like(self.gain)])
@@ -186,7 +183,7 @@ class Tagger:
 
     def _rows(self, words: list[bytes]) -> np.ndarray:
         if len(self.number) > self.CACHE or len(self.row) > self.CACHE // 2:
-            self.number.clear()
+            self.number.clear()  # between calls only: a call's numbers stay valid until it ends
             self.row.clear()
         for w in {w for w in words if w not in self.number}:
             self.number[w] = self._new_row(w)
@@ -198,16 +195,24 @@ class Tagger:
         A bound on what each word's neighbourhood can gain over O leaves out the
         lines that decode to O throughout.
         """
-        words, starts, owner, first = [], [], [], []
+        out, block = [], ([], [], [], [])
         for i, text in enumerate(texts):
-            begin = len(words)
+            n = 0
             for line in text.split(b"\n"):
                 found = line.split()
                 if found:
+                    words, starts, owner, first = block
                     starts.append(len(words))
                     owner.append(i)
-                    first.append(len(words) - begin)
+                    first.append(n)
+                    n += len(found)
                     words += found
+                    if len(words) >= self.BLOCK:  # however long a text is, its words are taken in blocks
+                        out += self._active(*block)
+                        block = ([], [], [], [])
+        return out + self._active(*block)
+
+    def _active(self, words: list[bytes], starts: list[int], owner: list[int], first: list[int]) -> list:
         if not words:
             return []
         at = self._rows(words)
@@ -314,16 +319,33 @@ def _digest(spans: list[tuple[str, int, int]]) -> tuple:
             hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans))
 
 
+@lru_cache(maxsize=1)
+def _own_field() -> Crf:
+    return train(labelled_table())
+
+
+def field_from(labelled: DataFrame, max_rows: int = 20_000, rounds: int = 100) -> Crf:
+    """A field trained on a labelled table: ``words`` and ``labels``, arrays of strings of equal length.
+
+    At most ``max_rows`` rows are read, those of the least hashes.  Rows with a null, no words or arrays
+    of different lengths teach nothing.
+    """
+    rows = labelled.where("size(words) = size(labels) AND size(words) > 0").select("words", "labels") \
+                   .orderBy(F.xxhash64("words", "labels")).limit(max_rows).collect()
+    return train([(list(r.words), list(r.labels)) for r in rows
+                  if None not in r.words and None not in r.labels], rounds)
+
+
 def find_pii(docs: DataFrame, text_col: str = "text", field: Crf | None = None,
              margin: float = 2.0) -> tuple[Column, Column]:
     """Columns over ``docs``: the digest struct, and the redacted text.
 
     A null text has no spans, and stays null when redacted; an empty one stays
-    empty.  The field is trained on ``labelled_table()`` unless given; it is
-    the only thing sent to the tasks.  Rows are independent, so repeated rows,
+    empty.  The field is trained on ``labelled_table()``, once a process, unless given
+    (:func:`field_from` takes a labelled table); it is the only thing sent to the tasks.  Rows are independent, so repeated rows,
     ties and extra columns need no care.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(field or train(labelled_table()))
+    sent = docs.sparkSession.sparkContext.broadcast(field or _own_field())
 
     @F.pandas_udf(DIGEST)
     def digest(texts: pd.Series) -> pd.DataFrame:

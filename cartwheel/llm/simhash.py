@@ -26,6 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.llm._common import fresh, raw_bytes, staged
 from cartwheel.llm.components import connected_components
@@ -158,24 +159,33 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Rows of ``docs`` with exactly one row left of each near-duplicate group.
 
     The row with the least id stays (ids before nulls); among rows that share
-    that id, the least by a hash of all columns; equal rows count once.
+    that id, the least by a hash of all columns; equal rows count once.  Null
+    and wordless texts are near-duplicates of each other.  Columns may have any
+    name and any type; all are returned as they are.  Empty in, empty out.
     """
     columns = docs.columns
-    fp, digest, missing, root = fresh(columns, "fp", "digest", "missing", "root")
+    fp, digest, missing, root, n, own, id_of = fresh(columns, "fp", "digest", "missing", "root", "n", "own", "id_of")
+    quoted = [F.col(f"`{c}`") for c in columns]
+    hashed = F.xxhash64(*[F.to_json(F.struct(c)) if _holds_map(docs.schema[name].dataType) else c
+                          for c, name in zip(quoted, columns)])
     marks = docs.select(
-        F.col(id_col).isNull().alias(missing), F.col(id_col).alias("id"),
-        F.xxhash64(*[F.col(c) for c in columns]).alias(digest),
-        fingerprint(F.col(text_col), shingle, seed).alias(fp))
-    marks = staged(marks.groupBy("id", missing, digest, fp).agg(F.count(F.lit(1)).alias("n")))
+        F.col(f"`{id_col}`").isNull().alias(missing), F.col(f"`{id_col}`").alias(id_of), hashed.alias(digest),
+        fingerprint(F.col(f"`{text_col}`"), shingle, seed).alias(fp))
+    marks = staged(marks.groupBy(id_of, missing, digest, fp).agg(F.count(F.lit(1)).alias(n)))
     roots = link_fingerprints(marks.select(F.col(fp).alias("fp")).distinct(), max_distance, segments)
     grouped = marks.join(roots.withColumnsRenamed({"fp": fp, "root": root}), fp, "left") \
                    .withColumn(root, F.coalesce(root, fp))
-    first = grouped.groupBy(root).agg(F.min(F.struct(missing, "id", digest, "n")).alias("first"))
-    first = staged(first.select(F.col(f"first.{digest}").alias("_digest"), F.col("first.id").alias("_id"),
-                                F.col("first.n").alias("_n")))
-    kept = docs.withColumn(digest, F.xxhash64(*[F.col(c) for c in columns]))
-    chosen = lambda which: kept.join(first.filter(which), (kept[digest] == F.col("_digest"))
-                                     & kept[id_col].eqNullSafe(F.col("_id")), "left_semi")
-    once = chosen("_n = 1").select(*columns)
-    again = chosen("_n > 1").dropDuplicates([digest]).select(*columns)
+    first = grouped.groupBy(root).agg(F.min(F.struct(missing, id_of, digest, n)).alias("first")).select("first.*")
+    first = staged(first.select(F.col(digest).alias(own), id_of, n))
+    kept = docs.withColumn(digest, hashed)
+    chosen = lambda which: kept.join(first.filter(which), (F.col(digest) == F.col(own))
+                                     & F.col(f"`{id_col}`").eqNullSafe(F.col(id_of)), "left_semi")
+    once = chosen(F.col(n) == 1).select(*quoted)
+    again = chosen(F.col(n) > 1).dropDuplicates([digest]).select(*quoted)
     return once.unionByName(again)
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)

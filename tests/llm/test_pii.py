@@ -100,3 +100,32 @@ def test_columns_and_redaction(spark):
 
 def test_overlapping_spans_become_one_mark():
     assert pii.redact("abcdefgh", [("email", 1, 4), ("card", 3, 6), ("crf_id", 6, 7)]) == "a[EMAIL][ID]h"
+
+
+def test_long_texts_of_distinct_shapes_and_a_full_cache(monkeypatch):
+    pick = random.Random(77)
+    odd = lambda n: " ".join("".join(pick.choice("aA1-/") for _ in range(pick.randint(5, 14))) for _ in range(n))
+    tail = "\nplease contact Dr. Maria Hansen today\n"
+    texts = [(odd(400) + tail + odd(400)).encode(), tail.encode(), odd(50).encode(), tail.encode()]
+    want = pii.Tagger(FIELD).find(texts)
+    monkeypatch.setattr(pii.Tagger, "CACHE", 6)
+    for block in (1, 7, 100_000):
+        monkeypatch.setattr(pii.Tagger, "BLOCK", block)
+        tagger = pii.Tagger(FIELD)
+        assert tagger.find(texts) == want and tagger.find(texts[::-1]) == want[::-1]
+
+
+def test_features_see_the_whole_word():
+    from cartwheel.llm.crf import shape, word_features
+    word = "a" * 70 + "9" * 5 + "Z"
+    assert shape(word) == "x" * 70 + "d" * 5 + "X"
+    assert word_features(word) != word_features(word[:-1] + "z")
+
+
+def test_field_from_a_labelled_table(spark):
+    rows = [(list(w), list(t)) for w, t in pii.labelled_table(rows=500)] + [(["x"], []), (None, None), ([None], ["O"])]
+    table = spark.createDataFrame(rows, "words array<string>, labels array<string>")
+    field = pii.field_from(table, rounds=60)
+    assert set(field.labels) == set(FIELD.labels)
+    found = pii.Tagger(field).find([b"please contact Dr. Maria Hansen today"])
+    assert found == pii.Tagger(FIELD).find([b"please contact Dr. Maria Hansen today"])

@@ -130,3 +130,15 @@ def test_links_of_a_crowd_stay_few(spark):
     fps = spark.createDataFrame([(f,) for f in ball], "fp bigint")
     linked = simhash.link_fingerprints(fps)
     assert linked.agg(F.countDistinct("root"), F.count("fp")).first() == (1, len(ball))
+
+
+def test_keep_one_takes_any_column_names_and_types(spark):
+    schema = ("doc_id bigint, text string, _id string, _digest int, `a.b` string, fp string, root int, n int, own int, "
+              "id_of int, tags map<string,int>")
+    rows = [(i, "one two three four" if i % 2 else f"text number {i} of its own kind", "x", i, "dot", "f", 1, 2, 3, 4, {"k": 1})
+            for i in range(1, 9)]
+    rows += [rows[0], (None, None, "x", 0, "dot", "f", 1, 2, 3, 4, None), (20, "", "x", 0, "dot", "f", 1, 2, 3, 4, {})]
+    got = simhash.keep_one_per_group(spark.createDataFrame(rows, schema))
+    assert got.schema == spark.createDataFrame(rows, schema).schema
+    assert sorted(r.doc_id for r in got.collect()) == [1, 2, 4, 6, 8, 20]
+    assert simhash.keep_one_per_group(spark.createDataFrame([], schema)).count() == 0
