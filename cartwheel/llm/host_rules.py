@@ -27,7 +27,7 @@ SPACE = " \t\n\x0b\f\r"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_SYMBOL_PERCENT = 10
+MAX_SYMBOL_PERCENT = 25
 MAX_DUP_LINE_PERCENT = 30
 
 
@@ -92,7 +92,7 @@ def beta_prior(hosts: DataFrame, failures: str, total: str = "n") -> Column:
 
 
 def verdicts_of(measured: DataFrame, host_col: str, m: str, max_rate: float = 0.8,
-                doc_rate: float = 0.05) -> DataFrame:
+                doc_rate: float = 0.02) -> DataFrame:
     """One row per host (null is no host): host, n, shrunk rate of each rule, host_ok, strict rules."""
     failed = rules(m)
     hosts = staged(measured.filter(F.col(f"`{host_col}`").isNotNull()).groupBy(F.col(f"`{host_col}`").alias("host")).agg(
@@ -111,14 +111,14 @@ def verdicts_of(measured: DataFrame, host_col: str, m: str, max_rate: float = 0.
 
 
 def host_verdicts(docs: DataFrame, host_col: str, text_col: str, max_rate: float = 0.8,
-                  doc_rate: float = 0.05) -> DataFrame:
+                  doc_rate: float = 0.02) -> DataFrame:
     """:func:`verdicts_of` documents that are not measured yet."""
     m, = fresh(docs.columns, "m")
     return verdicts_of(with_measures(docs, text_col, m), host_col, m, max_rate, doc_rate)
 
 
 def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_rate: float = 0.8,
-          doc_rate: float = 0.05, out: str = "quality", keep: list[str] | None = None) -> DataFrame:
+          doc_rate: float = 0.02, out: str = "quality", keep: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` with a struct ``out``: the measures, base_failed, host_ok, strict_failed, kept.
 
     With ``keep`` only those columns are returned; the text is then measured once, and the measures

@@ -21,7 +21,7 @@ m AS (SELECT d.rid, doc_id, source, len(ws)::BIGINT AS n_words, length(array_to_
              coalesce(n_lines, 0) AS n_lines
       FROM d LEFT JOIN covered USING (rid) LEFT JOIN lines USING (rid)),
 f AS (SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
-             100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 30 * n_lines AS dups FROM m),
+             100 * n_symbols > 25 * word_chars AS symbols, 100 * n_dup_lines > 30 * n_lines AS dups FROM m),
 hosts AS (SELECT source, rule, count(*)::DOUBLE AS n, count(*) FILTER (failed)::DOUBLE AS x
           FROM (SELECT source, unnest(['short', 'repeats', 'symbols', 'dups']) AS rule,
                        unnest([short, repeats, symbols, dups]) AS failed FROM f WHERE source IS NOT NULL)
@@ -32,10 +32,10 @@ fitted AS (SELECT rule, p, 1 / least(greatest(coalesce(
                (s / nullif(p * (1 - p), 0) - (h - 1)) / nullif(big_n - q - h + 1, 0), 0), 1e-4), 0.99) - 1 AS strength
            FROM pooled),
 rates AS (SELECT source, rule, (x + p * strength) / (n + strength) AS rate FROM hosts JOIN fitted USING (rule)),
-verdicts AS (SELECT source, bool_and(rate <= 0.8) AS host_ok, bool_or(rule = 'short' AND rate > 0.05) AS short_strict,
-                    bool_or(rule = 'repeats' AND rate > 0.05) AS repeats_strict,
-                    bool_or(rule = 'symbols' AND rate > 0.05) AS symbols_strict,
-                    bool_or(rule = 'dups' AND rate > 0.05) AS dups_strict FROM rates GROUP BY source)
+verdicts AS (SELECT source, bool_and(rate <= 0.8) AS host_ok, bool_or(rule = 'short' AND rate > 0.02) AS short_strict,
+                    bool_or(rule = 'repeats' AND rate > 0.02) AS repeats_strict,
+                    bool_or(rule = 'symbols' AND rate > 0.02) AS symbols_strict,
+                    bool_or(rule = 'dups' AND rate > 0.02) AS dups_strict FROM rates GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
        NOT (short OR repeats) AND coalesce(host_ok AND NOT (short AND short_strict OR repeats AND repeats_strict
            OR symbols AND symbols_strict OR dups AND dups_strict), TRUE) AS kept

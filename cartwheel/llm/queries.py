@@ -22,7 +22,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts of all documents; a document's host is its source."""
     judged = host_rules.judge(read_table(spark, sf_dir, "documents"), host_col="source",
-                              max_rate=0.8, doc_rate=0.05, keep=["doc_id"])
+                              max_rate=0.8, doc_rate=0.02, keep=["doc_id"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
              "base_failed", "kept")
     return judged.select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
