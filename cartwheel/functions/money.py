@@ -176,58 +176,50 @@ def unit_sums(name: str) -> list[Column]:
     return [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in "wdf"]
 
 
-def _with_exact_product(df: DataFrame, units: str, price: str, out: str) -> DataFrame:
-    """units (28 digits, 6 of them places) * price (20, 8) with 14 places; NULL if it does not fit.
-
-    The units are multiplied in millions and the rest apart, as one product of 48 digits would
-    be rounded.
-    """
-    m = f"{out}_millions"
-    df = df.withColumn(m, F.floor(F.col(units) / MILLION).try_cast("decimal(17,0)"))
-    rest = (F.col(units) - F.col(m) * MILLION).try_cast("decimal(13,6)")
-    high = (F.col(m) * F.col(price)).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
-    total = high.try_cast("decimal(37,14)") + rest * F.col(price)  # 38 digits: no rounding
-    return df.withColumn(out, total.try_cast("decimal(38,14)")).drop(m)
-
-
 def unit_parts(name: str) -> dict[str, Column]:
     """Parts c, d, f of the units of :func:`unit_sums`, as :func:`sum_parts` takes them."""
     return {"c": F.col(f"{name}_w") * 100, "d": F.col(f"{name}_d"), "f": F.col(f"{name}_f")}
 
 
-def with_product_parts(df: DataFrame, name: str, price: str, cents: str, decimal: str,
-                       parts: dict[str, str]) -> DataFrame:
-    """``df`` with parts c, d, f of a product's units times its price.
+def with_product_parts(df: DataFrame, price: str, cents: str, decimal: str,
+                       products: dict[str, dict[str, str]]) -> DataFrame:
+    """``df`` with parts c, d, f of sums of units times the row's price.
+
+    ``products`` maps the name of the units, ``{name}_w`` and, unless there are whole units only,
+    ``{name}_d`` and ``{name}_f`` (see :func:`unit_sums`), to the names of the parts.  Equal to the
+    sum of the products of the lines in c and d.  What does not fit 38 digits (or is no decimal) is
+    multiplied as doubles.
 
-    Equal to the sum of the products of the lines in c and d.  What does not fit 38 digits (or is
-    no decimal) is multiplied as doubles.
+    c is a 64-bit product.  For d, units of 28 digits (6 of them places) are multiplied in millions
+    and the rest apart, as one product with a price of 20 digits would be rounded.
     """
-    w, d, f = (F.col(f"{name}_{k}") for k in "wdf")
-    out_c, out_d, out_f = (parts[k] for k in "cdf")
-    left, units = f"{name}_left", f"{name}_units"
-    zero = F.lit(Decimal(0)).cast(UNITS_DECIMAL)
+    zero, col = F.lit(Decimal(0)).cast(UNITS_DECIMAL), F.col
     wide = lambda c: F.coalesce(c.try_cast(UNITS_DECIMAL), zero)
-    df = df.withColumn(out_c, F.when(F.abs(w.cast("double")) * F.abs(F.col(cents)) < 9e18, w * F.col(cents)))
-    df = df.withColumn(left, F.when(F.col(out_c).isNull(), w))
-    some = F.col(left).isNotNull() | d.isNotNull()
-    df = df.withColumn(units, F.when(some, (wide(F.col(left)) + wide(d)).try_cast(UNITS_DECIMAL)))
-    df = _with_exact_product(df, units, decimal, out_d)
-    inexact = F.when(F.col(out_d).isNull() & some, F.coalesce(F.col(left).cast("double"), F.lit(0.0))
-                     + F.coalesce(d.cast("double"), F.lit(0.0)))
-    df = df.withColumn(units, inexact)
-    doubles = F.when(F.col(units).isNotNull() | f.isNotNull(),
-                     F.coalesce(units, F.lit(0.0)) + F.coalesce(f, F.lit(0.0)))
-    return df.withColumn(out_f, doubles * F.col(price).cast("double")).drop(left, units)
-
-
-def with_repeated_parts(df: DataFrame, times: str, price: str, cents: str, decimal: str,
-                        parts: dict[str, str]) -> DataFrame:
-    """``df`` with parts c, d, f of a price that is added ``times`` times."""
-    c, d, f, n = parts["c"], parts["d"], parts["f"], F.col(times)
-    df = df.withColumn(c, F.when(n.cast("double") * F.abs(F.col(cents)) < 9e18, n * F.col(cents)))
-    df = df.withColumn(d, F.when(F.col(c).isNull(), n.try_cast(UNITS_DECIMAL)))
-    df = _with_exact_product(df, d, decimal, d)
-    return df.withColumn(f, F.when(F.col(c).isNull() & F.col(d).isNull(), n * F.col(price).cast("double")))
+    part = lambda n, k: col(f"{n}_{k}") if f"{n}_{k}" in df.columns else F.lit(None).cast("double")
+    each = lambda make: {k: v for n, parts in products.items() for k, v in make(n, parts).items()}
+    some = lambda n: col(f"{n}_left").isNotNull() | part(n, "d").isNotNull()
+
+    def exact(n: str) -> Column:
+        m = col(f"{n}_millions")
+        rest = (col(f"{n}_units") - m * MILLION).try_cast("decimal(13,6)")
+        high = (m * col(decimal)).try_cast("decimal(30,8)") * F.lit(MILLION).cast("decimal(7,0)")
+        return (high.try_cast("decimal(37,14)") + rest * col(decimal)).try_cast("decimal(38,14)")  # 38 digits
+
+    def doubles(n: str, parts: dict[str, str]) -> Column:
+        left = F.when(col(parts["d"]).isNull() & some(n), F.coalesce(col(f"{n}_left").cast("double"), F.lit(0.0))
+                      + F.coalesce(part(n, "d").cast("double"), F.lit(0.0)))
+        return F.coalesce(left + part(n, "f"), left, part(n, "f")) * col(price).cast("double")
+
+    # each step is a column that the next ones name
+    out = df.withColumns(each(lambda n, parts: {parts["c"]: F.when(
+        F.abs(col(f"{n}_w").cast("double")) * F.abs(col(cents)) < 9e18, col(f"{n}_w") * col(cents))}))
+    out = out.withColumns(each(lambda n, parts: {f"{n}_left": F.when(col(parts["c"]).isNull(), col(f"{n}_w"))}))
+    out = out.withColumns(each(lambda n, parts: {f"{n}_units": F.when(
+        some(n), (wide(col(f"{n}_left")) + wide(part(n, "d"))).try_cast(UNITS_DECIMAL))}))
+    out = out.withColumns(each(lambda n, parts: {f"{n}_millions": F.floor(
+        col(f"{n}_units") / MILLION).try_cast("decimal(17,0)")}))
+    out = out.withColumns(each(lambda n, parts: {parts["d"]: exact(n)}))
+    return out.withColumns(each(lambda n, parts: {parts["f"]: doubles(n, parts)}))
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

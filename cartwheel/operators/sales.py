@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.money import (exact_cents, exact_price_decimal, growth_percentage,
                                        is_integral, line_cents_to_money, ratio, sum_parts, summed_parts,
                                        unit_parts, unit_sums, with_line_parts, with_product_parts,
-                                       with_repeated_parts, with_unit_parts)
+                                       with_unit_parts)
 
 _CENTS, _EXACT = "_price_cents", "_price_exact"
 _REV = "_line"
@@ -66,14 +66,14 @@ def line_revenue(orders: DataFrame, products: DataFrame, how: str = "inner") ->
     return lines.withColumn("line_revenue", revenue).drop(*_REV_PARTS.values(), _CENTS, _EXACT)
 
 
-_UNITS, _LINES, _IDS = "_units", "_n_lines", "_n_ids"
+_UNITS, _LINES, _IDS = "_units", "_lines", "_n_ids"
 _PRICES = {k: f"_price_sum_{k}_part" for k in "cdf"}
 
 
 def product_aggregates(dtype) -> list:
     """What the category report needs of a product's lines (with unit parts); it names no price."""
     units = [F.sum("quantity").alias("_whole_units")] if is_integral(dtype) else []
-    return [*unit_sums(_UNITS), *units, F.count(F.lit(1)).alias(_LINES), F.count("order_id").alias(_IDS)]
+    return [*unit_sums(_UNITS), *units, F.count(F.lit(1)).alias(f"{_LINES}_w"), F.count("order_id").alias(_IDS)]
 
 
 def category_aggregates(per_product: DataFrame) -> DataFrame:
@@ -83,13 +83,12 @@ def category_aggregates(per_product: DataFrame) -> DataFrame:
     """
     whole = "_whole_units" in per_product.columns
     priced = per_product.withColumns({_CENTS: exact_cents("price"), _EXACT: exact_price_decimal("price")})
-    priced = with_product_parts(priced, _UNITS, "price", _CENTS, _EXACT, _REV_PARTS)
-    priced = with_repeated_parts(priced, _LINES, "price", _CENTS, _EXACT, _PRICES)
+    priced = with_product_parts(priced, "price", _CENTS, _EXACT, {_UNITS: _REV_PARTS, _LINES: _PRICES})
     units = ([F.sum("_whole_units").alias("total_units_sold")] if whole
              else sum_parts(unit_parts(_UNITS), "_units"))
     return priced.groupBy("category").agg(
         *revenue_sums(), *units, *sum_parts(_PRICES, "_price_sum"),
-        F.sum(F.when(F.col("price").isNotNull(), F.col(_LINES)).otherwise(0)).alias("_price_count"),
+        F.sum(F.when(F.col("price").isNotNull(), F.col(f"{_LINES}_w")).otherwise(0)).alias("_price_count"),
         F.sum(_IDS).alias("order_count"))
 
 
