@@ -35,7 +35,9 @@ def with_measures(docs: DataFrame, text_col: str, out: str, window: int = 3) ->
     """``docs`` with a struct ``out`` of MEASURES (bigint each); a null text is empty.
 
     Windows of words are told apart by 64-bit hashes within their text.  Each step is a
-    column of its own that several others name, so that the planner evaluates it once.
+    column of its own that several others name, so that the planner evaluates it once.  A
+    caller's filter on ``out`` would undo that, as it is moved below columns by spelling
+    them out; the row number, which adds nothing, keeps it above.
     """
     text, words, lines, grams, order, again = fresh([*docs.columns, out], "text", "words", "lines", "grams", "order", "again")
     c, n = F.col, F.size(words)
@@ -52,7 +54,8 @@ def with_measures(docs: DataFrame, text_col: str, out: str, window: int = 3) ->
                                     | x["gram"].eqNullSafe(F.get(c(order), i + 1)["gram"])))
     covered = F.array_distinct(F.flatten(F.transform(again, lambda x: F.sequence(x["at"], x["at"] + (window - 1)))))
     without = lambda chars: F.length(text) - F.length(F.translate(c(text), chars, ""))
-    values = {"n_words": n, "word_chars": F.length(text) - without(SPACE), "n_symbols": without(SYMBOLS),
+    nothing = F.when(F.monotonically_increasing_id() < 0, 1).otherwise(0)
+    values = {"n_words": n + nothing, "word_chars": F.length(text) - without(SPACE), "n_symbols": without(SYMBOLS),
               "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
               "n_repeat_words": F.coalesce(F.size(covered), F.lit(0)), "n_lines": F.size(lines)}
     measured = F.struct(*[v.cast("bigint").alias(k) for k, v in values.items()])

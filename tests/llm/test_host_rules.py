@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from cartwheel.llm import host_rules as H
 
@@ -41,6 +42,14 @@ def test_a_very_long_text(spark):
     assert row.quality.n_words == 400_005 and row.quality.n_repeat_words >= 400_000 and row.quality.n_dup_lines == 4
 
 
+def test_a_filter_on_the_verdict_is_not_spelled_out_below(spark):
+    long = " ".join(f"w{i % 3000}" for i in range(20_000))
+    rows = [(1, long, "s"), (2, " ".join(f"w{i}" for i in range(5000)), "s")]
+    began = time.time()
+    kept = H.judge(frame(spark, rows)).filter("quality.kept").drop("quality")
+    assert [r.doc_id for r in kept.collect()] == [2] and time.time() - began < 60
+
+
 def test_strict_rules_take_failing_documents_of_bad_hosts_only(spark):
     good = [" ".join(f"w{i}x{j}" for i in range(60)) for j in range(4)]
     noisy = " ".join(f"w{i}%%%" for i in range(60))
