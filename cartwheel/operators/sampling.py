@@ -91,7 +91,10 @@ def weight_intervals(weights: DataFrame, key: str, chunks: int = 4096,
 
 
 def _chunked(weights: DataFrame, key: str, chunks: int, spread: Column | None) -> tuple[DataFrame, DataFrame]:
-    """Items dealt by chunk, and (_chunk, _total, _offset) of the chunks: two readers of one shuffle."""
+    """Items dealt by chunk, and (_chunk, _total, _offset, _line) of the chunks: two readers of one shuffle.
+
+    ``_line`` is the length of the whole line, the same in every row.
+    """
     if not 0 < chunks <= MAX_CHUNKS:
         raise ValueError(f"chunks must be 1 to {MAX_CHUNKS}")
     spread = hashed_long(_draw_key(weights, key), 0, "chunk") if spread is None else spread
@@ -100,7 +103,8 @@ def _chunked(weights: DataFrame, key: str, chunks: int, spread: Column | None) -
     totals = w.groupBy("_chunk").agg(F.sum("_w").alias("_total"), F.count(F.struct(key)).alias("_items"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     return w, totals.where("_items > 0").select(
-        "_chunk", "_total", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+        "_chunk", "_total", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_total").over(Window.partitionBy()).alias("_line"))
 
 
 def _intervals(w: DataFrame, key: str) -> DataFrame:
@@ -128,24 +132,25 @@ def weighted_sample(draws: DataFrame, draw_key: str, items: DataFrame, item_key:
     _check_names(draws, draw_key, item_key)
     weights = positive_weights(items, item_key, weight, unique_keys)
     w, offsets = _chunked(weights, item_key, chunks, spread)
-    total = offsets.agg(F.sum("_total")).scalar()
-    parts = F.greatest(F.ceil(F.col("_total") * float(ranges) / total), F.lit(1))
+    parts = F.greatest(F.ceil(F.col("_total") * float(ranges) / F.col("_line")), F.lit(1))
     places = offsets.withColumn("_width", F.ceil(F.col("_total") / parts).cast("bigint"))
-    part_of = lambda at: F.floor(at / F.col("_width")).cast("bigint")
+    div = lambda a, b: F.call_function("div", a, b)  # noqa: E731 - whole numbers: exact at any length of the line
+    part_of = lambda at: div(at, F.col("_width"))
     # items: their starts, anew in each part that they reach into
     ends = _intervals(w, item_key).join(F.broadcast(places.select("_chunk", "_width")), "_chunk")
     starts = ends.withColumn("_part", F.explode(F.sequence(part_of(F.col("_from")), part_of(F.col("_upto") - 1)))) \
         .select("_chunk", "_part", F.greatest(F.col("_from"), F.col("_part") * F.col("_width")).alias("_at"),
                 F.struct(item_key).alias("_item"))
     # draws: the chunk of a point by a directory of equal stretches of the line, at most 3 * chunks rows
-    stretch = F.greatest(F.ceil(total / (2.0 * chunks)).cast("bigint"), F.lit(1))
-    first, last = (F.floor(x / stretch).cast("bigint") for x in
-                   (F.col("_offset"), F.col("_offset") + F.col("_total") - 1))
+    stretch = F.greatest(F.ceil(F.col("_line") / (2.0 * chunks)).cast("bigint"), F.lit(1))
+    first, last = (div(x, stretch) for x in (F.col("_offset"), F.col("_offset") + F.col("_total") - 1))
     directory = places.withColumn("_stretch", F.explode(F.sequence(first, last)))
     u = hashed_uniform(_draw_key(draws, draw_key), seed, "weighted-draw") if draw is None else draw
-    points = draws.withColumn("_point", F.least(F.floor(u * total).cast("bigint"), total - 1)) \
-        .withColumn("_stretch", F.floor(F.col("_point") / stretch).cast("bigint")) \
-        .join(F.broadcast(directory), "_stretch") \
+    line = offsets.agg(F.max("_line")).scalar()  # named once: each naming is planned anew
+    points = draws.withColumn("_line", line) \
+        .withColumn("_point", F.least(F.floor(u * F.col("_line")).cast("bigint"), F.col("_line") - 1)) \
+        .withColumn("_stretch", div(F.col("_point"), stretch)) \
+        .join(F.broadcast(directory.drop("_line")), "_stretch") \
         .where((F.col("_offset") <= F.col("_point")) & (F.col("_point") < F.col("_offset") + F.col("_total"))) \
         .withColumn("_at", F.col("_point") - F.col("_offset")).withColumn("_part", part_of(F.col("_at")))
     events = points.select("_chunk", "_part", "_at", F.lit(None).cast(starts.schema["_item"].dataType).alias("_item"),
