@@ -123,13 +123,20 @@ def _positives(rows: DataFrame, shared, k: int) -> DataFrame:
     return rows.select("row", "id", "label", "vector").mapInArrow(run, PAIR)
 
 
+def _bounds(positive: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and highest score in the window of each positive; the products may exceed 64 bits."""
+    exact, ends = positive.astype(object), np.iinfo(np.int64)
+    return tuple(np.clip(x, ends.min, ends.max).astype(np.int64)
+                 for x in (-(-low * exact // 100), high * exact // 100))
+
+
 def _negatives(rows: DataFrame, shared, windows, k: int, low: int, high: int) -> DataFrame:
     """Each task's best ``k`` rows of other labels in each window; a pair is listed once."""
 
     def run(batches):
         block = shared.value
         anchors, positive = windows.value
-        least, most = -(-low * positive // 100), high * positive // 100
+        least, most = _bounds(positive, low, high)
         open_ = np.flatnonzero(least <= most)
         best = Best(len(positive), k)
         for row, vec, missing, label, vectors in _tiles(batches, block.vectors.shape[1]):
