@@ -32,18 +32,30 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     return df.sparkSession.table(table)
 
 
-def co_bucketed_sales_inputs(spark: SparkSession, sf_dir: str, buckets: int,
-                             prefix: str = "cartwheel", folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+def bucket_count(tables: list[DataFrame], least: int, rows: int) -> int:
+    """Buckets for ``tables``: ``least``, or more where the largest would have over ``rows`` rows in one.
+
+    Rows are counted from the Parquet footers.  Spark's own limit of buckets holds.
+    """
+    most = int(tables[0].sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    needed = -(-max(table.count() for table in tables) // rows)
+    return max(int(least), min(needed, most))
+
+
+def co_bucketed_sales_inputs(spark: SparkSession, sf_dir: str, buckets: int, prefix: str = "cartwheel",
+                             folder: str | None = None, bucket_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """(orders, products) whose line/header join reads co-bucketed tables.
 
     Writes ``{prefix}_lineitem`` and ``{prefix}_orders`` bucketed on the
-    order key, below ``folder`` if it is given (else in the warehouse).  Pick ``buckets`` so that one bucket of the line table fits a
-    task (e.g. data size / 256 MB); both tables must use the same number.
+    order key, below ``folder`` if it is given (else in the warehouse).  Both
+    tables have the same number of buckets: ``buckets``, or as many as keep a
+    bucket to some ``bucket_rows`` rows.  One task sorts one bucket, so its
+    memory does not grow with the tables.
     """
-    lineitem = save_bucketed(load_table(spark, sf_dir, "lineitem"), f"{prefix}_lineitem",
-                             "l_orderkey", buckets, folder and f"{folder}/lineitem")
-    orders = save_bucketed(load_table(spark, sf_dir, "orders"), f"{prefix}_orders",
-                           "o_orderkey", buckets, folder and f"{folder}/orders")
+    lineitem, orders = load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "orders")
+    buckets = bucket_count([lineitem, orders], buckets, bucket_rows)
+    lineitem = save_bucketed(lineitem, f"{prefix}_lineitem", "l_orderkey", buckets, folder and f"{folder}/lineitem")
+    orders = save_bucketed(orders, f"{prefix}_orders", "o_orderkey", buckets, folder and f"{folder}/orders")
     return (orders_from_lineitem(lineitem, orders),
             products_from_part(load_table(spark, sf_dir, "part")))
 
@@ -51,7 +63,7 @@ def co_bucketed_sales_inputs(spark: SparkSession, sf_dir: str, buckets: int,
 def customers_on_buckets(spark: SparkSession, sf_dir: str, buckets: int, explain: list | None = None) -> DataFrame:
     """Revenue of every customer, over tables bucketed for this run and removed after it.
 
-    The result is a table in the session's shared folder, deleted when the
+    The tables have ``buckets`` buckets, or more if they are large.  The result is a table in the session's shared folder, deleted when the
     application ends.  ``explain`` takes the formatted plan of the run.
     """
     prefix = f"cartwheel_{uuid.uuid4().hex}"

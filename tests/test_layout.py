@@ -54,3 +54,26 @@ def test_bucketed_run_has_no_shuffle_on_the_order_key_and_leaves_nothing(spark):
     assert {t.name for t in spark.catalog.listTables()} == tables
     folder = ensure_checkpoint_dir(spark).removeprefix("file:")
     assert not [f for f in os.listdir(folder) if f.startswith("buckets-")]
+
+
+def test_buckets_grow_with_the_tables(spark, tmp_path):
+    from pyspark.sql import functions as F
+    lines = spark.range(4000).select((F.col("id") % 1500).alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"),
+                                     F.lit(2.0).alias("l_quantity"))
+    orders = spark.range(1500).select(F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"),
+                                      F.lit("2024-01-02 00:00:00").cast("timestamp").alias("o_orderdate"))
+    part = spark.range(7).select(F.col("id").alias("p_partkey"), F.lit("t").alias("p_type"), F.lit(1.5).alias("p_retailprice"))
+    for name, table in (("lineitem", lines), ("orders", orders), ("part", part)):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    try:
+        view, products = co_bucketed_sales_inputs(spark, str(tmp_path), buckets=2, prefix="t_grow", bucket_rows=100)
+        for table in ("t_grow_lineitem", "t_grow_orders"):
+            stored = spark.table(table)
+            assert len(stored.inputFiles()) == 40   # 4,000 lines, 100 a bucket; headers take the same number
+            assert max(r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()) < 200
+        got = sales.top_customers_by_revenue(view, products, n=None).collect()
+        want = sales.top_customers_by_revenue(*sales_inputs(spark, str(tmp_path)), n=None).collect()
+        assert len(got) == 9 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+    finally:
+        for table in ("t_grow_lineitem", "t_grow_orders"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
