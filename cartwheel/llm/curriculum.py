@@ -7,7 +7,8 @@ training run, time 0 to 1, a source is drawn at the rate of its weight schedule
 cumulative demand of the source; the documents of a source, in a hashed order
 and repeated for a second epoch where the target needs it, lie one after another
 on that demand, and each copy's training position is the time at which the
-demand reaches its middle.  Sorting the copies by position gives the mix.
+demand reaches its middle.  Sorting the copies of all sources by position, range by
+range, gives the mix; a copy's place is its number in that order.
 
 Running sums are taken in two levels, over ``16 ** bucket_digits`` buckets of
 the hashed order within each source and inside each bucket, so that a source
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm._common import WORD, fresh
+from cartwheel.llm._common import WORD, fresh, staged
 
 # knots (time, weight) of a schedule; one per source, repeating
 FLAT = ((0.0, 1.0), (1.0, 1.0))
@@ -83,23 +84,18 @@ def _position(offset: Column, target: Column, segments: Column) -> Column:
     return F.least(seg["t"] + F.coalesce(F.try_divide(2 * area, seg["w"] + root), F.lit(0.0)), seg["end"])
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
-             text_col: str = "text", weights: tuple[float, ...] = (5.0, 2.0, 1.0),
-             share: float = 1.5, max_repeat: float = 2.0,
-             schedules: tuple[tuple[tuple[float, float], ...], ...] = (FLAT,),
-             bucket_digits: int = 3, out: str = "mix") -> DataFrame:
-    """Rows of ``docs`` with a struct ``out``: size, source_size, target, taken, positions.
+def _placed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
+            text_col: str = "text", weights: tuple[float, ...] = (5.0, 2.0, 1.0),
+            share: float = 1.5, max_repeat: float = 2.0,
+            schedules: tuple[tuple[tuple[float, float], ...], ...] = (FLAT,),
+            bucket_digits: int = 3, out: str = "mix") -> tuple[DataFrame, list[str]]:
+    """Rows of ``docs`` with a struct ``out`` (size, source_size, target, positions) and key columns; their names.
 
-    A copy of a document is taken if its middle lies before the source's
-    target; ``positions`` has the time of each copy taken and ``taken`` is size
-    times their number.  The order within a source is by MD5 of the id, then
-    id and size, so reruns agree; rows equal in those are interchangeable.  A
-    null or wordless text has size 0 and takes no words (its copies are placed
-    like others' if its offset lies before the target).  A null source is one
-    source, ranked last; a null id is an id of its own.  Empty in, empty out.
+    The key is the source, the bucket of the hashed order and the row's number in
+    the bucket.  Rows equal in id, size and source may swap keys from run to run.
     """
-    key, group, bucket, size, offset, joined, seq, of_group, of_bucket = fresh(
-        docs.columns, "key", "group", "bucket", "size", "offset", "joined", "seq", "of_group", "of_bucket")
+    key, group, bucket, size, offset, joined, seq, of_group, of_bucket, nth = fresh(
+        docs.columns + [out], "key", "group", "bucket", "size", "offset", "joined", "seq", "of_group", "of_bucket", "nth")
     # a source's name without null, so that the join and the window below share one exchange
     name = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
     hashed = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
@@ -118,18 +114,75 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         .select("group", "bucket", F.struct("before", "source_size", "target", "segments").alias("of")) \
         .select(F.col("group").alias(of_group), F.col("bucket").alias(of_bucket), F.col("of").alias(joined))
     at = sized.join(offsets, (F.col(group) == F.col(of_group)) & (F.col(bucket) == F.col(of_bucket)))
-    within = Window.partitionBy(group, bucket).orderBy(key, id_col, size) \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    at = at.withColumn(offset, F.col(f"{joined}.before") + F.coalesce(F.sum(size).over(within), F.lit(0)))
+    hash_order = Window.partitionBy(group, bucket).orderBy(key, id_col, size)
+    within = hash_order.rowsBetween(Window.unboundedPreceding, -1)
+    at = at.withColumn(offset, F.col(f"{joined}.before") + F.coalesce(F.sum(size).over(within), F.lit(0))) \
+           .withColumn(nth, F.row_number().over(hash_order))
     target, source_size = F.col(f"{joined}.target"), F.col(f"{joined}.source_size")
     epochs = F.sequence(F.lit(0), F.lit(max(0, int(-(-max_repeat // 1)) - 1)))
     middles = F.transform(epochs, lambda e: (e * source_size + F.col(offset)) + F.col(size) / 2)
     positions = F.transform(F.filter(middles, lambda m: (m < target)),
                             lambda m: _position(m, target, F.col(f"{joined}.segments")))
     return at.withColumn(seq, positions).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != out],
+        *[F.col(f"`{c}`") for c in docs.columns if c != out], group, bucket, nth,
         F.struct(F.col(size).alias("size"), source_size.alias("source_size"), target.alias("target"),
-                 (F.col(size) * F.size(seq)).alias("taken"), F.col(seq).alias("positions")).alias(out))
+                 F.col(seq).alias("positions")).alias(out)), [group, bucket, nth]
+
+
+def in_order(copies: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """``copies`` numbered from 0 without gaps in the order of ``keys``, in a column ``place``.
+
+    Rows are range-partitioned by the keys and sorted; a row's number is its number
+    in its partition and the count of all partitions before (one row each, broadcast).
+    The keys should be unique, so that no run of ties lies in one task.
+    """
+    row, part, before, found = fresh(copies.columns + [place], "row", "part", "before", "found")
+    ordered = staged(copies.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                           .withColumn(row, F.monotonically_increasing_id()))
+    # monotonically_increasing_id: the partition above 33 bits of the row's number in it
+    parts = ordered.groupBy(F.shiftright(row, 33).alias(part)).count()
+    every = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(F.col(part).alias(found), F.coalesce(F.sum("count").over(every), F.lit(0)).alias(before))
+    return ordered.join(F.broadcast(starts), F.shiftright(row, 33) == F.col(found)) \
+        .withColumn(place, F.col(before) + F.col(row).bitwiseAND((1 << 33) - 1)).drop(row, before, found)
+
+
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
+             text_col: str = "text", weights: tuple[float, ...] = (5.0, 2.0, 1.0),
+             share: float = 1.5, max_repeat: float = 2.0,
+             schedules: tuple[tuple[tuple[float, float], ...], ...] = (FLAT,),
+             bucket_digits: int = 3, out: str = "mix") -> DataFrame:
+    """Rows of ``docs`` with a struct ``out``: size, source_size, target, taken, positions, places.
+
+    A copy of a document is taken if its middle lies before the source's
+    target; ``positions`` has the time of each copy taken, ``places`` its number in
+    the mix (from 0, over the copies of all sources sorted by position, then id) and
+    ``taken`` is size times their number.  The order within a source is by MD5 of the id, then
+    id and size, so reruns agree; rows equal in those are interchangeable.  A
+    null or wordless text has size 0 and takes no words (its copies are placed
+    like others' if its offset lies before the target).  A null source is one
+    source, ranked last; a null id is an id of its own.  Empty in, empty out.
+
+    What is sorted is narrow: each copy's key, id and position, staged in the shared folder.
+    """
+    placed, key = _placed(docs, id_col, source_col, text_col, weights, share, max_repeat, schedules,
+                          bucket_digits, out)
+    names = [f"key_{i}" for i in range(len(key))]
+    copies = placed.select(*[F.col(k).alias(n) for k, n in zip(key, names)], F.col(id_col).alias("id"),
+                           F.posexplode(f"{out}.positions").alias("epoch", "position"))
+    numbered = in_order(copies, ["position", "id", *names, "epoch"], "place")
+    *of, seq = fresh(placed.columns, *[f"of_{n}" for n in names], "copies")
+    found = numbered.groupBy(*[F.col(n).alias(o) for n, o in zip(names, of)]) \
+                    .agg(F.sort_array(F.collect_list(F.struct("place", "position"))).alias(seq))
+    same = [F.col(k) == F.col(o) for k, o in zip(key, of)]
+    taken = F.coalesce(F.size(seq), F.lit(0))
+    empty = F.array().cast("array<double>"), F.array().cast("array<bigint>")
+    return placed.join(found, same, "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns if c != out],
+        F.struct(*[F.col(f"{out}.{c}").alias(c) for c in ("size", "source_size", "target")],
+                 (F.col(f"{out}.size") * taken).alias("taken"),
+                 F.coalesce(F.col(f"{seq}.position"), empty[0]).alias("positions"),
+                 F.coalesce(F.col(f"{seq}.place"), empty[1]).alias("places")).alias(out))
 
 
 def mix(docs: DataFrame, position_col: str = "position", id_col: str = "doc_id", **how) -> DataFrame:
@@ -139,6 +192,6 @@ def mix(docs: DataFrame, position_col: str = "position", id_col: str = "doc_id",
     replaces a column of that name.
     """
     plan, = fresh(docs.columns, "mix")
-    copies = plan_mix(docs, id_col=id_col, out=plan, **how) \
-        .withColumn(position_col, F.explode(f"{plan}.positions")).drop(plan)
+    placed, key = _placed(docs, id_col=id_col, out=plan, **how)
+    copies = placed.withColumn(position_col, F.explode(f"{plan}.positions")).drop(plan, *key)
     return copies.orderBy(position_col, id_col)

@@ -49,11 +49,15 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document, and where in training its first copy lies."""
+    """Words that the mix takes of every document, and where in training its first copy lies.
+
+    Rows are in training order, by the place of the first copy in the mix; documents not taken come last.
+    """
     mixed = curriculum.plan_mix(read_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0),
                                 share=1.5, max_repeat=2.0, schedules=CURRICULUM)
-    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken",
-                        F.get("mix.positions", F.lit(0)).alias("position"))
+    ordered = mixed.orderBy(F.get("mix.places", F.lit(0)).asc_nulls_last(), "doc_id")
+    return ordered.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken",
+                          F.get("mix.positions", F.lit(0)).alias("position"))
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

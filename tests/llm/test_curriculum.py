@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.llm import curriculum as C
+from cartwheel.llm import queries
 
 SCHEMA = "doc_id bigint, text string, source string, size string, key string"
 
@@ -70,6 +72,38 @@ def test_mix_is_sorted_and_repeats(spark):
     assert max(sum(r.doc_id == i for r in got) for i in range(110)) <= 2
 
 
+def test_places_number_the_copies_in_the_order_of_the_mix(spark):
+    pick = random.Random(8)
+    rows = [(i, "w " * pick.randint(0, 9), pick.choice(["b", "a", "a", None])) for i in range(500)]
+    rows += rows[:40] + [(None, "w w", "a"), (None, "", "b"), (None, None, None), (3, None, "a"), (3, "", "a")]
+    how = {"schedules": (((0.0, 2.0), (1.0, 1.0)), ((0.0, 0.0), (0.4, 0.0), (0.5, 1.0), (1.0, 0.0)))}
+    got = C.plan_mix(frame(spark, rows).repartition(7), **how).collect()
+    assert len(got) == len(rows) and any(len(r.mix.places) == 2 for r in got)
+    copies = sorted((place, position, r.doc_id) for r in got for place, position in zip(r.mix.places, r.mix.positions))
+    assert [c[0] for c in copies] == list(range(len(copies)))
+    order = lambda c: (c[0], c[1] is not None, c[1] or 0)
+    assert [c[1:] for c in copies] == sorted([c[1:] for c in copies], key=order)
+    mixed = [(r.position, r.doc_id) for r in C.mix(frame(spark, rows), **how).collect()]
+    assert [c[1:] for c in copies] == mixed
+    assert all(len(r.mix.places) == len(r.mix.positions) and r.mix.places == sorted(r.mix.places) for r in got)
+
+
+def test_query_lists_documents_in_training_order(spark, tmp_path):
+    pick = random.Random(9)
+    rows = [(i, "w " * pick.randint(0, 9), pick.choice("abcd")) for i in range(300)] + [(900 + i, "w", "e") for i in range(30)]
+    frame(spark, rows).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.position, r.doc_id) for r in queries.op5_curriculum(spark, str(tmp_path)).collect()]
+    assert len(got) == len(rows) and any(p is None for p, _ in got)
+    assert got == sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def test_numbers_in_order_over_many_partitions(spark):
+    rows = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("a"), "id").repartition(9)
+    got = C.in_order(rows, ["a", "id"], "place").collect()
+    assert [r.place for r in sorted(got, key=lambda r: (r.a, r.id))] == list(range(20_000))
+    assert C.in_order(rows.limit(0), ["a", "id"], "place").count() == 0
+
+
 def test_empty_table_and_bad_schedule(spark):
     assert C.plan_mix(frame(spark, [])).count() == 0
     assert C.mix(frame(spark, [(1, "", "a"), (2, None, None)])).count() == 0
